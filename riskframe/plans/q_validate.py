@@ -1 +1,47 @@
-"""placeholder"""
+"""Validation queries (§2.2)."""
+
+from __future__ import annotations
+
+from .. import config as C
+from ..config import PATIENT_ROLES
+from ..operators.validate import validate, validation_summary
+from ..sources.fixtures import KEY, patients_dirty
+from .catalog import register
+from .oracle import with_views
+
+
+def _validate_sql():
+    parts = [f"SELECT 'unexpected_column' AS rule, '{k}' AS column_name, 'warning' AS severity, "
+             f"CAST(NULL AS VARCHAR) AS value, CAST(NULL AS BIGINT) AS n_bad" for k in KEY]
+    for c, dom in C.VALID_VALUES.items():
+        lst = ", ".join(f"'{v}'" for v in dom)
+        parts.append(f"SELECT 'allowed_values', '{c}', 'warning', COALESCE({c}, '<null>'), COUNT(*) "
+                     f"FROM patients_dirty WHERE {c} IS NULL OR {c} NOT IN ({lst}) GROUP BY {c}")
+    for c in C.BINARY:
+        parts.append(f"SELECT 'binary_domain', '{c}', 'error', COALESCE(CAST({c} AS VARCHAR), '<null>'), COUNT(*) "
+                     f"FROM patients_dirty WHERE {c} IS NULL OR {c} NOT IN (0, 1) GROUP BY {c}")
+    for c in C.CONTINUOUS:
+        parts.append(f"SELECT 'non_negative', '{c}', 'warning', 'negative', COUNT(*) FROM patients_dirty "
+                     f"WHERE {c} < 0 HAVING COUNT(*) > 0")
+    parts.append("SELECT 'unexpected_class', 'diabetes', 'error', COALESCE(CAST(diabetes AS VARCHAR), '<null>'), "
+                 "COUNT(*) FROM patients_dirty WHERE diabetes IS NULL OR diabetes NOT IN (0, 1) GROUP BY diabetes")
+    parts.append("SELECT 'class_missing', 'diabetes', 'warning', v, 0 FROM (VALUES ('0'), ('1')) e(v) "
+                 "WHERE v NOT IN (SELECT CAST(diabetes AS VARCHAR) FROM patients_dirty WHERE diabetes IS NOT NULL)")
+    return "\nUNION ALL\n".join(parts)
+
+
+VALIDATE_SQL = with_views(_validate_sql(), "patients_dirty")
+
+
+@register("validate", VALIDATE_SQL)
+def q_validate(spark, sf):
+    return validate(patients_dirty(spark, sf), PATIENT_ROLES)
+
+
+@register("validation_summary", with_views(f"""
+SELECT COUNT(*) FILTER (WHERE severity = 'error') = 0 AS is_valid,
+ COUNT(*) FILTER (WHERE severity = 'error') AS n_errors,
+ COUNT(*) FILTER (WHERE severity = 'warning') AS n_warnings
+FROM ({_validate_sql()})""", "patients_dirty"))
+def q_validation_summary(spark, sf):
+    return validation_summary(validate(patients_dirty(spark, sf), PATIENT_ROLES))
