@@ -41,15 +41,19 @@ def _bucket_counts(d, target):
         .withColumn("__tot", F.sum("__n").over(Window.partitionBy(target)))
 
 
-def stratified_split(df: DataFrame, target: str, keys, test_size: float = 0.2, seed: int = 42,
-                     split_col: str = "split", bits: int = BITS) -> DataFrame:
-    """Add ``split`` = 'test' / 'train' (exact per-class counts)."""
-    d = _hashed(df, keys, seed, "split", bits)
-    hist = _bucket_counts(d, target).withColumn("__k", F.round(F.col("__tot") * F.lit(test_size)).cast("long"))
+def first_k_by_hash(df: DataFrame, target: str, keys, k_of_class, seed: int = 42,
+                    purpose: str = "split", flag_col: str = "__first", bits: int = BITS) -> DataFrame:
+    """Flag the first ``k_of_class(n_c)`` rows of each class in md5 order.
+
+    ``k_of_class`` maps a class-size Column to the wanted count Column.
+    Exact, and no per-class sort: one bucket histogram, one boundary pass.
+    """
+    d = _hashed(df, keys, seed, purpose, bits)
+    hist = _bucket_counts(d, target).withColumn("__k", k_of_class(F.col("__tot")).cast("long"))
     bound = hist.filter((F.col("__cum") - F.col("__n") < F.col("__k")) & (F.col("__cum") >= F.col("__k"))) \
         .select(target, "__b", (F.col("__k") - (F.col("__cum") - F.col("__n"))).alias("__need")).collect()
     if not bound:
-        return df.withColumn(split_col, F.lit("train"))
+        return d.withColumn(flag_col, F.lit(False)).drop("__h", "__b")
     # the need-th smallest hash inside each class's boundary bucket
     in_b = reduce(lambda a, b: a | b, [(F.col(target) == r[target]) & (F.col("__b") == r["__b"]) for r in bound])
     w = Window.partitionBy(target).orderBy("__h")
@@ -61,7 +65,14 @@ def stratified_split(df: DataFrame, target: str, keys, test_size: float = 0.2, s
     for r in bound:
         cond = cond | ((F.col(target) == r[target]) & (
             (F.col("__b") < r["__b"]) | ((F.col("__b") == r["__b"]) & (F.col("__h") <= t_hash[r[target]]))))
-    return d.withColumn(split_col, F.when(cond, F.lit("test")).otherwise(F.lit("train"))).drop("__h", "__b")
+    return d.withColumn(flag_col, cond).drop("__h", "__b")
+
+
+def stratified_split(df: DataFrame, target: str, keys, test_size: float = 0.2, seed: int = 42,
+                     split_col: str = "split", bits: int = BITS) -> DataFrame:
+    """Add ``split`` = 'test' / 'train' (exact per-class counts: round(n_c * test_size))."""
+    d = first_k_by_hash(df, target, keys, lambda n: F.round(n * F.lit(test_size)), seed, "split", "__t", bits)
+    return d.withColumn(split_col, F.when(F.col("__t"), F.lit("test")).otherwise(F.lit("train"))).drop("__t")
 
 
 def stratified_folds(df: DataFrame, target: str, keys, k: int = 5, seed: int = 42,
