@@ -43,16 +43,22 @@ def _block_fn(features, radius: bool, max_cells: int = 4_000_000):
     """In-slab search: for each query vector, candidate vectors up to the
     distance where their weights first cover ``need`` (boundary ties kept)."""
 
+    def frame(qvid, cvid, d2, m, r2, summary) -> pd.DataFrame:
+        n = len(qvid)
+        return pd.DataFrame({
+            "qvid": pd.Series(qvid, dtype=object), "cvid": pd.Series(cvid if cvid is not None else [None] * n, dtype=object),
+            "d2": pd.Series(d2, dtype=np.float64), "m": pd.Series(m, dtype=np.int64),
+            "r2": pd.Series(r2, dtype=np.float64), "summary": pd.Series([summary] * n, dtype=bool)})
+
     def fn(qdf: pd.DataFrame, cdf: pd.DataFrame) -> pd.DataFrame:
-        cols = ["qvid", "cvid", "d2", "m", "r2", "summary"]
         if qdf.empty:
-            return pd.DataFrame({c: [] for c in cols})
+            return frame([], [], [], [], [], False)
         nq = len(qdf)
         if cdf.empty:
             if radius:
-                return pd.DataFrame({c: [] for c in cols})
-            return pd.DataFrame({"qvid": qdf["vid"].values, "cvid": None, "d2": np.nan, "m": 0,
-                                 "r2": np.inf, "summary": True})
+                return frame([], [], [], [], [], False)
+            return frame(qdf["vid"].to_numpy(), None, np.full(nq, np.nan), np.zeros(nq, np.int64),
+                         np.full(nq, np.inf), True)
         Xq = qdf[features].to_numpy(np.float64)
         Xc = cdf[features].to_numpy(np.float64)
         codes, _ = pd.factorize(pd.concat([qdf["vid"], cdf["vid"]], ignore_index=True))
@@ -82,12 +88,10 @@ def _block_fn(features, radius: bool, max_cells: int = 4_000_000):
             dstar = np.where(has, Ds[np.arange(e - s), idx], np.inf)
             mask = np.isfinite(D) & (D <= dstar[:, None])
             qi, ci = np.nonzero(mask)
-            parts.append(pd.DataFrame({"qvid": qv[s:e][qi], "cvid": cv[ci], "d2": D[qi, ci],
-                                       "m": cm[ci], "r2": np.nan, "summary": False}))
+            parts.append(frame(qv[s:e][qi], cv[ci], D[qi, ci], cm[ci], np.full(len(qi), np.nan), False))
             if not radius:
-                parts.append(pd.DataFrame({"qvid": qv[s:e], "cvid": None, "d2": np.nan, "m": 0,
-                                           "r2": dstar, "summary": True}))
-        return pd.concat(parts, ignore_index=True)[cols]
+                parts.append(frame(qv[s:e], None, np.full(e - s, np.nan), np.zeros(e - s, np.int64), dstar, True))
+        return pd.concat(parts, ignore_index=True)
 
     return fn
 
