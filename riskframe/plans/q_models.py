@@ -1 +1,68 @@
-"""placeholder"""
+"""Model queries (§2.8-2.9): rows-only checks (model outputs have no SQL twin)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from .. import config as C
+from ..functions.exprs import round_all
+from ..operators import models as MD
+from ..operators import tune as T
+from ..operators.profile import factorize
+from ..sources.fixtures import patients
+from .catalog import register
+from .train import TARGET, modelling_data
+
+
+def _model_query(name):
+    def q(spark, sf):
+        train, test, feats = modelling_data(spark, sf)
+        m = MD.fit(train, name, feats, TARGET)
+        return round_all(MD.predict(m, test, TARGET, keep=["rid"]).withColumn("model", F.lit(name)))
+    q.__doc__ = f"{name} profile: fit on the SMOTE-balanced train rows, predict the test rows."
+    return q
+
+
+for _n in MD.MODELS:
+    register(_n)(_model_query(_n))
+
+
+@register("rf_importance_topk")
+def q_rf_importance(spark, sf):
+    """Random-forest importances (100 trees, balanced weights) on coded columns, top 8."""
+    p = patients(spark, sf).drop("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
+    for c in C.CATEGORICAL:
+        p = factorize(p, c)
+    feats = [c for c in C.EXPECTED_COLUMNS if c != TARGET]
+    m = MD.fit(p, "random_forest", feats, TARGET, numTrees=100, maxDepth=10)
+    return MD.importance_frame(spark, m, feats, top_k=8)
+
+
+@register("feature_importance")
+def q_feature_importance(spark, sf):
+    """|coefficient| per feature of the logistic model, descending."""
+    train, _, feats = modelling_data(spark, sf)
+    return round_all(MD.importance_frame(spark, MD.fit(train, "logistic_regression", feats, TARGET), feats))
+
+
+@register("cross_validate")
+def q_cv(spark, sf):
+    """Five stratified folds of the logistic model: metrics per fold."""
+    train, _, feats = modelling_data(spark, sf)
+    return round_all(MD.cross_validate(train, "logistic_regression", feats, TARGET, parallelism=5))
+
+
+@register("train_test_summary")
+def q_summary(spark, sf):
+    """Train/test metrics, CV mean ± std and test ROC-AUC for two models."""
+    train, test, feats = modelling_data(spark, sf)
+    preds, cv, _, _ = MD.train_many(train, test, ["logistic_regression", "catboost"], feats, TARGET,
+                                    params={"catboost": {"maxIter": 20}})
+    return round_all(MD.train_test_summary(preds, cv))
+
+
+@register("tune")
+def q_tune(spark, sf):
+    """Seeded search over boosted-tree settings, objective .7 recall + .3 accuracy, 3 folds."""
+    train, _, feats = modelling_data(spark, sf, folds=3)
+    return round_all(T.tune(train, feats, TARGET, n_trials=3, space=T.SMALL_SPACE))
