@@ -153,7 +153,7 @@ def knn(df: DataFrame, features, key: str, k: int = 5, query_col: str | None = N
                                          max(10_000, 20 * n_slabs)).alias("q")).first()["q"]
         splits = [float("-inf")] + sorted(set(float(x) for x in qs)) + [float("inf")]
     else:
-        splits = [float("-inf"), float("inf")]
+        splits = [float("-inf"), 0.0, float("inf")]  # Bucketizer needs 3 splits; any cut is valid
     bucket = Bucketizer(splits=splits, inputCol="p", outputCol="slab")
     vec_s = bucket.transform(vec).withColumn("slab", F.col("slab").cast("int"))
     cands = vec_s.select("slab", "vid", *feats, "m")
