@@ -79,9 +79,13 @@ def _block_fn(features, radius: bool, max_cells: int = 4_000_000):
             D[qcode[s:e, None] == ccode[None, :]] = np.inf
             if radius:
                 D[D > r2[s:e, None]] = np.inf
-            order = np.argsort(D, axis=1, kind="stable")
-            Ds = np.take_along_axis(D, order, axis=1)
-            Ms = np.where(np.isfinite(Ds), cm[order], 0)
+            # only the `need` (<= k) nearest matter: partial selection, then a tiny sort
+            kk = int(min(nc, max(1, need[s:e].max())))
+            part = np.argpartition(D, kk - 1, axis=1)[:, :kk] if kk < nc else np.tile(np.arange(nc), (e - s, 1))
+            Dp = np.take_along_axis(D, part, axis=1)
+            order = np.argsort(Dp, axis=1, kind="stable")
+            Ds = np.take_along_axis(Dp, order, axis=1)
+            Ms = np.where(np.isfinite(Ds), cm[np.take_along_axis(part, order, axis=1)], 0)
             reach = np.cumsum(Ms, axis=1) >= need[s:e, None]
             has = reach.any(axis=1)
             idx = reach.argmax(axis=1)

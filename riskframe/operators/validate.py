@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
 from ..config import Roles
+from ..session import cut_lineage
 
 REPORT_SCHEMA = "rule string, column_name string, severity string, value string, n_bad long"
 NULL_TEXT = "<null>"
@@ -67,6 +68,9 @@ def validate(df: DataFrame, roles: Roles, binary_includes_target: bool = True) -
     vc = (df.select(F.explode(F.array(*cells)).alias("cv")).select("cv.*")
           .filter(~F.array_contains(cont, F.col("column_name")) | F.col("value").isNotNull())
           .groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n_bad")))
+    # result-sized (distinct values of the discrete columns): computed once,
+    # every rule below reads it instead of re-scanning the table
+    vc = cut_lineage(vc)
 
     def bad_values(rule, severity, cond):
         return vc.filter(cond).select(F.lit(rule).alias("rule"), "column_name", F.lit(severity).alias("severity"),
