@@ -39,7 +39,7 @@ def _interpolate(base: DataFrame, nn: DataFrame, feats, key, label, k_avail: int
 
 
 def smote(df: DataFrame, features, label: str, key: str, k: int = 5, seed: int = 42,
-          passthrough=(), slab_rows: int = 4096) -> DataFrame:
+          passthrough=(), slab_rows: int = 1024) -> DataFrame:
     """Oversample every non-majority class up to the majority count.
 
     Returns the original rows (``synthetic`` false) and the new rows; other
@@ -65,7 +65,7 @@ def smote(df: DataFrame, features, label: str, key: str, k: int = 5, seed: int =
 
 
 def adasyn(df: DataFrame, features, label: str, key: str, k: int = 5, seed: int = 42,
-           passthrough=(), slab_rows: int = 4096) -> DataFrame:
+           passthrough=(), slab_rows: int = 1024) -> DataFrame:
     """Binary ADASYN: copies per minority row ~ share of other-class rows among
     its k nearest rows (all classes), rint-rounded; neighbours for the
     interpolation come from the minority class."""
@@ -94,7 +94,7 @@ def adasyn(df: DataFrame, features, label: str, key: str, k: int = 5, seed: int
     return orig.unionByName(_interpolate(base, nn, feats, key, label, min(k, n_min - 1), seed, passthrough))
 
 
-def tomek_links(df: DataFrame, features, label: str, key: str, slab_rows: int = 4096) -> DataFrame:
+def tomek_links(df: DataFrame, features, label: str, key: str, slab_rows: int = 1024) -> DataFrame:
     """Pairs (a, b) that are each other's nearest row and differ in class."""
     nn = knn(df, features, key, 1, slab_rows=slab_rows).select("q_key", "n_key")
     lab = df.select(F.col(key).cast("string").alias("k"), F.col(label).alias("l"))
@@ -108,7 +108,7 @@ def tomek_links(df: DataFrame, features, label: str, key: str, slab_rows: int =
 
 
 def tomek(df: DataFrame, features, label: str, key: str, remove: str = "majority",
-          slab_rows: int = 4096) -> DataFrame:
+          slab_rows: int = 1024) -> DataFrame:
     """Drop link members: ``majority`` (all but the minority class) or ``both``."""
     links = tomek_links(df, features, label, key, slab_rows)
     if remove == "both":
@@ -121,7 +121,7 @@ def tomek(df: DataFrame, features, label: str, key: str, remove: str = "majority
 
 
 def smote_tomek(df: DataFrame, features, label: str, key: str, k: int = 5, seed: int = 42,
-                passthrough=(), slab_rows: int = 4096) -> DataFrame:
+                passthrough=(), slab_rows: int = 1024) -> DataFrame:
     """SMOTE, then remove both members of every Tomek link."""
     s = smote(df, features, label, key, k, seed, passthrough, slab_rows)
     from ..session import cut_lineage
@@ -130,7 +130,7 @@ def smote_tomek(df: DataFrame, features, label: str, key: str, k: int = 5, seed:
 
 
 def resample(df: DataFrame, strategy: str, features, label: str, key: str, k: int = 5, seed: int = 42,
-             passthrough=(), slab_rows: int = 4096) -> DataFrame:
+             passthrough=(), slab_rows: int = 1024) -> DataFrame:
     """Dispatch by name; unknown names raise."""
     s = strategy.lower()
     if s == "smote":

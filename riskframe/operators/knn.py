@@ -9,15 +9,16 @@ Plan, chosen so that no pair table and no unbounded group ever exists:
    count with map-side combine).  A vector held by a third of all rows
    becomes one row; its rows' neighbours among themselves are the smallest
    keys of that vector (kept per vector by a salted two-level top-k).
-2. **Slabs**: project the distinct vectors on a unit direction ``w`` (first
-   principal axis of the vectors, slightly tilted so projections rarely
-   tie) and cut the projection into quantile slabs of ``slab_rows``.
-   ``|w.(x - y)| <= ||x - y||`` makes the projection a lower bound.
+2. **Cells**: project the distinct vectors on two orthonormal directions
+   (the first two principal axes, slightly tilted so projections rarely
+   tie); cut the first projection into quantile slabs and each slab into
+   quantile cells of the second - about ``slab_rows`` vectors per cell.
+   ``|w.(x - y)| <= ||x - y||`` makes each projection a lower bound.
 3. **Phase 1**: each query vector finds its nearest vectors inside its home
-   slab (``cogroup`` + ``applyInPandas``; numpy, chunked) - an upper bound
+   cell (``cogroup`` + ``applyInPandas``; numpy, chunked) - an upper bound
    ``r`` on its final radius.
-4. **Phase 2**: the query is sent only to the other slabs whose projection
-   range meets ``[p - r, p + r]`` and searched there within ``r``.
+4. **Phase 2**: the query is sent only to the other cells that the box
+   ``[p - r, p + r] x [p2 - r, p2 + r]`` reaches, and searched there within ``r``.
 5. **Merge** per query vector (small lists), then expand vectors to row
    keys and keep the first ``k`` by (distance, key) per query row.
 
@@ -100,12 +101,13 @@ def _block_fn(features, radius: bool, max_cells: int = 4_000_000):
     return fn
 
 
-def _direction(v: DataFrame, features) -> list:
-    """Unit vector: first principal axis of the distinct vectors, tilted by a
-    fixed small irrational mix so that distinct vectors rarely share a projection."""
+def _directions(v: DataFrame, features) -> list:
+    """Two orthonormal unit vectors: the first two principal axes of the
+    distinct vectors, tilted by a fixed small irrational mix so that distinct
+    vectors rarely share a projection."""
     d = len(features)
     if d == 1:
-        return [1.0]
+        return [[1.0]]
     aggs = [F.covar_samp(F.col(a), F.col(b)).alias(f"c{i}_{j}")
             for i, a in enumerate(features) for j, b in enumerate(features) if j >= i]
     r = v.agg(*aggs).first()
@@ -114,18 +116,17 @@ def _direction(v: DataFrame, features) -> list:
         for j in range(i, d):
             x = r[f"c{i}_{j}"]
             cov[i, j] = cov[j, i] = 0.0 if x is None or math.isnan(x) else x
-    if not np.any(cov):
-        w = np.ones(d)
-    else:
-        vals, vecs = np.linalg.eigh(cov)
-        w = vecs[:, -1] * (1 if vecs[:, -1].sum() >= 0 else -1)
+    vecs = np.linalg.eigh(cov)[1] if np.any(cov) else np.eye(d)
     tilt = np.array([math.sqrt(2.0 + i) % 1.0 + 0.1 for i in range(d)])
-    w = w / np.linalg.norm(w) + 0.01 * tilt / np.linalg.norm(tilt)
-    return list(w / np.linalg.norm(w))
+    w1 = vecs[:, -1] / np.linalg.norm(vecs[:, -1]) + 0.01 * tilt / np.linalg.norm(tilt)
+    w1 = w1 / np.linalg.norm(w1)
+    w2 = vecs[:, -2] - np.dot(vecs[:, -2], w1) * w1  # Gram-Schmidt against the tilted axis
+    w2 = w2 / np.linalg.norm(w2)
+    return [list(w1), list(w2)]
 
 
 def knn(df: DataFrame, features, key: str, k: int = 5, query_col: str | None = None,
-        slab_rows: int = 4096, salt: int = 256) -> DataFrame:
+        slab_rows: int = 1024, salt: int = 256) -> DataFrame:
     """(q_key, rank, n_key, d2) - the ``k`` nearest other rows of each query row.
 
     ``query_col`` marks query rows (boolean); the candidates are all rows.
@@ -140,48 +141,73 @@ def knn(df: DataFrame, features, key: str, k: int = 5, query_col: str | None = N
     # 1. distinct vectors with multiplicity; smallest k+1 keys per vector
     vec = rows.groupBy("vid", *feats).agg(F.count(F.lit(1)).alias("m"),
                                           F.count_if("is_q").alias("mq"))
-    w_dir = _direction(vec, feats)
-    p = sum((F.col(c) * F.lit(float(wj)) for c, wj in zip(feats, w_dir)), F.lit(0.0))
-    vec = cut_lineage(vec.withColumn("p", p))
+    axes = _directions(vec, feats)
+    proj = [sum((F.col(c) * F.lit(float(wj)) for c, wj in zip(feats, w)), F.lit(0.0)) for w in axes]
+    vec = vec.withColumn("p", proj[0]).withColumn("p2", proj[1] if len(proj) > 1 else F.lit(0.0))
+    vec = cut_lineage(vec)
     salted = rows.withColumn("salt", F.pmod(F.xxhash64("key"), F.lit(salt)))
     t1 = salted.withColumn("rn", F.row_number().over(Window.partitionBy("vid", "salt").orderBy("key"))) \
         .filter(F.col("rn") <= k + 1)
     top = t1.withColumn("rn", F.row_number().over(Window.partitionBy("vid").orderBy("key"))) \
         .filter(F.col("rn") <= k + 1).select("vid", F.col("key").alias("nkey"))
 
-    # 2. quantile slabs on the projection
+    # 2. balanced cells: quantile slabs on p, then per-slab quantiles on p2
     n_vec = vec.count()
-    n_slabs = max(1, -(-n_vec // slab_rows))
-    if n_slabs > 1:
-        qs = vec.agg(F.percentile_approx("p", [i / n_slabs for i in range(1, n_slabs)],
-                                         max(10_000, 20 * n_slabs)).alias("q")).first()["q"]
+    n_cells = max(1, -(-n_vec // slab_rows))
+    n1 = max(1, int(math.ceil(math.sqrt(n_cells))))
+    n2 = max(1, -(-n_cells // n1))
+    if n1 > 1:
+        qs = vec.agg(F.percentile_approx("p", [i / n1 for i in range(1, n1)], max(10_000, 20 * n1)).alias("q")).first()["q"]
         splits = [float("-inf")] + sorted(set(float(x) for x in qs)) + [float("inf")]
     else:
         splits = [float("-inf"), 0.0, float("inf")]  # Bucketizer needs 3 splits; any cut is valid
-    bucket = Bucketizer(splits=splits, inputCol="p", outputCol="slab")
-    vec_s = bucket.transform(vec).withColumn("slab", F.col("slab").cast("int"))
-    cands = vec_s.select("slab", "vid", *feats, "m")
+    vec_s = Bucketizer(splits=splits, inputCol="p", outputCol="slab").transform(vec) \
+        .withColumn("slab", F.col("slab").cast("int"))
+    if n2 > 1:
+        inner = vec_s.groupBy("slab").agg(F.percentile_approx(
+            "p2", [i / n2 for i in range(1, n2)], max(10_000, 20 * n2)).alias("q")).collect()
+        inner_splits = {r["slab"]: sorted(set(float(x) for x in r["q"])) for r in inner}
+    else:
+        inner_splits = {}
+    # slab -> inner split points: n1 rows of <= n2 values, a literal map
+    smap = F.create_map(*[x for sl, arr in inner_splits.items()
+                          for x in (F.lit(sl), F.array(*[F.lit(v) for v in arr]) if arr else F.array().cast("array<double>"))]) \
+        if inner_splits else None
+
+    def inner_bucket(slab_col, v):
+        if smap is None:
+            return F.lit(0)
+        arr = F.coalesce(smap[slab_col], F.array().cast("array<double>"))
+        return F.size(F.filter(arr, lambda x: x <= v))
+
+    stride = n2
+    vec_s = vec_s.withColumn("cell", F.col("slab") * F.lit(stride) + inner_bucket(F.col("slab"), F.col("p2")))
+    cands = vec_s.select(F.col("cell").alias("slab"), "vid", *feats, "m")
     queries = vec_s.filter(F.col("mq") > 0).withColumn(
         "need", (F.lit(k) - F.least(F.lit(k), F.col("m") - 1)).cast("long"))
     active = queries.filter(F.col("need") > 0)
 
-    # 3. phase 1: home slab
-    q1 = active.select("slab", "vid", *feats, "need", F.lit(None).cast("double").alias("r2"))
+    # 3. phase 1: home cell
+    q1 = active.select(F.col("cell").alias("slab"), "vid", *feats, "need", F.lit(None).cast("double").alias("r2"))
     q1 = q1.toDF(*q1.columns)  # fresh attribute ids: both cogroup sides come from `vec`
     out1 = q1.groupBy("slab").cogroup(cands.groupBy("slab")).applyInPandas(
         _block_fn(feats, radius=False), CAND_SCHEMA)
     out1 = cut_lineage(out1)
     summary = out1.filter("summary").select(F.col("qvid").alias("vid"), "r2")
 
-    # 4. phase 2: other slabs met by [p - r, p + r]
+    # 4. phase 2: other cells met by the box [p - r, p + r] x [p2 - r, p2 + r]
     q2 = active.join(summary, "vid")
     r = F.sqrt(F.col("r2")) * F.lit(1.0 + 1e-9) + F.lit(1e-12)
-    q2 = q2.withColumn("lo_p", F.col("p") - r).withColumn("hi_p", F.col("p") + r)
+    q2 = q2.withColumn("lo_p", F.col("p") - r).withColumn("hi_p", F.col("p") + r) \
+        .withColumn("lo_p2", F.col("p2") - r).withColumn("hi_p2", F.col("p2") + r)
     q2 = Bucketizer(splitsArray=[splits, splits], inputCols=["lo_p", "hi_p"],
                     outputCols=["lo_s", "hi_s"]).transform(q2)
-    q2 = q2.select("vid", *feats, "need", F.col("r2"), F.col("slab").alias("home"),
-                   F.explode(F.sequence(F.col("lo_s").cast("int"), F.col("hi_s").cast("int"))).alias("slab")) \
-        .filter(F.col("slab") != F.col("home")).drop("home")
+    q2 = q2.select("vid", *feats, "need", "r2", "cell", "lo_p2", "hi_p2",
+                   F.explode(F.sequence(F.col("lo_s").cast("int"), F.col("hi_s").cast("int"))).alias("s1"))
+    q2 = q2.select("vid", *feats, "need", "r2", "cell", "s1", F.explode(F.sequence(
+        inner_bucket(F.col("s1"), F.col("lo_p2")), inner_bucket(F.col("s1"), F.col("hi_p2")))).alias("s2"))
+    q2 = q2.withColumn("slab", F.col("s1") * F.lit(stride) + F.col("s2")) \
+        .filter(F.col("slab") != F.col("cell")).select("slab", "vid", *feats, "need", "r2")
     q2 = q2.toDF(*q2.columns)
     out2 = q2.groupBy("slab").cogroup(cands.groupBy("slab")).applyInPandas(
         _block_fn(feats, radius=True), CAND_SCHEMA)
