@@ -37,6 +37,7 @@ from pyspark.sql import functions as F
 
 from ..session import cut_lineage
 
+MAX_CELLS = 4_000_000  # bounds the broadcast split table (2 000 x 2 000 doubles)
 CAND_SCHEMA = "qvid string, cvid string, d2 double, m long, r2 double, summary boolean"
 
 
@@ -153,7 +154,7 @@ def knn(df: DataFrame, features, key: str, k: int = 5, query_col: str | None = N
 
     # 2. balanced cells: quantile slabs on p, then per-slab quantiles on p2
     n_vec = vec.count()
-    n_cells = max(1, -(-n_vec // slab_rows))
+    n_cells = min(MAX_CELLS, max(1, -(-n_vec // slab_rows)))
     n1 = max(1, int(math.ceil(math.sqrt(n_cells))))
     n2 = max(1, -(-n_cells // n1))
     if n1 > 1:
@@ -163,25 +164,20 @@ def knn(df: DataFrame, features, key: str, k: int = 5, query_col: str | None = N
         splits = [float("-inf"), 0.0, float("inf")]  # Bucketizer needs 3 splits; any cut is valid
     vec_s = Bucketizer(splits=splits, inputCol="p", outputCol="slab").transform(vec) \
         .withColumn("slab", F.col("slab").cast("int"))
-    if n2 > 1:
-        inner = vec_s.groupBy("slab").agg(F.percentile_approx(
-            "p2", [i / n2 for i in range(1, n2)], max(10_000, 20 * n2)).alias("q")).collect()
-        inner_splits = {r["slab"]: sorted(set(float(x) for x in r["q"])) for r in inner}
-    else:
-        inner_splits = {}
-    # slab -> inner split points: n1 rows of <= n2 values, a literal map
-    smap = F.create_map(*[x for sl, arr in inner_splits.items()
-                          for x in (F.lit(sl), F.array(*[F.lit(v) for v in arr]) if arr else F.array().cast("array<double>"))]) \
-        if inner_splits else None
-
-    def inner_bucket(slab_col, v):
-        if smap is None:
-            return F.lit(0)
-        arr = F.coalesce(smap[slab_col], F.array().cast("array<double>"))
-        return F.size(F.filter(arr, lambda x: x <= v))
+    # per-slab split points of p2: one row per slab (<= sqrt(MAX_CELLS) rows of
+    # <= sqrt(MAX_CELLS) doubles), so the broadcast below has a proven bound
+    inner = vec_s.groupBy("slab").agg(F.array_sort(F.array_distinct(F.percentile_approx(
+        "p2", [i / n2 for i in range(1, n2)] or [0.5], max(10_000, 20 * n2)))).alias("inner"))
+    if n2 == 1:
+        inner = inner.select("slab", F.array().cast("array<double>").alias("inner"))
+    inner = cut_lineage(inner)
+
+    def inner_bucket(v):
+        return F.size(F.filter(F.coalesce(F.col("inner"), F.array().cast("array<double>")), lambda x: x <= v))
 
     stride = n2
-    vec_s = vec_s.withColumn("cell", F.col("slab") * F.lit(stride) + inner_bucket(F.col("slab"), F.col("p2")))
+    vec_s = vec_s.join(F.broadcast(inner), "slab", "left") \
+        .withColumn("cell", F.col("slab") * F.lit(stride) + inner_bucket(F.col("p2"))).drop("inner")
     cands = vec_s.select(F.col("cell").alias("slab"), "vid", *feats, "m")
     queries = vec_s.filter(F.col("mq") > 0).withColumn(
         "need", (F.lit(k) - F.least(F.lit(k), F.col("m") - 1)).cast("long"))
@@ -203,9 +199,10 @@ def knn(df: DataFrame, features, key: str, k: int = 5, query_col: str | None = N
     q2 = Bucketizer(splitsArray=[splits, splits], inputCols=["lo_p", "hi_p"],
                     outputCols=["lo_s", "hi_s"]).transform(q2)
     q2 = q2.select("vid", *feats, "need", "r2", "cell", "lo_p2", "hi_p2",
-                   F.explode(F.sequence(F.col("lo_s").cast("int"), F.col("hi_s").cast("int"))).alias("s1"))
-    q2 = q2.select("vid", *feats, "need", "r2", "cell", "s1", F.explode(F.sequence(
-        inner_bucket(F.col("s1"), F.col("lo_p2")), inner_bucket(F.col("s1"), F.col("hi_p2")))).alias("s2"))
+                   F.explode(F.sequence(F.col("lo_s").cast("int"), F.col("hi_s").cast("int"))).alias("slab"))
+    q2 = q2.join(F.broadcast(inner), "slab", "left").select(
+        "vid", *feats, "need", "r2", "cell", F.col("slab").alias("s1"),
+        F.explode(F.sequence(inner_bucket(F.col("lo_p2")), inner_bucket(F.col("hi_p2")))).alias("s2"))
     q2 = q2.withColumn("slab", F.col("s1") * F.lit(stride) + F.col("s2")) \
         .filter(F.col("slab") != F.col("cell")).select("slab", "vid", *feats, "need", "r2")
     q2 = q2.toDF(*q2.columns)

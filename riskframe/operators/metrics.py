@@ -85,7 +85,8 @@ def classification_report(preds: DataFrame, group=None, class_names=("0", "1"),
 
 
 def score_curve(preds: DataFrame, group=None, label="label", score="p1",
-                direct_max: int = 2_000_000, rows_per_bucket: int = 500_000) -> DataFrame:
+                direct_max: int = 2_000_000, rows_per_bucket: int = 500_000,
+                broadcast_max_rows: int = 2_000_000) -> DataFrame:
     """Distinct scores per group with running counts at ``score >= s``.
 
     Columns: group..., score, pos, neg, tp, fp, P, N.
@@ -117,8 +118,9 @@ def score_curve(preds: DataFrame, group=None, label="label", score="p1",
                        F.coalesce(F.sum("bp").over(above), F.lit(0)).alias("op"),
                        F.coalesce(F.sum("bn").over(above), F.lit(0)).alias("on"),
                        F.sum("bp").over(allw).alias("P"), F.sum("bn").over(allw).alias("N"))
-    # offsets: one row per (group, bucket) -> at most groups x 100k rows
-    j = b.join(F.broadcast(offs), [*g, "bucket"])
+    # offsets: one row per (group, bucket); broadcast only under a checked size
+    offs = offs.persist()
+    j = b.join(F.broadcast(offs) if offs.count() <= broadcast_max_rows else offs, [*g, "bucket"])
     inb = Window.partitionBy(*g, "bucket").orderBy(F.desc("score")).rowsBetween(Window.unboundedPreceding, 0)
     return j.select(*g, "score", "pos", "neg",
                     (F.col("op") + F.sum("pos").over(inb)).alias("tp"),

@@ -151,3 +151,12 @@ SELECT model, ROUND({_div('tn', 'tn + fn')}, 6) AS "{C.CLASS_NAMES[0]}", ROUND({
 FROM cnt""", CNT))
 def q_per_class(spark, sf):
     return round_all(M.per_class_table(scored(spark, sf), "precision", G, C.CLASS_NAMES))
+
+
+@register("weighted_objective", _sql(f"""
+SELECT model, ROUND(0.7 * recall + 0.3 * accuracy, 6) AS objective FROM (
+ SELECT model, {_div('tp + tn', 'tp + fp + fn + tn')} AS accuracy, {_div('tp', 'tp + fn')} AS recall FROM cnt)""", CNT))
+def q_objective(spark, sf):
+    """Tuning objective .7 recall + .3 accuracy (normalised weights) per scored model."""
+    m = M.basic_metrics(scored(spark, sf), G)
+    return round_all(M.weighted_objective(m, G, C.OBJECTIVE_WEIGHTS["recall"], C.OBJECTIVE_WEIGHTS["accuracy"]))

@@ -66,3 +66,22 @@ def q_tune(spark, sf):
     """Seeded search over boosted-tree settings, objective .7 recall + .3 accuracy, 3 folds."""
     train, _, feats = modelling_data(spark, sf, folds=3)
     return round_all(T.tune(train, feats, TARGET, n_trials=3, space=T.SMALL_SPACE))
+
+
+@register("train_model")
+def q_train_model(spark, sf):
+    """Fit, save, load the saved model and predict the test rows with it."""
+    from .q_io import scratch
+    train, test, feats = modelling_data(spark, sf)
+    path = scratch(spark, "model")
+    MD.save(MD.fit(train, "logistic_regression", feats, TARGET), path)
+    return round_all(MD.predict(MD.load(path), test, TARGET, keep=["rid"]))
+
+
+@register("final_fit")
+def q_final_fit(spark, sf):
+    """Best trial of a seeded search refit on all train rows; test report rows."""
+    train, test, feats = modelling_data(spark, sf, folds=3)
+    trials = T.tune(train, feats, TARGET, n_trials=2, space=T.SMALL_SPACE)
+    _, report, auc, _ = T.final_fit(train, test, feats, TARGET, T.best_params(trials))
+    return round_all(report.withColumn("roc_auc", F.lit(auc.first()[0])))  # one number

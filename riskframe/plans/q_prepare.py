@@ -133,7 +133,7 @@ def q_split_docs(spark, sf):
 
 
 # -- the whole preparation ----------------------------------------------------
-def _process_sql():
+def _process_sql(rounded: bool = True, final_body: str | None = None):
     imputed = f"SELECT DISTINCT {impute_select('patients_dirty')} FROM patients_dirty"
     splitted = f"""SELECT *, CASE WHEN ROW_NUMBER() OVER (PARTITION BY diabetes ORDER BY {_hash_sql('split')})
       <= ROUND(COUNT(*) OVER (PARTITION BY diabetes) * 0.2) THEN 'test' ELSE 'train' END AS split FROM imputed"""
@@ -149,14 +149,19 @@ def _process_sql():
   QUANTILE_CONT(blood_glucose_level, 0.25) g_q1, QUANTILE_CONT(blood_glucose_level, 0.5) g_q2,
   QUANTILE_CONT(blood_glucose_level, 0.75) g_q3, AVG(bmi) b_m, STDDEV_POP(bmi) b_s,
   AVG(HbA1c_level) h_m, STDDEV_POP(HbA1c_level) h_s FROM encoded WHERE split = 'train'"""
+    def r(e):
+        return f"ROUND({e}, 6)" if rounded else e
     body = f"""SELECT {KEYS_SQL}, gender,
- ROUND((age - a_q2) / CASE WHEN a_q3 - a_q1 = 0 THEN 1.0 ELSE a_q3 - a_q1 END, 6) AS age,
+ {r("(age - a_q2) / CASE WHEN a_q3 - a_q1 = 0 THEN 1.0 ELSE a_q3 - a_q1 END")} AS age,
  hypertension, heart_disease, smoking_history,
- ROUND((bmi - b_m) / CASE WHEN b_s = 0 THEN 1.0 ELSE b_s END, 6) AS bmi,
- ROUND((HbA1c_level - h_m) / CASE WHEN h_s = 0 THEN 1.0 ELSE h_s END, 6) AS HbA1c_level,
- ROUND((blood_glucose_level - g_q2) / CASE WHEN g_q3 - g_q1 = 0 THEN 1.0 ELSE g_q3 - g_q1 END, 6) AS blood_glucose_level,
+ {r("(bmi - b_m) / CASE WHEN b_s = 0 THEN 1.0 ELSE b_s END")} AS bmi,
+ {r("(HbA1c_level - h_m) / CASE WHEN h_s = 0 THEN 1.0 ELSE h_s END")} AS HbA1c_level,
+ {r("(blood_glucose_level - g_q2) / CASE WHEN g_q3 - g_q1 = 0 THEN 1.0 ELSE g_q3 - g_q1 END")} AS blood_glucose_level,
  diabetes, split
 FROM encoded, sc"""
+    if final_body is not None:
+        ctes["processed"] = body
+        body = final_body
     return with_views(body, "patients_dirty", extra=ctes)
 
 
@@ -175,8 +180,71 @@ def q_process(spark, sf):
     return round_all(out.select(*KEY, *REF9, "split"))
 
 
-@register("final_validation")
+def _final_sql():
+    cols = KEY + REF9 + ["split"]
+    nulls = " + ".join(f"COUNT(*) FILTER (WHERE {c} IS NULL)" for c in cols)
+    parts = [f"SELECT 'missing_values' AS metric, CAST(NULL AS VARCHAR) AS column_name, CAST({nulls} AS DOUBLE) AS value FROM processed"]
+    for c in CONT:
+        parts.append(f"SELECT 'mean', '{c}', ROUND(AVG({c}), 6) FROM processed")
+        parts.append(f"SELECT 'std', '{c}', ROUND(STDDEV_SAMP({c}), 6) FROM processed")
+    for c in C.CATEGORICAL:
+        parts.append(f"SELECT 'encoded_column', '{c}', CAST(NULL AS DOUBLE)")
+    parts.append(f"SELECT 'duplicates', NULL, CAST(SUM(c - 1) AS DOUBLE) FROM (SELECT COUNT(*) AS c FROM processed GROUP BY {', '.join(cols)})")
+    parts.append("SELECT 'class_share', CAST(diabetes AS VARCHAR), ROUND(COUNT(*) / SUM(COUNT(*)) OVER (), 6) FROM processed GROUP BY diabetes")
+    parts.append("SELECT 'split_count', split, CAST(COUNT(*) AS DOUBLE) FROM processed GROUP BY split")
+    return _process_sql(rounded=False, final_body="\nUNION ALL\n".join(parts))
+
+
+@register("final_validation", _final_sql())
 def q_final(spark, sf):
-    """Post-preparation report (rows-only check; the values follow from process_data)."""
+    """Post-preparation report: nulls, duplicates, mean/std, encoded columns, class shares, split counts."""
     out = prepared_patients(spark, sf).data.select(*KEY, *REF9, "split")
     return round_all(final_validation(out, CONT, C.CATEGORICAL, "diabetes"))
+
+
+@register("factorize", with_views("""
+SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, CAST(COALESCE(c.code, -1) AS INTEGER) AS smoking_history
+FROM patients_dirty t LEFT JOIN (SELECT v, DENSE_RANK() OVER (ORDER BY v) - 1 AS code
+ FROM (SELECT DISTINCT smoking_history AS v FROM patients_dirty WHERE smoking_history IS NOT NULL)) c
+ ON t.smoking_history = c.v""", "patients_dirty"))
+def q_factorize(spark, sf):
+    """Integer code per distinct value in sorted order, null -> -1."""
+    from ..operators.profile import factorize
+    d = patients_dirty(spark, sf).select(*KEY, "smoking_history")
+    return factorize(d, "smoking_history")
+
+
+@register("presplit_filter", with_views(f"""
+SELECT {KEYS_SQL}, diabetes FROM (
+ SELECT *, CASE WHEN ROW_NUMBER() OVER (PARTITION BY diabetes ORDER BY {_hash_sql('split')})
+      <= ROUND(COUNT(*) OVER (PARTITION BY diabetes) * 0.2) THEN 'test' ELSE 'train' END AS split
+ FROM patients) WHERE split = 'train'""", "patients"))
+def q_presplit(spark, sf):
+    """An existing split column: the train side, split column dropped."""
+    p = patients(spark, sf).select(*KEY, "diabetes")
+    train, _ = split.presplit(split.stratified_split(p, "diabetes", KEY), "diabetes")
+    return train
+
+
+@register("recombine", with_views(f"""
+SELECT {KEYS_SQL}, diabetes, split, COUNT(*) OVER (PARTITION BY split) AS n_side FROM (
+ SELECT *, CASE WHEN ROW_NUMBER() OVER (PARTITION BY diabetes ORDER BY {_hash_sql('split')})
+      <= ROUND(COUNT(*) OVER (PARTITION BY diabetes) * 0.2) THEN 'test' ELSE 'train' END AS split
+ FROM patients)""", "patients"))
+def q_recombine(spark, sf):
+    """Train and test sides tagged and stacked again (unionByName)."""
+    from pyspark.sql import Window
+    p = patients(spark, sf).select(*KEY, "diabetes")
+    train, test = split.presplit(split.stratified_split(p, "diabetes", KEY), "diabetes")
+    r = split.recombine(train, test)
+    return r.withColumn("n_side", F.count(F.lit(1)).over(Window.partitionBy("split")))
+
+
+@register("balanced_weights", with_views("""
+SELECT diabetes, COUNT(*) AS n, ROUND(SUM(COUNT(*)) OVER () / (2.0 * COUNT(*)), 6) AS weight
+FROM patients GROUP BY diabetes""", "patients"))
+def q_weights(spark, sf):
+    """class_weight='balanced': n / (classes * n_c) per class."""
+    from ..operators.models import balanced_weights
+    w = balanced_weights(patients(spark, sf), "diabetes")
+    return round_all(w.groupBy("diabetes").agg(F.count(F.lit(1)).alias("n"), F.first("weight").alias("weight")))
