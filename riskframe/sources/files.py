@@ -55,10 +55,11 @@ def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(path)
 
 
-def _unzip_lines(it):
-    """binaryFile rows -> (archive, member, line) for every text line of every .csv member."""
+def _unzip_lines(it, batch_lines: int = 100_000):
+    """binaryFile rows -> (archive, member, line) for every data line of every
+    .csv member, streamed in bounded batches."""
+    cols = ["archive", "member", "line_no", "line"]
     for pdf in it:
-        out = []
         for path, content in zip(pdf["path"], pdf["content"]):
             try:
                 zf = zipfile.ZipFile(io.BytesIO(content))
@@ -67,12 +68,18 @@ def _unzip_lines(it):
             for name in zf.namelist():
                 if not name.lower().endswith(".csv"):
                     continue
-                text = zf.read(name).decode("utf-8")
-                lines = text.splitlines()
-                for i, line in enumerate(lines[1:], start=1):  # skip the header line
-                    if line:
+                out = []
+                with zf.open(name) as fh:
+                    for i, line in enumerate(io.TextIOWrapper(fh, encoding="utf-8")):
+                        line = line.rstrip("\r\n")
+                        if i == 0 or not line:  # header line / blank
+                            continue
                         out.append((path, name, i, line))
-        yield pd.DataFrame(out, columns=["archive", "member", "line_no", "line"])
+                        if len(out) >= batch_lines:
+                            yield pd.DataFrame(out, columns=cols)
+                            out = []
+                if out:
+                    yield pd.DataFrame(out, columns=cols)
 
 
 def read_zip_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
@@ -85,23 +92,37 @@ def read_zip_csv(spark: SparkSession, path: str, schema: StructType) -> DataFram
     return nan_to_null(parsed)
 
 
-def _zip_partition(folder):
+def _zip_partition(folder, columns):
     def fn(it):
-        import uuid
+        zf = member = None
+        final = tmp = None
+        rows = 0
         for pdf in it:
             if pdf.empty:
                 continue
-            name = os.path.join(folder, f"part-{uuid.uuid4().hex}.zip")
-            buf = io.StringIO()
-            pdf.to_csv(buf, index=False)
-            with zipfile.ZipFile(name, "w", zipfile.ZIP_DEFLATED) as zf:
-                zf.writestr("data.csv", buf.getvalue())
-            yield pd.DataFrame({"archive": [name], "rows": [len(pdf)]})
+            if zf is None:
+                # deterministic name per partition + atomic rename: a retried task
+                # overwrites its own archive instead of adding a second copy
+                pid = int(pdf["__pid"].iloc[0])
+                final = os.path.join(folder, f"part-{pid:05d}.zip")
+                tmp = f"{final}.{os.getpid()}.tmp"
+                zf = zipfile.ZipFile(tmp, "w", zipfile.ZIP_DEFLATED)
+                member = zf.open("data.csv", "w", force_zip64=True)
+                member.write(pdf[columns].head(0).to_csv(index=False).encode("utf-8"))
+            member.write(pdf[columns].to_csv(index=False, header=False).encode("utf-8"))
+            rows += len(pdf)
+        if zf is not None:
+            member.close()
+            zf.close()
+            os.replace(tmp, final)
+            yield pd.DataFrame({"archive": [final], "rows": [rows]})
     return fn
 
 
 def write_zip_csv(df: DataFrame, folder: str, partitions: int = 4) -> DataFrame:
     """One zip archive (a CSV member) per partition, written by the tasks to a
-    shared folder; returns (archive, rows)."""
+    shared (POSIX-mounted) folder; returns (archive, rows)."""
     os.makedirs(folder, exist_ok=True)
-    return df.repartition(partitions).mapInPandas(_zip_partition(folder), "archive string, rows long")
+    cols = df.columns
+    parted = df.repartition(partitions).withColumn("__pid", F.spark_partition_id())
+    return parted.mapInPandas(_zip_partition(folder, cols), "archive string, rows long")
