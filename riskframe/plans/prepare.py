@@ -37,11 +37,12 @@ def process_data(df: DataFrame, roles: Roles, keys, test_size: float = C.TEST_SI
     df = clean.nan_to_null(df)
     imp = clean.fit_impute(df, roles.continuous, roles.categorical, roles.binary, relative_error)
     df = clean.dedup(imp.transform(df))
-    df = split.stratified_split(df, roles.target, keys, test_size, seed)
     if materialize:
-        # the de-duplicated, split rows feed four fits: write them once to the
-        # shared checkpoint folder instead of recomputing the shuffle per fit
+        # the de-duplicated rows feed the split's two small jobs and four fits:
+        # write them once to the shared checkpoint folder instead of
+        # recomputing the scan and the de-duplication shuffle for each
         df = cut_lineage(df)
+    df = split.stratified_split(df, roles.target, keys, test_size, seed)  # a projection
     train = df.filter(F.col("split") == "train")
     cont = [c for c in roles.continuous if c in df.columns]
     stages = {"impute": imp}
