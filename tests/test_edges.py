@@ -70,3 +70,25 @@ def test_metrics_zero_division(spark):
     df = spark.createDataFrame([(0, 0), (0, 0)], "label int, prediction int")
     r = M.basic_metrics(df).first()
     assert r["precision"] == 0.0 and r["recall"] == 0.0 and r["f1"] == 0.0 and r["accuracy"] == 1.0
+
+
+def test_validate_empty_and_missing(spark):
+    from riskframe.config import PATIENT_ROLES
+    from riskframe.operators.validate import validate, validation_summary
+    empty = spark.createDataFrame([], "gender string, age double")
+    rep = validate(empty, PATIENT_ROLES).collect()
+    assert [(r["rule"], r["severity"]) for r in rep] == [("not_empty", "error")]
+    # missing columns stop the column rules; the target rule still runs
+    df = spark.createDataFrame([(1, 7)], "diabetes int, extra int")
+    rules = {(r["rule"], r["column_name"]) for r in validate(df, PATIENT_ROLES).collect()}
+    assert ("missing_column", "age") in rules
+    assert ("unexpected_class", "diabetes") not in rules
+    assert ("class_missing", "diabetes") in rules
+    assert validation_summary(validate(df, PATIENT_ROLES)).first()["is_valid"] is False
+
+
+def test_dedup_hot_group(spark):
+    # a third of the rows identical: collapses map-side, result exact
+    rows = [(1, "a")] * 300 + [(i, "b") for i in range(600)]
+    df = spark.createDataFrame(rows, "x int, y string").repartition(8)
+    assert clean.dedup(df).count() == 601
