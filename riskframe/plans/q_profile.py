@@ -79,7 +79,7 @@ def q_null_counts(spark, sf):
 
 
 DUP_SQL = with_views(f"""
-SELECT SUM(c) AS n_rows, SUM(c-1) AS n_duplicates, ROUND(SUM(c-1)/SUM(c), 6) AS share
+SELECT CAST(SUM(c) AS BIGINT) AS n_rows, CAST(SUM(c-1) AS BIGINT) AS n_duplicates, ROUND(SUM(c-1)/SUM(c), 6) AS share
 FROM (SELECT COUNT(*) AS c FROM patients_dirty GROUP BY {', '.join(REF9)})""", "patients_dirty")
 
 
@@ -170,7 +170,7 @@ def q_histogram_events(spark, sf):
 
 
 KDE_SQL = with_views("""
-SELECT i AS idx, ROUND(g0 + i * step, 6) AS grid,
+SELECT CAST(i AS INTEGER) AS idx, ROUND(g0 + i * step, 6) AS grid,
  ROUND(SUM(w * EXP(-0.5 * POWER((g0 + i * step - x) / h, 2))) * (1.0 / (n * h * SQRT(2.0 * PI()))), 6) AS density
 FROM (SELECT bmi AS x, COUNT(*) AS w FROM patients_dirty WHERE bmi IS NOT NULL GROUP BY bmi) p,
  (SELECT n, h, lo - 3.0 * h AS g0, ((hi + 3.0 * h) - (lo - 3.0 * h)) / 199 AS step
