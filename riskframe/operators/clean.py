@@ -26,25 +26,46 @@ class Imputer(Fitted):
         return df.withColumns({c: F.coalesce(F.col(f"`{c}`"), F.lit(v)) for c, v in fills.items()}) if fills else df
 
 
-def fit_impute(df: DataFrame, continuous=(), categorical=(), binary=(),
-               relative_error: float | None = None) -> Imputer:
-    """One aggregate: null count, median or mode per column.  Columns without
-    nulls are left out of the transform (the reference's skip rule)."""
-    aggs = []
+def impute_stats(df: DataFrame, continuous=(), categorical=(), binary=(),
+                 relative_error: float | None = None) -> DataFrame:
+    """The imputation fit as a frame, one aggregate over the table:
+    ``(column_name, n_missing, median, mode)`` - the median for continuous
+    columns, the most frequent value (smallest on ties, as text) for
+    categorical and binary ones."""
+    aggs, rows = [], []
     for c in continuous:
         aggs += [F.count_if(F.col(f"`{c}`").isNull()).alias(f"{c}__nulls"),
-                 quantiles(F.col(f"`{c}`"), [0.5], relative_error)[0].alias(f"{c}__fill")]
+                 quantiles(F.col(f"`{c}`"), [0.5], relative_error)[0].cast("double").alias(f"{c}__fill")]
+        rows.append(F.struct(F.lit(c).alias("column_name"), F.col(f"`{c}__nulls`").alias("n_missing"),
+                             F.col(f"`{c}__fill`").alias("median"), F.lit(None).cast("string").alias("mode")))
     for c in [*categorical, *binary]:
         aggs += [F.count_if(F.col(f"`{c}`").isNull()).alias(f"{c}__nulls"),
-                 F.mode(F.col(f"`{c}`"), deterministic=True).alias(f"{c}__fill")]
-    if not aggs:
+                 F.mode(F.col(f"`{c}`"), deterministic=True).cast("string").alias(f"{c}__fill")]
+        rows.append(F.struct(F.lit(c).alias("column_name"), F.col(f"`{c}__nulls`").alias("n_missing"),
+                             F.lit(None).cast("double").alias("median"), F.col(f"`{c}__fill`").alias("mode")))
+    return df.agg(*aggs).select(F.inline(F.array(*rows)))
+
+
+def fit_impute(df: DataFrame, continuous=(), categorical=(), binary=(),
+               relative_error: float | None = None) -> Imputer:
+    """One aggregate: null count, median or mode per column.  Columns without
+    nulls are left out of the transform (the reference's skip rule)."""
+    if not [*continuous, *categorical, *binary]:
         return Imputer("impute", {"fills": {}})
-    r = df.agg(*aggs).first()
+    types = dict(df.dtypes)
     fills = {}
-    for c in [*continuous, *categorical, *binary]:
-        if r[f"{c}__nulls"] and r[f"{c}__fill"] is not None:
-            v = r[f"{c}__fill"]
-            fills[c] = float(v) if c in continuous else v
+    for r in impute_stats(df, continuous, categorical, binary, relative_error).collect():  # one row per column
+        c = r["column_name"]
+        v = r["median"] if c in continuous else r["mode"]
+        if r["n_missing"] and v is not None:
+            if c in continuous:
+                fills[c] = float(v)
+            elif types[c] in ("int", "bigint", "smallint", "tinyint"):
+                fills[c] = int(v)
+            elif types[c] in ("double", "float"):
+                fills[c] = float(v)
+            else:
+                fills[c] = v
     return Imputer("impute", {"fills": fills})
 
 

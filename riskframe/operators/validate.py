@@ -59,6 +59,34 @@ def validate(df: DataFrame, roles: Roles, binary_includes_target: bool = True) -
     if not discrete and not continuous:
         return schema_df
 
+    vc = value_profile(df, discrete, continuous)
+    parts = [schema_df]
+    if column_rules:
+        parts.append(_allowed(vc, {c: roles.valid_values[c] for c in roles.categorical
+                                   if c in roles.valid_values}))
+        parts.append(_binary(vc, binary))
+        parts.append(_negative(vc, continuous))
+    if target_ok:
+        parts.append(_classes(vc, roles.target, roles.expected_classes))
+    return _union(parts)
+
+
+def _union(parts):
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def value_profile(df: DataFrame, discrete, continuous=()) -> DataFrame:
+    """``(column_name, value, n_bad)``: counts per distinct value of the discrete
+    columns and the negative-value counts of the continuous ones.
+
+    One unpivot and one grouped aggregate (map-side combine, so a value held
+    by a third of the rows is a single partial counter per task).  The
+    result is sized by the distinct values; it is checkpointed once and
+    every rule reads it instead of re-scanning the table.
+    """
     cells = [F.struct(F.lit(c).alias("column_name"), F.col(f"`{c}`").cast("string").alias("value"))
              for c in discrete]
     cells += [F.struct(F.lit(c).alias("column_name"),
@@ -68,40 +96,73 @@ def validate(df: DataFrame, roles: Roles, binary_includes_target: bool = True) -
     vc = (df.select(F.explode(F.array(*cells)).alias("cv")).select("cv.*")
           .filter(~F.array_contains(cont, F.col("column_name")) | F.col("value").isNotNull())
           .groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n_bad")))
-    # result-sized (distinct values of the discrete columns): computed once,
-    # every rule below reads it instead of re-scanning the table
-    vc = cut_lineage(vc)
+    return cut_lineage(vc)
 
-    def bad_values(rule, severity, cond):
-        return vc.filter(cond).select(F.lit(rule).alias("rule"), "column_name", F.lit(severity).alias("severity"),
-                                      F.coalesce("value", F.lit(NULL_TEXT)).alias("value"), "n_bad")
 
-    parts = [schema_df]
-    if column_rules:
-        for c in roles.categorical:
-            if c in roles.valid_values:
-                dom = roles.valid_values[c]
-                parts.append(bad_values("allowed_values", "warning", (F.col("column_name") == c) & (
-                    F.col("value").isNull() | ~F.col("value").isin(dom))))
-        for c in binary:
-            parts.append(bad_values("binary_domain", "error", (F.col("column_name") == c) & (
-                F.col("value").isNull() | ~F.col("value").isin("0", "1"))))
-        for c in continuous:
-            parts.append(bad_values("non_negative", "warning", (F.col("column_name") == c) &
-                                    (F.col("value") == "negative")))
-    if target_ok:
-        exp = [str(x) for x in roles.expected_classes]
-        present = vc.filter(F.col("column_name") == roles.target)
-        parts.append(bad_values("unexpected_class", "error", (F.col("column_name") == roles.target) & (
-            F.col("value").isNull() | ~F.col("value").isin(exp))))
-        expected_df = spark.createDataFrame([(roles.target, e) for e in exp], "column_name string, value string")
-        parts.append(expected_df.join(present, ["column_name", "value"], "left_anti").select(
-            F.lit("class_missing").alias("rule"), "column_name", F.lit("warning").alias("severity"),
-            "value", F.lit(0).cast("long").alias("n_bad")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+def _bad(vc, rule, severity, cond):
+    return vc.filter(cond).select(F.lit(rule).alias("rule"), "column_name", F.lit(severity).alias("severity"),
+                                  F.coalesce("value", F.lit(NULL_TEXT)).alias("value"), "n_bad")
+
+
+def _allowed(vc, domains: dict) -> DataFrame:
+    cond = F.lit(False)
+    for c, dom in domains.items():
+        cond = cond | ((F.col("column_name") == c) & (F.col("value").isNull() | ~F.col("value").isin(list(dom))))
+    return _bad(vc, "allowed_values", "warning", cond)
+
+
+def _binary(vc, cols) -> DataFrame:
+    cond = F.col("column_name").isin(list(cols)) & (F.col("value").isNull() | ~F.col("value").isin("0", "1")) \
+        if cols else F.lit(False)
+    return _bad(vc, "binary_domain", "error", cond)
+
+
+def _negative(vc, cols) -> DataFrame:
+    cond = F.col("column_name").isin(list(cols)) & (F.col("value") == "negative") if cols else F.lit(False)
+    return _bad(vc, "non_negative", "warning", cond)
+
+
+def _classes(vc, target: str, expected) -> DataFrame:
+    spark = vc.sparkSession
+    exp = [str(x) for x in expected]
+    present = vc.filter(F.col("column_name") == target)
+    bad = _bad(vc, "unexpected_class", "error", (F.col("column_name") == target) & (
+        F.col("value").isNull() | ~F.col("value").isin(exp)))
+    expected_df = spark.createDataFrame([(target, e) for e in exp], "column_name string, value string")
+    missing = expected_df.join(present, ["column_name", "value"], "left_anti").select(
+        F.lit("class_missing").alias("rule"), "column_name", F.lit("warning").alias("severity"),
+        "value", F.lit(0).cast("long").alias("n_bad"))
+    return bad.unionByName(missing)
+
+
+# Single rules on any table (each one grouped aggregate over the named columns).
+
+def not_empty(df: DataFrame) -> DataFrame:
+    """One row ``(rule, severity, passed)``; reads at most one row."""
+    ok = not df.isEmpty()
+    return df.sparkSession.createDataFrame([("not_empty", "error", ok)], "rule string, severity string, passed boolean")
+
+
+def allowed_values(df: DataFrame, domains: dict) -> DataFrame:
+    """Values outside each column's domain (a missing value counts as invalid)."""
+    return _allowed(value_profile(df, list(domains)), domains)
+
+
+def binary_domain(df: DataFrame, cols) -> DataFrame:
+    """Values other than 0/1 (missing included) per binary column."""
+    return _binary(value_profile(df, list(cols)), cols)
+
+
+def non_negative(df: DataFrame, cols) -> DataFrame:
+    """Count of negative values per numeric column (only columns that have some)."""
+    return _negative(value_profile(df, [], list(cols)), cols)
+
+
+def target_classes(df: DataFrame, target: str, expected) -> DataFrame:
+    """Unexpected target values (error) and expected classes that never occur (warning)."""
+    if target not in df.columns:
+        return _rows(df.sparkSession, [("target_missing", target, "error", None, None)])
+    return _classes(value_profile(df, [target]), target, expected)
 
 
 def validation_summary(report: DataFrame) -> DataFrame:

@@ -101,3 +101,38 @@ def q_winsorize(spark, sf):
 def q_winsorize_events(spark, sf):
     e = table(spark, sf, "events").select("event_id", "value")
     return round_all(clean.fit_winsorize(e, ["value"]).transform(e))
+
+
+# -- the imputation fit itself (§2.4 impute_median / impute_mode) -------------
+_MODE_COLS = [("orders", ["o_orderstatus", "o_orderpriority"]), ("events", ["event_type"])]
+
+
+def _median_sql(src, c):
+    return (f"SELECT '{c}' AS column_name, COUNT(*) FILTER (WHERE {c} IS NULL) AS n_missing, "
+            f"ROUND(QUANTILE_CONT({c}, 0.5), 6) AS median, CAST(NULL AS VARCHAR) AS mode FROM {src}")
+
+
+def _mode_row_sql(src, c):
+    return (f"SELECT '{c}' AS column_name, COUNT(*) FILTER (WHERE {c} IS NULL) AS n_missing, "
+            f"CAST(NULL AS DOUBLE) AS median, CAST({mode_sql(src, c)} AS VARCHAR) AS mode FROM {src}")
+
+
+@register("impute_median", with_views("\nUNION ALL\n".join(
+    [_median_sql("patients_dirty", c) for c in CONT] + [_median_sql("events", "value"),
+                                                       _median_sql("orders", "o_totalprice")]), "patients_dirty"))
+def q_impute_median(spark, sf):
+    """Median fill value and missing count per continuous column (one aggregate per table)."""
+    return round_all(clean.impute_stats(patients_dirty(spark, sf), CONT)
+                     .unionByName(clean.impute_stats(table(spark, sf, "events"), ["value"]))
+                     .unionByName(clean.impute_stats(table(spark, sf, "orders"), ["o_totalprice"])))
+
+
+@register("impute_mode", with_views("\nUNION ALL\n".join(
+    [_mode_row_sql("patients_dirty", c) for c in DISCRETE]
+    + [_mode_row_sql(t, c) for t, cols in _MODE_COLS for c in cols]), "patients_dirty"))
+def q_impute_mode(spark, sf):
+    """Most frequent value (smallest on ties) and missing count per categorical / binary column."""
+    out = clean.impute_stats(patients_dirty(spark, sf), (), C.CATEGORICAL, [c for c in C.BINARY if c != C.TARGET])
+    for t, cols in _MODE_COLS:
+        out = out.unionByName(clean.impute_stats(table(spark, sf, t), (), cols))
+    return out
