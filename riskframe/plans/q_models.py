@@ -85,3 +85,24 @@ def q_final_fit(spark, sf):
     trials = T.tune(train, feats, TARGET, n_trials=2, space=T.SMALL_SPACE)
     _, report, auc, _ = T.final_fit(train, test, feats, TARGET, T.best_params(trials))
     return round_all(report.withColumn("roc_auc", F.lit(auc.first()[0])))  # one number
+
+
+@register("tuning_cv")
+def q_tuning_cv(spark, sf):
+    """One trial's fold loop: the held-out fold is the validation set (early stopping);
+    accuracy, recall, F1 and ROC-AUC per fold."""
+    train, _, feats = modelling_data(spark, sf, folds=3)
+    rows = T.tuning_cv(train, feats, TARGET, {"maxIter": 10, "stepSize": 0.1, "maxDepth": 4, "maxBins": 32})
+    return round_all(spark.createDataFrame(rows, "fold int, accuracy double, recall double, f1 double, "
+                                                 "roc_auc double"))
+
+
+@register("train_many")
+def q_train_many(spark, sf):
+    """Two models, one of them failing (depth beyond Spark's limit): the failure is
+    recorded and the other model's train and test predictions are kept."""
+    train, test, feats = modelling_data(spark, sf, folds=0)
+    preds, _, status, _ = MD.train_many(train, test, ["logistic_regression", "random_forest"], feats, TARGET,
+                                        cv=False, params={"random_forest": {"maxDepth": 31}})
+    n = preds.groupBy("model").agg(F.count(F.lit(1)).alias("n_predictions"))
+    return status.select("model", "status").join(n, "model", "left")
