@@ -237,24 +237,47 @@ def box_stats(df: DataFrame, cols, whisker: float = 1.5) -> DataFrame:
 
 
 def factorize(df: DataFrame, col: str, out: str | None = None,
-              broadcast_max_rows: int = 1_000_000) -> DataFrame:
+              broadcast_max_rows: int = 1_000_000, values_per_task: int = 1_000_000) -> DataFrame:
     """Integer code per distinct value in sorted order; null -> -1.
 
-    Codes come from the distinct values (ranked on a result-sized frame) and
-    are joined back; the code table is broadcast only when its row count is
-    checked to be under ``broadcast_max_rows``.
+    Codes come from the distinct values and are joined back.  When their
+    count is checked to be under ``broadcast_max_rows`` they are ranked in
+    one small task and broadcast; above it the ranking is distributed
+    (``_distributed_codes``) and the join is a shuffle join, where AQE splits
+    a hot value's partition.
     """
     out = out or col
     d = df.select(F.col(f"`{col}`").alias("__v")).filter(F.col("__v").isNotNull()).distinct()
-    codes = d.withColumn("__code", F.dense_rank().over(Window.orderBy("__v")) - 1)
-    if d.count() <= broadcast_max_rows:
-        codes = F.broadcast(codes)
+    n = d.count()
+    if n <= broadcast_max_rows:
+        codes = F.broadcast(d.withColumn("__code", F.dense_rank().over(Window.orderBy("__v")) - 1))
+    else:
+        codes = _distributed_codes(d, max(2, -(-n // values_per_task)))
     j = df.join(codes, df[f"`{col}`"].eqNullSafe(codes["__v"]), "left")
     cols = [c for c in df.columns if c != col] if out == col else df.columns
     return j.select(*[F.col(f"`{c}`") for c in cols],
                     F.coalesce(F.col("__code"), F.lit(-1)).cast("int").alias(out))
 
 
+def _distributed_codes(d: DataFrame, n_parts: int) -> DataFrame:
+    """Dense 0-based rank of distinct values ``__v`` without a global window.
+
+    The values are range-partitioned and sorted inside each partition, then
+    written to the checkpoint folder, which fixes every row's partition and
+    position.  A row's code is the number of values in earlier partitions
+    (offsets from one count per partition, a table of ``n_parts`` rows) plus
+    its position in its own partition.
+    """
+    from ..session import cut_lineage
+    s = cut_lineage(d.repartitionByRange(n_parts, "__v").sortWithinPartitions("__v"))
+    s = s.select("__v", F.spark_partition_id().alias("__p"), F.monotonically_increasing_id().alias("__m"))
+    counts = s.groupBy("__p").agg(F.count(F.lit(1)).alias("__n"))
+    before = Window.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)  # n_parts rows
+    offs = counts.select("__p", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"))
+    local = F.col("__m") - F.shiftleft(F.col("__p").cast("long"), 33)
+    return s.join(F.broadcast(offs), "__p").select("__v", (F.col("__off") + local).alias("__code"))
+
+
 def corr_matrix(df: DataFrame, cols) -> DataFrame:
     """Pairwise-complete Pearson correlation, long form (col_i, col_j, r) for i != j.
 
