@@ -30,19 +30,34 @@ class LabelEncoder(Fitted):
         return df.withColumns(out)
 
 
-def fit_label_encoder(df: DataFrame, cols, max_labels: int = 100_000) -> LabelEncoder:
-    """Sorted distinct values per column (text cast, null -> 'nan').
+def sorted_distinct(df: DataFrame, exprs: dict, max_per_column: int) -> dict:
+    """name -> sorted distinct non-null values of each expression, in one job.
+
+    The expressions are unpivoted into (name, value), de-duplicated (map-side
+    combine) and at most ``max_per_column * len(exprs) + 1`` rows come to the
+    driver; a column over its limit raises instead of growing the result.
+    """
+    names = list(exprs)
+    cells = F.array(*[F.struct(F.lit(n).alias("n"), e.alias("v")) for n, e in exprs.items()])
+    d = df.select(F.inline(cells)).filter(F.col("v").isNotNull()).distinct()
+    cap = max_per_column * len(names) + 1
+    rows = d.limit(cap).collect()
+    out = {n: [] for n in names}
+    for r in rows:
+        out[r["n"]].append(r["v"])
+    over = [n for n, v in out.items() if len(v) > max_per_column]
+    if over or len(rows) == cap:
+        raise ValueError(f"{over or names}: more than {max_per_column} distinct values")
+    return {n: sorted(v) for n, v in out.items()}
+
 
-    The labels are model-sized; the distinct count is checked before they
-    are brought to the driver."""
-    labels = {}
-    for c in cols:
-        d = df.select(_as_text(c).alias("v")).distinct()
-        n = d.count()
-        if n > max_labels:
-            raise ValueError(f"{c}: {n} distinct values exceed max_labels={max_labels}")
-        labels[c] = [r["v"] for r in d.orderBy("v").collect()]
-    return LabelEncoder("label", {"labels": labels})
+def fit_label_encoder(df: DataFrame, cols, max_labels: int = 100_000) -> LabelEncoder:
+    """Sorted distinct values per column (text cast, null -> 'nan'), all
+    columns in one job.  The labels are model-sized; their count is bounded
+    before they reach the driver."""
+    if not cols:
+        return LabelEncoder("label", {"labels": {}})
+    return LabelEncoder("label", {"labels": sorted_distinct(df, {c: _as_text(c) for c in cols}, max_labels)})
 
 
 @dataclass
@@ -61,13 +76,10 @@ class OneHotEncoder(Fitted):
 
 
 def fit_onehot(df: DataFrame, cols, max_categories: int = 1000) -> OneHotEncoder:
-    cats = {}
-    for c in cols:
-        d = df.select(F.col(f"`{c}`").cast("string").alias("v")).filter(F.col("v").isNotNull()).distinct()
-        n = d.count()
-        if n > max_categories:
-            raise ValueError(f"{c}: {n} categories exceed max_categories={max_categories}")
-        cats[c] = [r["v"] for r in d.orderBy("v").collect()]
+    """Sorted categories per column (nulls are no category), all columns in one job."""
+    if not cols:
+        return OneHotEncoder("onehot", {"categories": {}})
+    cats = sorted_distinct(df, {c: F.col(f"`{c}`").cast("string") for c in cols}, max_categories)
     return OneHotEncoder("onehot", {"categories": cats})
 
 

@@ -61,8 +61,8 @@ def process_data(df: DataFrame, roles: Roles, keys, test_size: float = C.TEST_SI
     enc = encode.fit_label_encoder(train, cats) if encoding == "label" else encode.fit_onehot(train, cats)
     df = enc.transform(df)
     train = df.filter(F.col("split") == "train")
-    rob = scale.fit_robust(train, [c for c in robust_cols if c in df.columns], relative_error)
-    std = scale.fit_standard(train, [c for c in standard_cols if c in df.columns])
+    rob, std = scale.fit_scalers(train, [c for c in robust_cols if c in df.columns],
+                                 [c for c in standard_cols if c in df.columns], relative_error)
     df = std.transform(rob.transform(df))
     stages.update({"encode": enc, "robust": rob, "standard": std})
     return Prepared(df, stages)
