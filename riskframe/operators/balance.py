@@ -22,20 +22,39 @@ def _class_counts(df, label):
     return {r[label]: r["n"] for r in df.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()}
 
 
+COPY_CHUNK = 4096  # synthetic rows made from one descriptor row after the spread
+
+
 def _interpolate(base: DataFrame, nn: DataFrame, feats, key, label, k_avail: int, seed: int,
-                 passthrough=()) -> DataFrame:
-    """base has (key, feats, label, passthrough, copies); one synthetic row per copy."""
-    ex = base.filter(F.col("copies") > 0).select(
-        key, *feats, label, *passthrough,
-        F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias("copy"))
+                 passthrough=(), max_copies: int | None = None) -> DataFrame:
+    """base has (key, feats, label, passthrough, copies); one synthetic row per copy.
+
+    Every base row first gets its (at most ``k``) neighbour vectors as a small
+    array, so no join follows the explode and synthetic rows are never
+    shuffled.  Copies are made in two steps: one descriptor row per chunk of
+    ``COPY_CHUNK`` copies, spread over tasks by (key, chunk) when a row needs
+    more than one chunk (a single minority row may have to produce a third
+    of all rows), then the copies inside each chunk.
+    """
+    nbv = base.select(F.col(key).alias("n_key"), *[F.col(c).alias(f"nb__{c}") for c in feats])
+    nbs = nn.select(F.col("q_key").alias(key), "rank", "n_key").join(nbv, "n_key") \
+        .groupBy(key).agg(F.array_sort(F.collect_list(F.struct("rank", *[f"nb__{c}" for c in feats])))
+                          .alias("__nbs"))  # <= k entries per key
+    b = base.filter(F.col("copies") > 0).join(nbs, key)
+    chunk = F.explode(F.sequence(F.lit(0), F.floor((F.col("copies") - 1) / F.lit(COPY_CHUNK)).cast("int")))
+    ch = b.select(key, *feats, label, *passthrough, "copies", "__nbs", chunk.alias("__chunk"))
+    if max_copies is None or max_copies > COPY_CHUNK:
+        ch = ch.repartition(key, "__chunk")
+    lo = F.col("__chunk") * F.lit(COPY_CHUNK)
+    hi = F.least(F.col("copies"), lo + F.lit(COPY_CHUNK)) - 1
+    ex = ch.select(key, *feats, label, *passthrough, "__nbs", F.explode(F.sequence(lo, hi)).alias("copy"))
     u_nb = hash_uniform(row_hash(seed, [key, "copy"], "nb"))
     u_gap = hash_uniform(row_hash(seed, [key, "copy"], "gap"))
-    ex = ex.withColumn("rank", (F.floor(u_nb * F.lit(k_avail)) + 1).cast("int")).withColumn("gap", u_gap)
-    nbv = base.select(F.col(key).alias("n_key"), *[F.col(c).alias(f"nb__{c}") for c in feats])
-    j = ex.join(nn.select(F.col("q_key").alias(key), "rank", "n_key"), [key, "rank"]).join(nbv, "n_key")
+    rank = (F.floor(u_nb * F.lit(k_avail)) + 1).cast("int")
+    ex = ex.withColumn("__nb", F.filter("__nbs", lambda x: x["rank"] == rank)[0]).withColumn("gap", u_gap)
     out = [F.concat(F.col(key).cast("string"), F.lit("#"), F.col("copy").cast("string")).alias(key)]
-    out += [(F.col(c) + F.col("gap") * (F.col(f"nb__{c}") - F.col(c))).alias(c) for c in feats]
-    return j.select(*out, label, *passthrough, F.lit(True).alias("synthetic"))
+    out += [(F.col(c) + F.col("gap") * (F.col("__nb")[f"nb__{c}"] - F.col(c))).alias(c) for c in feats]
+    return ex.select(*out, label, *passthrough, F.lit(True).alias("synthetic"))
 
 
 def smote(df: DataFrame, features, label: str, key: str, k: int = 5, seed: int = 42,
@@ -60,7 +79,8 @@ def smote(df: DataFrame, features, label: str, key: str, k: int = 5, seed: int =
         flagged = first_k_by_hash(rows, label, [key], lambda n: F.lit(rem), seed, "smote", "__extra")
         base = flagged.withColumn("copies", F.lit(q) + F.col("__extra").cast("int")).drop("__extra")
         nn = knn(rows, feats, key, k, slab_rows=slab_rows)
-        out = out.unionByName(_interpolate(base, nn, feats, key, label, min(k, n_c - 1), seed, passthrough))
+        out = out.unionByName(_interpolate(base, nn, feats, key, label, min(k, n_c - 1), seed, passthrough,
+                                           max_copies=q + (1 if rem else 0)))
     return out
 
 
@@ -91,7 +111,8 @@ def adasyn(df: DataFrame, features, label: str, key: str, k: int = 5, seed: int
     base = rows.join(ratio, key).withColumn(
         "copies", F.bround(F.col("__r") / F.lit(total) * F.lit(float(g_total)), 0).cast("int")).drop("__r")
     nn = knn(rows, feats, key, k, slab_rows=slab_rows)
-    return orig.unionByName(_interpolate(base, nn, feats, key, label, min(k, n_min - 1), seed, passthrough))
+    return orig.unionByName(_interpolate(base, nn, feats, key, label, min(k, n_min - 1), seed, passthrough,
+                                         max_copies=g_total))
 
 
 def tomek_links(df: DataFrame, features, label: str, key: str, slab_rows: int = 1024) -> DataFrame:

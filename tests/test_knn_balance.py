@@ -121,3 +121,24 @@ def test_unknown_strategy(spark):
     import pytest
     with pytest.raises(ValueError):
         B.resample(keyed(spark), "borderline", FEATS, "diabetes", "rid")
+
+
+def test_smote_hot_copies_spread_in_chunks(spark, monkeypatch):
+    """Three minority rows must produce ~200 rows: copies come in chunks spread over
+    tasks; count, key uniqueness and the segment property hold as without chunks."""
+    from pyspark.sql import functions as F
+
+    from riskframe.operators import balance as B
+    rows = [(f"M{i}", float(i), float(2 * i), 1) for i in range(3)]
+    rows += [(f"J{i}", float(i % 17) + 10.0, float(i % 5), 0) for i in range(203)]
+    df = spark.createDataFrame(rows, "rid string, x double, y double, lab int")
+    whole = B.smote(df, ["x", "y"], "lab", "rid", k=2, seed=7).select("rid", "x", "y", "synthetic")
+    monkeypatch.setattr(B, "COPY_CHUNK", 16)
+    chunked = B.smote(df, ["x", "y"], "lab", "rid", k=2, seed=7).select("rid", "x", "y", "synthetic")
+    a, b = sorted(map(tuple, whole.collect())), sorted(map(tuple, chunked.collect()))
+    assert a == b
+    syn = chunked.filter("synthetic")
+    assert syn.count() == 200 and syn.select("rid").distinct().count() == 200
+    # every synthetic point lies on the line y = 2x between two minority rows
+    assert syn.filter(F.abs(F.col("y") - 2 * F.col("x")) > 1e-9).count() == 0
+    assert syn.filter((F.col("x") < 0) | (F.col("x") > 2)).count() == 0
