@@ -92,9 +92,20 @@ def read_zip_csv(spark: SparkSession, path: str, schema: StructType) -> DataFram
     return nan_to_null(parsed)
 
 
+def _filesystem(uri: str):
+    """(pyarrow filesystem, path inside it) for a folder URI: ``file:``, ``hdfs:``,
+    ``s3:`` ... or a plain path, so tasks write to the shared storage the
+    session uses and not to a machine-local disk."""
+    from pyarrow import fs as pafs
+    if "://" not in uri:
+        uri = "file://" + os.path.abspath(uri[len("file:"):] if uri.startswith("file:") else uri)
+    return pafs.FileSystem.from_uri(uri)
+
+
 def _zip_partition(folder, columns):
     def fn(it):
-        zf = member = None
+        fs = base = None
+        zf = member = out = None
         final = tmp = None
         rows = 0
         for pdf in it:
@@ -103,10 +114,12 @@ def _zip_partition(folder, columns):
             if zf is None:
                 # deterministic name per partition + atomic rename: a retried task
                 # overwrites its own archive instead of adding a second copy
+                fs, base = _filesystem(folder)
                 pid = int(pdf["__pid"].iloc[0])
-                final = os.path.join(folder, f"part-{pid:05d}.zip")
+                final = f"{base.rstrip('/')}/part-{pid:05d}.zip"
                 tmp = f"{final}.{os.getpid()}.tmp"
-                zf = zipfile.ZipFile(tmp, "w", zipfile.ZIP_DEFLATED)
+                out = fs.open_output_stream(tmp)
+                zf = zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED)  # streamed (no seek needed)
                 member = zf.open("data.csv", "w", force_zip64=True)
                 member.write(pdf[columns].head(0).to_csv(index=False).encode("utf-8"))
             member.write(pdf[columns].to_csv(index=False, header=False).encode("utf-8"))
@@ -114,15 +127,19 @@ def _zip_partition(folder, columns):
         if zf is not None:
             member.close()
             zf.close()
-            os.replace(tmp, final)
+            out.close()
+            fs.move(tmp, final)
             yield pd.DataFrame({"archive": [final], "rows": [rows]})
     return fn
 
 
 def write_zip_csv(df: DataFrame, folder: str, partitions: int = 4) -> DataFrame:
-    """One zip archive (a CSV member) per partition, written by the tasks to a
-    shared (POSIX-mounted) folder; returns (archive, rows)."""
-    os.makedirs(folder, exist_ok=True)
+    """One zip archive (a CSV member) per partition, written by the tasks to the
+    shared folder ``folder`` (any URI pyarrow's filesystems resolve); returns
+    (archive, rows).  Rows are spread by a hash of all columns, so a retried
+    task sees the same rows."""
+    fs, base = _filesystem(folder)
+    fs.create_dir(base, recursive=True)
     cols = df.columns
-    parted = df.repartition(partitions).withColumn("__pid", F.spark_partition_id())
+    parted = df.repartition(partitions, *[F.col(f"`{c}`") for c in cols]).withColumn("__pid", F.spark_partition_id())
     return parted.mapInPandas(_zip_partition(folder, cols), "archive string, rows long")

@@ -69,3 +69,19 @@ def test_io_errors(spark, tmp_path):
         files.read_file(spark, str(tmp_path / "x.xlsx"), "a int")
     with pytest.raises(KeyError):
         snapshots.get_version(spark, str(tmp_path / "snap"), "nope")
+
+
+def test_zip_roundtrip_paths_and_retry(spark, tmp_path):
+    import pytest
+    from riskframe.sources import files
+    df = spark.range(500).selectExpr("id", "id * 0.5 AS x", "CAST(id % 3 AS STRING) AS s")
+    for folder in (str(tmp_path / "plain"), "file:" + str(tmp_path / "uri")):
+        files.write_zip_csv(df, folder, partitions=3).collect()
+        files.write_zip_csv(df, folder, partitions=3).collect()  # a re-run replaces its own archives
+        back = files.read_zip_csv(spark, folder, df.schema)
+        assert sorted(map(tuple, back.collect())) == sorted(map(tuple, df.collect()))
+    bad = tmp_path / "bad"
+    bad.mkdir()
+    (bad / "x.zip").write_bytes(b"not a zip")
+    with pytest.raises(Exception, match="not a zip archive"):
+        files.read_zip_csv(spark, str(bad), df.schema).collect()
