@@ -102,6 +102,36 @@ def _block_fn(features, radius: bool, max_cells: int = 4_000_000):
     return fn
 
 
+def _covariance(v: DataFrame, features) -> np.ndarray:
+    """Sample covariance of the feature columns.
+
+    Each task reduces its rows to (n, sum x, X^T X) with numpy; Spark sums
+    those d^2 + d + 1 numbers per position (a tiny grouped aggregate).  One
+    ``covar_samp`` per pair would be d(d+1)/2 aggregates, too many for
+    whole-stage codegen at ~20 features.
+    """
+    d = len(features)
+
+    def moments(it):
+        n, sx, xx = 0, np.zeros(d), np.zeros((d, d))
+        for pdf in it:
+            x = pdf[list(features)].to_numpy(np.float64)
+            n += len(x)
+            sx += x.sum(axis=0)
+            xx += x.T @ x
+        yield pd.DataFrame({"m": [np.concatenate([[float(n)], sx, xx.ravel()]).tolist()]})
+
+    parts = v.select(*features).mapInPandas(moments, "m array<double>")
+    tot = parts.select(F.posexplode("m").alias("i", "x")).groupBy("i").agg(F.sum("x").alias("x"))
+    got = dict(tot.collect())  # d^2 + d + 1 rows
+    m = np.array([got.get(i, 0.0) for i in range(1 + d + d * d)])
+    n, sx, xx = m[0], m[1:1 + d], m[1 + d:].reshape(d, d)
+    if n < 2:
+        return np.zeros((d, d))
+    cov = (xx - np.outer(sx, sx) / n) / (n - 1)
+    return np.where(np.isfinite(cov), cov, 0.0)
+
+
 def _directions(v: DataFrame, features) -> list:
     """Two orthonormal unit vectors: the first two principal axes of the
     distinct vectors, tilted by a fixed small irrational mix so that distinct
@@ -109,14 +139,7 @@ def _directions(v: DataFrame, features) -> list:
     d = len(features)
     if d == 1:
         return [[1.0]]
-    aggs = [F.covar_samp(F.col(a), F.col(b)).alias(f"c{i}_{j}")
-            for i, a in enumerate(features) for j, b in enumerate(features) if j >= i]
-    r = v.agg(*aggs).first()
-    cov = np.zeros((d, d))
-    for i in range(d):
-        for j in range(i, d):
-            x = r[f"c{i}_{j}"]
-            cov[i, j] = cov[j, i] = 0.0 if x is None or math.isnan(x) else x
+    cov = _covariance(v, features)
     vecs = np.linalg.eigh(cov)[1] if np.any(cov) else np.eye(d)
     tilt = np.array([math.sqrt(2.0 + i) % 1.0 + 0.1 for i in range(d)])
     w1 = vecs[:, -1] / np.linalg.norm(vecs[:, -1]) + 0.01 * tilt / np.linalg.norm(tilt)
@@ -140,12 +163,12 @@ def knn(df: DataFrame, features, key: str, k: int = 5, query_col: str | None = N
     rows = df.select(F.col(key).cast("string").alias("key"), *fcols, is_q.alias("is_q"), vid.alias("vid"))
 
     # 1. distinct vectors with multiplicity; smallest k+1 keys per vector
-    vec = rows.groupBy("vid", *feats).agg(F.count(F.lit(1)).alias("m"),
-                                          F.count_if("is_q").alias("mq"))
+    vec = cut_lineage(rows.groupBy("vid", *feats).agg(F.count(F.lit(1)).alias("m"),
+                                                      F.count_if("is_q").alias("mq")))
     axes = _directions(vec, feats)
     proj = [sum((F.col(c) * F.lit(float(wj)) for c, wj in zip(feats, w)), F.lit(0.0)) for w in axes]
+    # a projection of the checkpoint: recomputing it gives the same values
     vec = vec.withColumn("p", proj[0]).withColumn("p2", proj[1] if len(proj) > 1 else F.lit(0.0))
-    vec = cut_lineage(vec)
     salted = rows.withColumn("salt", F.pmod(F.xxhash64("key"), F.lit(salt)))
     t1 = salted.withColumn("rn", F.row_number().over(Window.partitionBy("vid", "salt").orderBy("key"))) \
         .filter(F.col("rn") <= k + 1)
