@@ -21,14 +21,19 @@ from . import metrics as M
 FEATURES_COL, LABEL_COL, WEIGHT_COL = "features", "label_d", "weight"
 
 
-def balanced_weights(df: DataFrame, label: str, weight_col: str = WEIGHT_COL) -> DataFrame:
+def balanced_weights(df: DataFrame, label: str, weight_col: str = WEIGHT_COL, counts: dict | None = None) -> DataFrame:
     """class_weight='balanced': n / (n_classes * n_c), from one grouped count."""
-    counts = {r[label]: r["n"] for r in df.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()}
+    counts = counts or class_counts(df, label)
     n, k = sum(counts.values()), len(counts)
     m = F.create_map(*[x for c, nc in counts.items() for x in (F.lit(c), F.lit(n / (k * nc)))])
     return df.withColumn(weight_col, m[F.col(label)])
 
 
+def class_counts(df: DataFrame, label: str) -> dict:
+    """class -> rows (one grouped count; one row per class reaches the driver)."""
+    return {r[label]: r["n"] for r in df.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()}
+
+
 def class_weights(df: DataFrame, label: str, weights: dict, weight_col: str = WEIGHT_COL) -> DataFrame:
     m = F.create_map(*[x for c, w in weights.items() for x in (F.lit(c), F.lit(float(w)))])
     return df.withColumn(weight_col, F.coalesce(m[F.col(label)], F.lit(1.0)))
@@ -76,10 +81,10 @@ MODELS = {
 }
 
 
-def prepare_xy(df: DataFrame, features, label: str, weighting) -> DataFrame:
+def prepare_xy(df: DataFrame, features, label: str, weighting, counts: dict | None = None) -> DataFrame:
     out = df.withColumn(LABEL_COL, F.col(label).cast("double"))
     if weighting == "balanced":
-        out = balanced_weights(out, label)
+        out = balanced_weights(out, label, counts=counts)
     elif isinstance(weighting, dict):
         out = class_weights(out, label, weighting)
     else:
@@ -98,8 +103,14 @@ def build(name: str, features, n_weight: float = 1.0, **params) -> Pipeline:
 
 def fit(df: DataFrame, name: str, features, label: str, **params) -> PipelineModel:
     weighting = MODELS[name][1] if name in MODELS else None
-    xy = prepare_xy(df, features, label, weighting)
-    n_w = xy.agg(F.sum(WEIGHT_COL)).first()[0] if name == "logistic_regression" else 1.0
+    n_w = 1.0
+    if name == "logistic_regression":
+        # the objective's total weight; balanced weights sum to the row count
+        counts = class_counts(df, label)
+        xy = prepare_xy(df, features, label, weighting, counts)
+        n_w = float(sum(counts.values())) if weighting == "balanced" else xy.agg(F.sum(WEIGHT_COL)).first()[0]
+    else:
+        xy = prepare_xy(df, features, label, weighting)
     return build(name, features, n_w, **params).fit(xy)
 
 
