@@ -104,6 +104,10 @@ def adasyn(df: DataFrame, features, label: str, key: str, k: int = 5, seed: int
     labels = orig.select(F.col(key).alias("n_key"), F.col(label).alias("__nl"))
     ratio = nn_all.join(labels, "n_key").groupBy(F.col("q_key").alias(key)).agg(
         (F.count_if(F.col("__nl") != F.lit(c_min)) / F.lit(float(k))).alias("__r"))
+    # read twice (its total, then the copies): written once, so the neighbour
+    # search over all rows runs once
+    from ..session import cut_lineage
+    ratio = cut_lineage(ratio)
     total = ratio.agg(F.sum("__r")).first()[0] or 0.0
     if total == 0:
         raise RuntimeError("no neighbour of the minority class belongs to the majority class")
