@@ -246,17 +246,49 @@ def factorize(df: DataFrame, col: str, out: str | None = None,
     (``_distributed_codes``) and the join is a shuffle join, where AQE splits
     a hot value's partition.
     """
+    from ..session import cut_lineage
     out = out or col
-    d = df.select(F.col(f"`{col}`").alias("__v")).filter(F.col("__v").isNotNull()).distinct()
-    n = d.count()
+    # distinct values: written once, then counted and ranked from the copy
+    d = cut_lineage(df.select(F.col(f"`{col}`").alias("__v")).filter(F.col("__v").isNotNull()).distinct())
+    codes = _codes(d, d.count(), broadcast_max_rows, values_per_task)
+    return _attach(df, col, out, codes)
+
+
+def _codes(d: DataFrame, n: int, broadcast_max_rows: int, values_per_task: int) -> DataFrame:
     if n <= broadcast_max_rows:
-        codes = F.broadcast(d.withColumn("__code", F.dense_rank().over(Window.orderBy("__v")) - 1))
-    else:
-        codes = _distributed_codes(d, max(2, -(-n // values_per_task)))
-    j = df.join(codes, df[f"`{col}`"].eqNullSafe(codes["__v"]), "left")
+        return F.broadcast(d.withColumn("__code", F.dense_rank().over(Window.orderBy("__v")) - 1))
+    return _distributed_codes(d, max(2, -(-n // values_per_task)))
+
+
+def _attach(df: DataFrame, col: str, out: str, codes: DataFrame) -> DataFrame:
+    codes = codes.select(F.col("__v").alias(f"__v_{out}"), F.col("__code").alias(f"__code_{out}"))
+    j = df.join(codes, df[f"`{col}`"].eqNullSafe(codes[f"`__v_{out}`"]), "left")
     cols = [c for c in df.columns if c != col] if out == col else df.columns
     return j.select(*[F.col(f"`{c}`") for c in cols],
-                    F.coalesce(F.col("__code"), F.lit(-1)).cast("int").alias(out))
+                    F.coalesce(F.col(f"`__code_{out}`"), F.lit(-1)).cast("int").alias(out))
+
+
+def factorize_columns(df: DataFrame, cols, broadcast_max_rows: int = 1_000_000,
+                      values_per_task: int = 1_000_000) -> DataFrame:
+    """``factorize`` of several columns in place, with one pass for all string
+    columns: their (column, value) pairs are unpivoted and de-duplicated
+    together, written once, and every column's codes come from that copy.
+    Other types keep their own ordering and go through ``factorize``."""
+    from ..session import cut_lineage
+    types = dict(df.dtypes)
+    strs = [c for c in cols if types[c] == "string"]
+    for c in cols:
+        if c not in strs:
+            df = factorize(df, c, None, broadcast_max_rows, values_per_task)
+    if len(strs) < 2:
+        return factorize(df, strs[0], None, broadcast_max_rows, values_per_task) if strs else df
+    cells = F.array(*[F.struct(F.lit(c).alias("__c"), F.col(f"`{c}`").alias("__v")) for c in strs])
+    d = cut_lineage(df.select(F.inline(cells)).filter(F.col("__v").isNotNull()).distinct())
+    counts = {r["__c"]: r["n"] for r in d.groupBy("__c").agg(F.count(F.lit(1)).alias("n")).collect()}
+    for c in strs:
+        dc = d.filter(F.col("__c") == c).select("__v")
+        df = _attach(df, c, c, _codes(dc, counts.get(c, 0), broadcast_max_rows, values_per_task))
+    return df
 
 
 def _distributed_codes(d: DataFrame, n_parts: int) -> DataFrame:
@@ -284,9 +316,9 @@ def corr_matrix(df: DataFrame, cols) -> DataFrame:
     String columns are factorized first.  One aggregate of ``corr`` over all
     pairs (i < j); the other triangle is the mirror.
     """
-    for c in cols:
-        if dict(df.dtypes)[c] == "string":
-            df = factorize(df, c)
+    strs = [c for c in cols if dict(df.dtypes)[c] == "string"]
+    if strs:
+        df = factorize_columns(df, strs)
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
     agg = df.agg(*[F.corr(F.col(f"`{a}`").cast("double"), F.col(f"`{b}`").cast("double"))
                    .alias(f"{a}__{b}") for a, b in pairs])

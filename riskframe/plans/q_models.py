@@ -8,7 +8,7 @@ from .. import config as C
 from ..functions.exprs import round_all
 from ..operators import models as MD
 from ..operators import tune as T
-from ..operators.profile import factorize
+from ..operators.profile import factorize_columns
 from ..sources.fixtures import patients
 from .catalog import register
 from .train import TARGET, modelling_data
@@ -31,8 +31,7 @@ for _n in MD.MODELS:
 def q_rf_importance(spark, sf):
     """Random-forest importances (100 trees, balanced weights) on coded columns, top 8."""
     p = patients(spark, sf).drop("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
-    for c in C.CATEGORICAL:
-        p = factorize(p, c)
+    p = factorize_columns(p, C.CATEGORICAL)
     feats = [c for c in C.EXPECTED_COLUMNS if c != TARGET]
     m = MD.fit(p, "random_forest", feats, TARGET, numTrees=100, maxDepth=10)
     return MD.importance_frame(spark, m, feats, top_k=8)

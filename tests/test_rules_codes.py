@@ -58,3 +58,16 @@ def test_factorize_distributed_equals_single_task(spark):
     assert j.count() == 4500
     assert j.filter(F.col("a") != F.col("b")).count() == 0
     assert j.agg(F.min("a"), F.max("a")).first() == (-1, 502)
+
+
+def test_factorize_columns_equals_one_by_one(spark):
+    from riskframe.operators.profile import factorize_columns
+    rows = [(i, f"a{i % 7}" if i % 5 else None, f"b{(i * 3) % 11}", i % 4) for i in range(300)]
+    df = spark.createDataFrame(rows, "id int, s string, t string, n int")
+    one = factorize(factorize(factorize(df, "s"), "t"), "n")
+    many = factorize_columns(df, ["s", "t", "n"])
+    many_spread = factorize_columns(df, ["s", "t"], broadcast_max_rows=3, values_per_task=4)
+    a = sorted(map(tuple, one.select("id", "s", "t", "n").collect()))
+    assert a == sorted(map(tuple, many.select("id", "s", "t", "n").collect()))
+    b = sorted(map(tuple, one.select("id", "s", "t").collect()))
+    assert b == sorted(map(tuple, many_spread.select("id", "s", "t").collect()))
