@@ -17,6 +17,7 @@ from ..session import cut_lineage
 
 REPORT_SCHEMA = "rule string, column_name string, severity string, value string, n_bad long"
 NULL_TEXT = "<null>"
+ROWS = "__rows"  # value-profile entry holding the row count
 
 
 def _rows(spark, rows):
@@ -25,8 +26,6 @@ def _rows(spark, rows):
 
 def validate(df: DataFrame, roles: Roles, binary_includes_target: bool = True) -> DataFrame:
     spark = df.sparkSession
-    if df.isEmpty():
-        return _rows(spark, [("not_empty", None, "error", None, 0)])
     fields = {f.name: f.dataType for f in df.schema.fields}
     expected = roles.expected_columns
     schema_rows = []
@@ -56,10 +55,14 @@ def validate(df: DataFrame, roles: Roles, binary_includes_target: bool = True) -
             else:
                 schema_rows.append(("non_numeric", c, "error", None, None))
     schema_df = _rows(spark, schema_rows)
+    # one pass over the data: the value profile also counts the rows, which
+    # decides the not-empty rule (a failed basic check stops everything)
+    vc = value_profile(df, discrete, continuous)
+    n_rows = vc.filter(F.col("column_name") == ROWS).select("n_bad").first()
+    if not n_rows or not n_rows[0]:
+        return _rows(spark, [("not_empty", None, "error", None, 0)])
     if not discrete and not continuous:
         return schema_df
-
-    vc = value_profile(df, discrete, continuous)
     parts = [schema_df]
     if column_rules:
         parts.append(_allowed(vc, {c: roles.valid_values[c] for c in roles.categorical
@@ -80,7 +83,8 @@ def _union(parts):
 
 def value_profile(df: DataFrame, discrete, continuous=()) -> DataFrame:
     """``(column_name, value, n_bad)``: counts per distinct value of the discrete
-    columns and the negative-value counts of the continuous ones.
+    columns, the negative-value counts of the continuous ones and the row
+    count (``column_name = '__rows'``).
 
     One unpivot and one grouped aggregate (map-side combine, so a value held
     by a third of the rows is a single partial counter per task).  The
@@ -92,6 +96,7 @@ def value_profile(df: DataFrame, discrete, continuous=()) -> DataFrame:
     cells += [F.struct(F.lit(c).alias("column_name"),
                        F.when(F.col(f"`{c}`") < 0, F.lit("negative")).alias("value"))
               for c in continuous]
+    cells.append(F.struct(F.lit(ROWS).alias("column_name"), F.lit(None).cast("string").alias("value")))
     cont = F.array(*[F.lit(c) for c in continuous]) if continuous else F.array().cast("array<string>")
     vc = (df.select(F.explode(F.array(*cells)).alias("cv")).select("cv.*")
           .filter(~F.array_contains(cont, F.col("column_name")) | F.col("value").isNotNull())
