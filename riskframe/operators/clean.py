@@ -75,13 +75,14 @@ def dedup(df: DataFrame, cols=None) -> DataFrame:
     return df.dropDuplicates(cols) if cols else df.dropDuplicates()
 
 
-def _moments(df: DataFrame, cols):
+def _moments(df: DataFrame, cols, with_quartiles: bool = True):
     aggs = []
     for c in cols:
         x = F.col(f"`{c}`").cast("double")
         aggs += [F.avg(x).alias(f"{c}__mean"), F.stddev_samp(x).alias(f"{c}__std"),
-                 F.min(x).alias(f"{c}__min"), F.max(x).alias(f"{c}__max"),
-                 F.percentile(x, [0.25, 0.75]).alias(f"{c}__q")]
+                 F.min(x).alias(f"{c}__min"), F.max(x).alias(f"{c}__max")]
+        if with_quartiles:
+            aggs.append(F.percentile(x, [0.25, 0.75]).alias(f"{c}__q"))
     return df.agg(*aggs).first()
 
 
@@ -118,20 +119,29 @@ class Winsorizer(Fitted):
             for c, (lo, hi) in b.items()}) if b else df
 
 
-def fit_winsorize(df: DataFrame, cols, threshold: float = 3.0, factor: float = 1.5) -> Winsorizer:
+def fit_winsorize(df: DataFrame, cols, threshold: float = 3.0, factor: float = 1.5,
+                  method: str = "exact") -> Winsorizer:
     """Cap a column to [Q1 - 1.5 IQR, Q3 + 1.5 IQR] only when its z-test finds an
     outlier.  ``max |x - mean| / std > t`` equals "some z > t", so one
-    aggregate decides the trigger and the bounds together."""
-    r = _moments(df, cols)
-    bounds = {}
+    aggregate decides the trigger and the bounds together.
+
+    ``method='bounded'``: the aggregate decides the trigger only, and the
+    quartiles of the triggered columns come from ``exact_quantiles`` (same
+    values, memory independent of the number of distinct values)."""
+    from .profile import exact_quantiles
+    bounded = method == "bounded"
+    r = _moments(df, cols, with_quartiles=not bounded)
+    capped = []
     for c in cols:
-        mean, std, lo, hi, q = (r[f"{c}__mean"], r[f"{c}__std"], r[f"{c}__min"],
-                                r[f"{c}__max"], r[f"{c}__q"])
-        if mean is None or not std:
-            continue
-        if max(hi - mean, mean - lo) / std > threshold:
-            iqr = q[1] - q[0]
-            bounds[c] = [q[0] - factor * iqr, q[1] + factor * iqr]
+        mean, std, lo, hi = r[f"{c}__mean"], r[f"{c}__std"], r[f"{c}__min"], r[f"{c}__max"]
+        if mean is not None and std and max(hi - mean, mean - lo) / std > threshold:
+            capped.append(c)
+    qs = exact_quantiles(df, capped, [0.25, 0.75]) if bounded and capped else {}
+    bounds = {}
+    for c in capped:
+        q = qs[c] if bounded else r[f"{c}__q"]
+        iqr = q[1] - q[0]
+        bounds[c] = [q[0] - factor * iqr, q[1] + factor * iqr]
     return Winsorizer("winsorize", {"bounds": bounds})
 
 

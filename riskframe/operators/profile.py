@@ -61,13 +61,21 @@ def column_info(df: DataFrame) -> DataFrame:
     return out.select("column_name", mapping[F.col("column_name")].alias("dtype"), "non_null")
 
 
-def describe(df: DataFrame, cols=None, relative_error: float | None = None) -> DataFrame:
-    """count, mean, std (sample), min, 25/50/75 %, max per numeric column; one aggregate."""
+def describe(df: DataFrame, cols=None, relative_error: float | None = None,
+             method: str = "exact") -> DataFrame:
+    """count, mean, std (sample), min, 25/50/75 %, max per numeric column; one aggregate.
+
+    ``method='bounded'`` takes the quartiles from ``exact_quantiles`` (same
+    values, memory independent of the number of distinct values)."""
     cols = cols or numeric_columns(df)
+    fixed = exact_quantiles(df, cols, [0.25, 0.5, 0.75]) if method == "bounded" else None
     aggs = []
     for c in cols:
         x = F.col(f"`{c}`").cast("double")
-        q = quantiles(x, [0.25, 0.5, 0.75], relative_error)
+        if fixed is not None:
+            q = F.lit(fixed[c]).cast("array<double>") if fixed[c] else F.lit(None).cast("array<double>")
+        else:
+            q = quantiles(x, [0.25, 0.5, 0.75], relative_error)
         aggs += [F.count(x).alias(f"{c}__count"), F.avg(x).alias(f"{c}__mean"),
                  F.stddev_samp(x).alias(f"{c}__std"), F.min(x).alias(f"{c}__min"),
                  q.alias(f"{c}__q"), F.max(x).alias(f"{c}__max")]
@@ -213,10 +221,13 @@ def kde_curve(df: DataFrame, col: str, gridsize: int = 200, cut: float = 3.0) ->
         .select("idx", (F.lit(g0) + F.col("idx") * F.lit(step)).alias("grid"), "density")
 
 
-def box_stats(df: DataFrame, cols, whisker: float = 1.5) -> DataFrame:
+def box_stats(df: DataFrame, cols, whisker: float = 1.5, method: str = "exact") -> DataFrame:
     """Quartiles, whisker ends (furthest points inside 1.5 IQR) and outlier count per column."""
-    fit = df.agg(*[F.percentile(F.col(f"`{c}`").cast("double"), [0.25, 0.5, 0.75]).alias(c)
-                   for c in cols]).first()
+    if method == "bounded":
+        fit = exact_quantiles(df, cols, [0.25, 0.5, 0.75])
+    else:
+        fit = df.agg(*[F.percentile(F.col(f"`{c}`").cast("double"), [0.25, 0.5, 0.75]).alias(c)
+                       for c in cols]).first()
     aggs, cols_ok = [], []
     for c in cols:
         q = fit[c]
@@ -336,3 +347,149 @@ def target_corr(df: DataFrame, features, target: str) -> DataFrame:
                    for c in features])
     structs = [F.struct(F.lit(c).alias("feature"), F.col(f"`{c}`").alias("r")) for c in features]
     return agg.select(F.inline(F.array(*structs))).orderBy(F.desc_nulls_last("r"), "feature")
+
+
+
+def exact_quantiles(df: DataFrame, cols, probs, accuracy: int = 10_000,
+                    max_interior: int = 10_000, max_rounds: int = 10) -> dict:
+    """column -> exact linear-interpolated quantiles (equal to ``percentile``),
+    with memory bounded by ``accuracy`` and ``max_interior`` instead of by
+    the number of distinct values (``percentile`` keeps one counter per
+    distinct value, merged in one task).
+
+    For each needed rank k (floor and ceil of (n - 1) q) a bracket [lo, hi]
+    comes from ``percentile_approx`` (rank error about n / accuracy).  One
+    pass counts the rows below lo, the ties at lo and at hi and the rows
+    strictly inside; when the inside is small, its values are collected
+    (at most ``max_interior``) and k's value is read from the sorted bracket
+    ``lo x ties, inside, hi x ties``.  A larger inside is narrowed again by
+    ``percentile_approx`` restricted to the bracket.  A value held by a
+    third of the rows is a tie count, never a list.  A bracket that misses
+    its rank falls back to the previous one with a wider margin.
+    """
+    cols, probs = list(cols), list(probs)
+    x = {c: F.col(f"`{c}`").cast("double") for c in cols}
+    ns = df.agg(*[F.count(x[c]).alias(f"n{i}") for i, c in enumerate(cols)]).first()
+    n_of = {c: ns[f"n{i}"] for i, c in enumerate(cols)}
+    # state per (column, rank): closed bracket [lo, hi] (None = open end), rows
+    # below it, rows in it, rows strictly inside it; the previous state and
+    # the margin factor for a retry
+    state = {}
+    for c in cols:
+        n = n_of[c]
+        for q in probs:
+            if n:
+                h = (n - 1) * q
+                for k in (int(math.floor(h)), int(math.ceil(h))):
+                    b = {"lo": None, "hi": None, "below": 0, "closed": n, "inner": n}
+                    state[(c, k)] = dict(b, prev=dict(b), width=2.0)
+    found = {}
+
+    def in_closed(c, lo, hi):
+        cond = x[c].isNotNull()
+        if lo is not None:
+            cond = cond & (x[c] >= F.lit(lo))
+        if hi is not None:
+            cond = cond & (x[c] <= F.lit(hi))
+        return cond
+
+    def strict(c, lo, hi):
+        cond = x[c].isNotNull()
+        if lo is not None:
+            cond = cond & (x[c] > F.lit(lo))
+        if hi is not None:
+            cond = cond & (x[c] < F.lit(hi))
+        return cond
+
+    zero = F.lit(0).cast("long")
+    keys = ("lo", "hi", "below", "closed", "inner")
+    for _ in range(max_rounds):
+        open_t = [t for t in state if t not in found]
+        if not open_t:
+            break
+        # 1. narrow the brackets whose inside is too large to collect
+        wide = [t for t in open_t if state[t]["inner"] > max_interior]
+        if wide:
+            aggs, rels = [], []
+            for i, t in enumerate(wide):
+                st = state[t]
+                rel = (t[1] - st["below"]) / max(1, st["closed"] - 1)
+                eps = st["width"] / accuracy
+                rels.append((rel - eps, rel + eps))
+                aggs.append(F.percentile_approx(F.when(in_closed(t[0], st["lo"], st["hi"]), x[t[0]]),
+                                                [max(0.0, rel - eps), min(1.0, rel + eps)], accuracy)
+                            .alias(f"p{i}"))
+            r = df.agg(*aggs).first()
+            for i, t in enumerate(wide):
+                st = state[t]
+                st["prev"] = {k: st[k] for k in keys}
+                p_lo, p_hi = r[f"p{i}"]
+                if rels[i][0] > 0:
+                    st["lo"] = p_lo
+                if rels[i][1] < 1:
+                    st["hi"] = p_hi
+                # no progress: the sketch cannot split the inside, so it holds few
+                # distinct values (O(accuracy)); its histogram is collected next
+                st["stalled"] = (st["lo"], st["hi"]) == (st["prev"]["lo"], st["prev"]["hi"])
+        # 2. one pass: rows below, ties at both ends, rows and distinct values strictly inside
+        aggs = []
+        for i, t in enumerate(open_t):
+            c, st = t[0], state[t]
+            lo, hi = st["lo"], st["hi"]
+            inner = strict(c, lo, hi)
+            aggs += [(F.count_if(x[c] < F.lit(lo)) if lo is not None else zero).alias(f"b{i}"),
+                     (F.count_if(x[c] == F.lit(lo)) if lo is not None else zero).alias(f"l{i}"),
+                     (F.count_if(x[c] == F.lit(hi)) if hi is not None and hi != lo else zero).alias(f"u{i}"),
+                     F.count_if(inner).alias(f"m{i}"),
+                     F.approx_count_distinct(F.when(inner, x[c])).alias(f"d{i}")]
+        r = df.agg(*aggs).first()
+        # 3. (value, count) pairs inside the brackets with few distinct values:
+        #    bounded by max_interior per bracket, whatever the row counts
+        small = [i for i, t in enumerate(open_t)
+                 if r[f"m{i}"] and (r[f"m{i}"] <= max_interior or r[f"d{i}"] <= max_interior // 2
+                                    or state[t].get("stalled"))]
+        hist = {i: [] for i in small}
+        if small:
+            cells = F.array(*[F.when(strict(open_t[i][0], state[open_t[i]]["lo"], state[open_t[i]]["hi"]),
+                                     F.struct(F.lit(i).alias("t"), x[open_t[i][0]].alias("v"))) for i in small])
+            pairs = df.select(F.explode(F.filter(cells, lambda e: e.isNotNull())).alias("e")) \
+                .groupBy("e.t", "e.v").agg(F.count(F.lit(1)).alias("n"))
+            for row in pairs.collect():
+                hist[row["t"]].append((row["v"], row["n"]))
+        for i, t in enumerate(open_t):
+            st = state[t]
+            below, n_lo, n_hi, m = r[f"b{i}"], r[f"l{i}"], r[f"u{i}"], r[f"m{i}"]
+            pos = t[1] - below
+            if 0 <= pos < n_lo + m + n_hi:
+                if pos < n_lo:
+                    found[t] = st["lo"]
+                elif pos >= n_lo + m:
+                    found[t] = st["hi"]
+                elif i in hist:
+                    rest = pos - n_lo
+                    for v, cnt in sorted(hist[i]):
+                        if rest < cnt:
+                            found[t] = v
+                            break
+                        rest -= cnt
+                else:
+                    st.update(below=below, closed=n_lo + m + n_hi, inner=m)
+            else:  # the approximate bracket missed the rank: previous bracket, wider margin
+                st.update(st["prev"])
+                st["width"] *= 4
+    out = {}
+    for c in cols:
+        n = n_of[c]
+        if not n:
+            out[c] = None
+            continue
+        res = []
+        for q in probs:
+            h = (n - 1) * q
+            lo_k, hi_k = int(math.floor(h)), int(math.ceil(h))
+            if (c, lo_k) not in found or (c, hi_k) not in found:
+                raise RuntimeError(f"quantile selection for {c} did not converge")
+            a, b = found[(c, lo_k)], found[(c, hi_k)]
+            res.append(a if lo_k == hi_k else (hi_k - h) * a + (h - lo_k) * b)
+        out[c] = res
+    return out

@@ -100,7 +100,7 @@ def q_winsorize(spark, sf):
 @register("winsorize_events", f"SELECT event_id, ROUND(value, 6) AS value FROM ({winsor_sql('events', ['value'], ['event_id'])})")
 def q_winsorize_events(spark, sf):
     e = table(spark, sf, "events").select("event_id", "value")
-    return round_all(clean.fit_winsorize(e, ["value"]).transform(e))
+    return round_all(clean.fit_winsorize(e, ["value"], method="bounded").transform(e))
 
 
 # -- the imputation fit itself (§2.4 impute_median / impute_mode) -------------

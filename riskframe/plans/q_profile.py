@@ -63,7 +63,7 @@ def q_describe(spark, sf):
 
 @register("describe_events", _describe_sql("events", ["value"]))
 def q_describe_events(spark, sf):
-    return round_all(P.describe(table(spark, sf, "events"), ["value"]))
+    return round_all(P.describe(table(spark, sf, "events"), ["value"], method="bounded"))
 
 
 NULLS_SQL = with_views(f"""
@@ -203,7 +203,7 @@ def q_box(spark, sf):
 
 @register("box_stats_events", _box_sql("events", ["value"]))
 def q_box_events(spark, sf):
-    return round_all(P.box_stats(table(spark, sf, "events"), ["value"]))
+    return round_all(P.box_stats(table(spark, sf, "events"), ["value"], method="bounded"))
 
 
 # -- correlations --------------------------------------------------------------
