@@ -27,15 +27,19 @@ class Imputer(Fitted):
 
 
 def impute_stats(df: DataFrame, continuous=(), categorical=(), binary=(),
-                 relative_error: float | None = None) -> DataFrame:
+                 relative_error: float | None = None, method: str = "exact") -> DataFrame:
     """The imputation fit as a frame, one aggregate over the table:
     ``(column_name, n_missing, median, mode)`` - the median for continuous
     columns, the most frequent value (smallest on ties, as text) for
-    categorical and binary ones."""
+    categorical and binary ones.  ``method='bounded'`` takes the medians
+    from ``exact_quantiles`` (memory independent of the distinct values)."""
+    from .profile import exact_quantiles
+    meds = exact_quantiles(df, list(continuous), [0.5]) if method == "bounded" and continuous else {}
     aggs, rows = [], []
     for c in continuous:
-        aggs += [F.count_if(F.col(f"`{c}`").isNull()).alias(f"{c}__nulls"),
-                 quantiles(F.col(f"`{c}`"), [0.5], relative_error)[0].cast("double").alias(f"{c}__fill")]
+        med = (F.lit(meds[c][0] if meds[c] else None).cast("double") if method == "bounded"
+               else quantiles(F.col(f"`{c}`"), [0.5], relative_error)[0].cast("double"))
+        aggs += [F.count_if(F.col(f"`{c}`").isNull()).alias(f"{c}__nulls"), med.alias(f"{c}__fill")]
         rows.append(F.struct(F.lit(c).alias("column_name"), F.col(f"`{c}__nulls`").alias("n_missing"),
                              F.col(f"`{c}__fill`").alias("median"), F.lit(None).cast("string").alias("mode")))
     for c in [*categorical, *binary]:

@@ -121,10 +121,11 @@ def _mode_row_sql(src, c):
     [_median_sql("patients_dirty", c) for c in CONT] + [_median_sql("events", "value"),
                                                        _median_sql("orders", "o_totalprice")]), "patients_dirty"))
 def q_impute_median(spark, sf):
-    """Median fill value and missing count per continuous column (one aggregate per table)."""
+    """Median fill value and missing count per continuous column; the high-cardinality
+    events / orders columns use the bounded exact selection."""
     return round_all(clean.impute_stats(patients_dirty(spark, sf), CONT)
-                     .unionByName(clean.impute_stats(table(spark, sf, "events"), ["value"]))
-                     .unionByName(clean.impute_stats(table(spark, sf, "orders"), ["o_totalprice"])))
+                     .unionByName(clean.impute_stats(table(spark, sf, "events"), ["value"], method="bounded"))
+                     .unionByName(clean.impute_stats(table(spark, sf, "orders"), ["o_totalprice"], method="bounded")))
 
 
 @register("impute_mode", with_views("\nUNION ALL\n".join(
