@@ -162,21 +162,26 @@ def _auto_bins(n: int, lo: float, hi: float, q25: float, q75: float) -> int:
     return max(1, int(math.ceil(span / width)))
 
 
-def histogram(df: DataFrame, cols, bins: int | None = None) -> DataFrame:
+def histogram(df: DataFrame, cols, bins: int | None = None, method: str = "exact") -> DataFrame:
     """Equal-width bin counts per column (last bin closed), automatic bin count by default.
 
     One aggregate fits (min, max, n, IQR) per column; the counting is one
-    grouped aggregate over (column, bin) after an unpivot.
+    grouped aggregate over (column, bin) after an unpivot.  With
+    ``method='bounded'`` the quartiles come from ``exact_quantiles``.
     """
+    bounded = method == "bounded" and not bins
+    qs = exact_quantiles(df, cols, [0.25, 0.75]) if bounded else {}
     aggs = []
     for c in cols:
         x = F.col(f"`{c}`").cast("double")
-        aggs += [F.count(x).alias(f"{c}__n"), F.min(x).alias(f"{c}__lo"), F.max(x).alias(f"{c}__hi"),
-                 F.percentile(x, [0.25, 0.75]).alias(f"{c}__q")]
+        aggs += [F.count(x).alias(f"{c}__n"), F.min(x).alias(f"{c}__lo"), F.max(x).alias(f"{c}__hi")]
+        if not bounded and not bins:
+            aggs.append(F.percentile(x, [0.25, 0.75]).alias(f"{c}__q"))
     fit = df.agg(*aggs).first()
     params = {}
     for c in cols:
-        n, lo, hi, q = fit[f"{c}__n"], fit[f"{c}__lo"], fit[f"{c}__hi"], fit[f"{c}__q"]
+        n, lo, hi = fit[f"{c}__n"], fit[f"{c}__lo"], fit[f"{c}__hi"]
+        q = qs.get(c) if bounded else (None if bins else fit[f"{c}__q"])
         if n == 0:
             continue
         k = bins or _auto_bins(n, lo, hi, q[0], q[1])

@@ -166,7 +166,7 @@ def q_histogram(spark, sf):
 
 @register("histogram_events", _hist_sql("events", ["value"]))
 def q_histogram_events(spark, sf):
-    return round_all(P.histogram(table(spark, sf, "events"), ["value"]))
+    return round_all(P.histogram(table(spark, sf, "events"), ["value"], method="bounded"))
 
 
 KDE_SQL = with_views("""
