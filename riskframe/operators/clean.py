@@ -51,14 +51,14 @@ def impute_stats(df: DataFrame, continuous=(), categorical=(), binary=(),
 
 
 def fit_impute(df: DataFrame, continuous=(), categorical=(), binary=(),
-               relative_error: float | None = None) -> Imputer:
+               relative_error: float | None = None, method: str = "exact") -> Imputer:
     """One aggregate: null count, median or mode per column.  Columns without
     nulls are left out of the transform (the reference's skip rule)."""
     if not [*continuous, *categorical, *binary]:
         return Imputer("impute", {"fills": {}})
     types = dict(df.dtypes)
     fills = {}
-    for r in impute_stats(df, continuous, categorical, binary, relative_error).collect():  # one row per column
+    for r in impute_stats(df, continuous, categorical, binary, relative_error, method).collect():  # one row per column
         c = r["column_name"]
         v = r["median"] if c in continuous else r["mode"]
         if r["n_missing"] and v is not None:

@@ -45,18 +45,25 @@ def fit_standard(df: DataFrame, cols) -> Scaler:
     return Scaler("standard", {"columns": out})
 
 
-def fit_scalers(df: DataFrame, robust_cols, standard_cols, relative_error: float | None = None):
-    """(robust, standard) scalers from one shared aggregate over ``df``."""
+def fit_scalers(df: DataFrame, robust_cols, standard_cols, relative_error: float | None = None,
+                method: str = "exact"):
+    """(robust, standard) scalers from one shared aggregate over ``df``
+    (``method='bounded'``: the robust quartiles from ``exact_quantiles``)."""
+    from .profile import exact_quantiles
     robust_cols, standard_cols = list(robust_cols), list(standard_cols)
     if not robust_cols and not standard_cols:
         return fit_robust(df, []), fit_standard(df, [])
     x = lambda c: F.col(f"`{c}`").cast("double")
-    r = df.agg(*[quantiles(x(c), [0.25, 0.5, 0.75], relative_error).alias(f"{c}__q") for c in robust_cols],
-               *[F.avg(x(c)).alias(f"{c}__m") for c in standard_cols],
-               *[F.stddev_pop(x(c)).alias(f"{c}__s") for c in standard_cols]).first()
+    bounded = method == "bounded"
+    qs = exact_quantiles(df, robust_cols, [0.25, 0.5, 0.75]) if bounded and robust_cols else {}
+    aggs = [] if bounded else [quantiles(x(c), [0.25, 0.5, 0.75], relative_error).alias(f"{c}__q")
+                               for c in robust_cols]
+    aggs += [F.avg(x(c)).alias(f"{c}__m") for c in standard_cols]
+    aggs += [F.stddev_pop(x(c)).alias(f"{c}__s") for c in standard_cols]
+    r = df.agg(*aggs).first() if aggs else None
     rob = {}
     for c in robust_cols:
-        q = r[f"{c}__q"]
+        q = qs[c] if bounded else r[f"{c}__q"]
         iqr = q[2] - q[0]
         rob[c] = [q[1], iqr if iqr != 0 else 1.0]
     std = {c: [r[f"{c}__m"], r[f"{c}__s"] if r[f"{c}__s"] else 1.0] for c in standard_cols}

@@ -28,14 +28,18 @@ def process_data(df: DataFrame, roles: Roles, keys, test_size: float = C.TEST_SI
                  seed: int = C.SEED, encoding: str = "label",
                  robust_cols=tuple(C.ROBUST_COLUMNS), standard_cols=tuple(C.STANDARD_COLUMNS),
                  outlier_threshold: float = C.OUTLIER_Z, cap_fit_on: str = "train",
-                 relative_error: float | None = None, materialize: bool = True) -> Prepared:
+                 relative_error: float | None = None, materialize: bool = True,
+                 quantile_method: str = "exact") -> Prepared:
     """Returns the prepared rows (with ``split``) and the fitted stages.
 
     ``cap_fit_on='each'`` reproduces the reference, which caps the test rows
     with test statistics; the default fits the caps on train only.
+    ``quantile_method='bounded'`` fits medians and quartiles with
+    ``exact_quantiles`` (same values; memory independent of the number of
+    distinct values, for high-cardinality columns at scale).
     """
     df = clean.nan_to_null(df)
-    imp = clean.fit_impute(df, roles.continuous, roles.categorical, roles.binary, relative_error)
+    imp = clean.fit_impute(df, roles.continuous, roles.categorical, roles.binary, relative_error, quantile_method)
     df = clean.dedup(imp.transform(df))
     if materialize:
         # the de-duplicated rows feed the split's two small jobs and four fits:
@@ -48,12 +52,12 @@ def process_data(df: DataFrame, roles: Roles, keys, test_size: float = C.TEST_SI
     stages = {"impute": imp}
     if cap_fit_on == "each":
         test = df.filter(F.col("split") == "test")
-        cap_tr = clean.fit_winsorize(train, cont, outlier_threshold)
-        cap_te = clean.fit_winsorize(test, cont, outlier_threshold)
+        cap_tr = clean.fit_winsorize(train, cont, outlier_threshold, method=quantile_method)
+        cap_te = clean.fit_winsorize(test, cont, outlier_threshold, method=quantile_method)
         df = cap_tr.transform(train).unionByName(cap_te.transform(test))
         stages["winsorize_train"], stages["winsorize_test"] = cap_tr, cap_te
     else:
-        cap = clean.fit_winsorize(train, cont, outlier_threshold)
+        cap = clean.fit_winsorize(train, cont, outlier_threshold, method=quantile_method)
         df = cap.transform(df)
         stages["winsorize"] = cap
     train = df.filter(F.col("split") == "train")
@@ -62,7 +66,8 @@ def process_data(df: DataFrame, roles: Roles, keys, test_size: float = C.TEST_SI
     df = enc.transform(df)
     train = df.filter(F.col("split") == "train")
     rob, std = scale.fit_scalers(train, [c for c in robust_cols if c in df.columns],
-                                 [c for c in standard_cols if c in df.columns], relative_error)
+                                 [c for c in standard_cols if c in df.columns], relative_error,
+                                 quantile_method)
     df = std.transform(rob.transform(df))
     stages.update({"encode": enc, "robust": rob, "standard": std})
     return Prepared(df, stages)

@@ -29,3 +29,18 @@ def test_bounded_empty_and_single(spark):
     df = spark.createDataFrame([(None,), (2.5,)], "x double")
     assert exact_quantiles(df, ["x"], PROBS, max_interior=1) == {"x": [2.5] * len(PROBS)}
     assert exact_quantiles(df.filter("x > 10"), ["x"], PROBS) == {"x": None}
+
+
+def test_process_data_bounded_equals_exact(spark):
+    from conftest import SF_SMALL
+
+    from riskframe.config import PATIENT_ROLES
+    from riskframe.functions.exprs import round_all
+    from riskframe.operators.features import feature_transform
+    from riskframe.plans.prepare import process_data
+    from riskframe.sources.fixtures import KEY, patients_dirty
+    f = feature_transform(patients_dirty(spark, SF_SMALL))
+    a = round_all(process_data(f, PATIENT_ROLES, KEY).data, 9)
+    b = round_all(process_data(f, PATIENT_ROLES, KEY, quantile_method="bounded").data, 9)
+    cols = sorted(a.columns)
+    assert sorted(map(repr, a.select(*cols).collect())) == sorted(map(repr, b.select(*cols).collect()))
