@@ -102,18 +102,22 @@ def adasyn(df: DataFrame, features, label: str, key: str, k: int = 5, seed: int
     is_min = (F.col(label) == F.lit(c_min)).alias("__q")
     nn_all = knn(orig.select(key, *feats, label, is_min), feats, key, k, query_col="__q", slab_rows=slab_rows)
     labels = orig.select(F.col(key).alias("n_key"), F.col(label).alias("__nl"))
+    # share of other-class rows among the k neighbours, normalised over the
+    # minority rows: (c / k) / sum(c / k) = c / sum(c) with c an integer
+    # count, so the copies rint(c * G / sum c) do not depend on summation order
     ratio = nn_all.join(labels, "n_key").groupBy(F.col("q_key").alias(key)).agg(
-        (F.count_if(F.col("__nl") != F.lit(c_min)) / F.lit(float(k))).alias("__r"))
+        F.count_if(F.col("__nl") != F.lit(c_min)).alias("__c"))
     # read twice (its total, then the copies): written once, so the neighbour
     # search over all rows runs once
     from ..session import cut_lineage
     ratio = cut_lineage(ratio)
-    total = ratio.agg(F.sum("__r")).first()[0] or 0.0
+    total = ratio.agg(F.sum("__c")).first()[0] or 0
     if total == 0:
         raise RuntimeError("no neighbour of the minority class belongs to the majority class")
     rows = orig.filter(F.col(label) == F.lit(c_min))
     base = rows.join(ratio, key).withColumn(
-        "copies", F.bround(F.col("__r") / F.lit(total) * F.lit(float(g_total)), 0).cast("int")).drop("__r")
+        "copies", F.bround(F.col("__c").cast("double") * F.lit(float(g_total)) / F.lit(float(total)), 0)
+        .cast("int")).drop("__c")
     nn = knn(rows, feats, key, k, slab_rows=slab_rows)
     return orig.unionByName(_interpolate(base, nn, feats, key, label, min(k, n_min - 1), seed, passthrough,
                                          max_copies=g_total))
