@@ -2,21 +2,37 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import documents
+from .bpe import digests, encode_documents
+from .common import documents, workers_import
 from .dedup import exact_dedup
+from .packing import pack_documents
 from .sharding import shard_documents, tree_of
 
+#: Vocabulary file of the tokenizing queries.
+VOCABULARY = "byte_bpe_50k.json"
+
+
+def vocabulary() -> str:
+    import public_tokenizers
+    return public_tokenizers.path(VOCABULARY)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 
 def query(name: str, sql: str | None = None):
     def deco(fn):
-        QUERIES[name] = fn
+        @functools.wraps(fn)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            workers_import(spark)
+            return fn(spark, sf_dir)
+        QUERIES[name] = run
         if sql is not None:
             ORACLE[name] = sql
         return fn
@@ -26,6 +42,11 @@ def query(name: str, sql: str | None = None):
 _NORM = r"regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')"
 
 
+@query("op4_harmonic_packing")
+def op4_harmonic_packing(spark, sf_dir):
+    return pack_documents(documents(spark, sf_dir), vocabulary())
+
+
 @query("op6_exact_dedup", f"""
 WITH n AS (SELECT doc_id, sha256({_NORM}) AS text_sha256, length(coalesce(text, '')) AS p FROM documents),
 g AS (SELECT text_sha256, count(*) AS group_size, arg_min(doc_id, struct_pack(a := -p, b := doc_id)) AS keep_id
@@ -38,3 +59,9 @@ def op6_exact_dedup(spark, sf_dir):
 @query("op7_hash_tree_sharding")
 def op7_hash_tree_sharding(spark, sf_dir):
     return shard_documents(documents(spark, sf_dir), tree_of(8), tree_of(9))
+
+
+@query("op9_bpe_pair_index")
+def op9_bpe_pair_index(spark, sf_dir):
+    return encode_documents(documents(spark, sf_dir), vocabulary(), digests,
+                            "n_tokens long, ids_sha256 string, decoded_sha256 string")
