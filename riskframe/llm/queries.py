@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .bpe import digests, encode_documents
 from .common import documents, workers_import
 from .dedup import exact_dedup
+from .jaccard import near_duplicates
 from .packing import pack_documents
 from .sharding import shard_documents, tree_of
 
@@ -65,3 +66,8 @@ def op7_hash_tree_sharding(spark, sf_dir):
 def op9_bpe_pair_index(spark, sf_dir):
     return encode_documents(documents(spark, sf_dir), vocabulary(), digests,
                             "n_tokens long, ids_sha256 string, decoded_sha256 string")
+
+
+@query("op10_count_vector_jaccard")
+def op10_count_vector_jaccard(spark, sf_dir):
+    return near_duplicates(documents(spark, sf_dir), words=3, num=90, den=100)
