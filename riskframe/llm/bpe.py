@@ -230,7 +230,7 @@ class WordTable:
 
     SLOTS = 1 << 20
     #: Beyond so many words the table starts anew, which bounds a worker's memory.
-    MOST = 1_500_000
+    MOST = 1_200_000
 
     def __init__(self, path: str, keep_special: bool = True):
         self.vocab = Vocabulary.load(path)
@@ -360,7 +360,7 @@ def word_table(path: str, keep_special: bool = True) -> WordTable:
 
 
 def encoded(rows: Iterator[tuple[object, str | None]], path: str, keep_special: bool = True,
-            chunk: int = 3_000_000, most: int = 6_000_000) -> Iterator[tuple[object, np.ndarray]]:
+            chunk: int = 2_000_000, most: int = 6_000_000) -> Iterator[tuple[object, np.ndarray]]:
     """(key, ids) of every (key, text), in order; a null text is empty.
 
     Texts are looked up in chunks of about ``chunk`` characters; when about

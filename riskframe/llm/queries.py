@@ -6,11 +6,14 @@ import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from . import langid, quality, toxicity
 from .bpe import digests, encode_documents
 from .common import documents, workers_import
 from .dedup import exact_dedup
 from .jaccard import near_duplicates
+from .labelled import label_table, remainder, sample
 from .packing import pack_documents
 from .sharding import shard_documents, tree_of
 
@@ -43,6 +46,45 @@ def query(name: str, sql: str | None = None):
 _NORM = r"regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')"
 
 
+#: Labelled documents that a classifier is fitted on, at most.
+MAX_DOCS = 6000
+
+
+def toxicity_model(spark, docs, sf_dir) -> toxicity.NoisyOr:
+    """Fitted on at most MAX_DOCS labelled rows of ``docs`` outside the held-out fifth."""
+    labels = label_table(spark, sf_dir)
+    return toxicity.fit(sample(docs, labels, F.col("toxic"), remainder(5) == 0, MAX_DOCS))
+
+
+@query("op1_mil_toxicity")
+def op1_mil_toxicity(spark, sf_dir):
+    docs = documents(spark, sf_dir)
+    scored = toxicity.score_toxicity(docs, toxicity_model(spark, docs, sf_dir))
+    return scored.select("doc_id", (remainder(5) == 0).alias("held_out"), "score",
+                         (F.col("score") >= 0.5).cast("int").alias("predicted"),
+                         F.size("offending").alias("n_offending"),
+                         F.when(F.size("offending") > 0, F.array_max(F.transform(
+                             "offending", lambda x: F.struct(x["score"], x["start"], x["end"])))["start"]).alias("worst_start"))
+
+
+@query("op2_ordinal_quality")
+def op2_ordinal_quality(spark, sf_dir):
+    """Grades 0 (low quality), 1 (good but toxic), 2 (good and not toxic)."""
+    docs, labels = documents(spark, sf_dir), label_table(spark, sf_dir)
+    grade = F.col("quality") * (2 - F.col("toxic"))
+    model = quality.fit(sample(docs, labels, grade, remainder(5) == 0, MAX_DOCS), grades=3)
+    scored = quality.score_quality(docs, model)
+    return scored.select("doc_id", (remainder(5) == 0).alias("held_out"), F.col("tail_prob").alias("score"),
+                         F.col("kept").cast("int").alias("predicted"), "expected_grade", "tail_prob", "kept")
+
+
+@query("op3_hd_langid")
+def op3_hd_langid(spark, sf_dir):
+    docs = documents(spark, sf_dir)
+    profiles = langid.fit(docs.where(remainder(3) != 1))
+    return langid.identify(docs, profiles).select("doc_id", (remainder(3) == 1).alias("held_out"), "lang_pred", "score")
+
+
 @query("op4_harmonic_packing")
 def op4_harmonic_packing(spark, sf_dir):
     return pack_documents(documents(spark, sf_dir), vocabulary())
