@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -107,9 +107,9 @@ def set_class(hashes: np.ndarray) -> int:
     return int(mix(np.array([total]))[0].view(np.int64))
 
 
-def count_vectors(sets: list[np.ndarray]) -> np.ndarray:
-    """Shingles of each set in each of GROUPS groups (by their hash)."""
-    return np.stack([np.bincount((s >> np.uint64(58)).astype(np.int64), minlength=GROUPS) for s in sets])
+def count_vector(hashes: np.ndarray) -> np.ndarray:
+    """Shingles of the set in each of GROUPS groups (by their hash)."""
+    return np.bincount((hashes >> np.uint64(58)).astype(np.int64), minlength=GROUPS).astype("<u4")
 
 
 class CountTree:
@@ -150,38 +150,115 @@ class CountTree:
         return self.order[at]
 
 
-def local_links(sets: list[np.ndarray], free: np.ndarray, num: int, den: int) -> list[tuple[int, int]]:
-    """Links that connect what is linked within these sets, as a forest.  Pairs
+def local_links(vectors: np.ndarray, sizes: np.ndarray, free: np.ndarray, num: int, den: int,
+                sets: list[np.ndarray] | None = None) -> list[tuple[int, int]]:
+    """Links that connect what is linked within these sets, as a forest: pairs
+    whose overlap bound suffices, verified where the ``sets`` are given.  Pairs
     without a ``free`` member are not looked at, nor pairs already connected."""
-    sizes = np.array([len(s) for s in sets], np.int64)
-    vectors = count_vectors(sets)
     tree = CountTree(vectors, sizes)
-    group, links = np.arange(len(sets)), []
+    group, links = np.arange(len(sizes)), []
     for i in np.flatnonzero(free).tolist():
         near = tree.candidates(vectors[i], int(sizes[i]), num, den)
         for j in near[group[near] != group[i]].tolist():
             if group[i] == group[j]:
                 continue
-            both = np.concatenate([sets[i], sets[j]])
-            both.sort()
-            overlap = np.count_nonzero(both[1:] == both[:-1])
-            if overlap * (num + den) >= num * int(sizes[i] + sizes[j]):
-                links.append((i, j))
-                group[group == group[j]] = group[i]
+            if sets is not None:
+                both = np.concatenate([sets[i], sets[j]])
+                both.sort()
+                overlap = np.count_nonzero(both[1:] == both[:-1])
+                if overlap * (num + den) < num * int(sizes[i] + sizes[j]):
+                    continue
+            links.append((i, j))
+            group[group == group[j]] = group[i]
     return links
 
 
+def _unpacked(table: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray, list | None]:
+    """cls, count vectors, sizes and, where the table has them, the sets."""
+    sets = None
+    if "hashes" in table:
+        sets = [np.asarray(h, np.int64).view(np.uint64) for h in table["hashes"]]
+        vectors = np.stack([count_vector(x) for x in sets])
+    else:
+        vectors = np.frombuffer(b"".join(table["vec"]), "<u4").reshape(-1, GROUPS)
+    return table["cls"].to_numpy(), vectors.astype(np.int64), table["n"].to_numpy(np.int64), sets
+
+
+def links_within(members: DataFrame, payload: str, anchored: Callable[[DataFrame], DataFrame], num: int, den: int,
+                 chunk_sets: int, chunk_mass: int) -> DataFrame:
+    """(a, b) links that connect what is linked inside each ``root`` group of
+    ``members`` (root, cls, n and a payload: ``vec`` or ``hashes``).
+
+    Groups of at most a chunk are done whole, many to a task.  Larger ones are
+    first linked to one anchor (``anchored`` adds anchor and linked); then only
+    chunk pairs with a member that is not linked to it are joined, so that no
+    task holds more than two chunks.
+    """
+    edge = "a long, b long"
+    sized = members.groupBy("root").agg(F.count("*").alias("m"), F.sum("n").alias("mass"))
+    sized = saved(sized.withColumn("big", (F.col("m") > chunk_sets) | (F.col("mass") > chunk_mass)))
+    facts = sized.agg(F.sum("m").alias("m"), F.sum("mass").alias("mass"), F.max("big").alias("big")).first()
+    bundles = max(1, math.ceil(max((facts["m"] or 0) / chunk_sets, (facts["mass"] or 0) / chunk_mass)))
+    small = members.join(sized.where("not big AND m > 1").select("root"), "root").withColumn(
+        "bundle", F.pmod(F.xxhash64("root"), F.lit(bundles)).cast("int"))
+
+    def within(table: pd.DataFrame) -> pd.DataFrame:
+        table = table.sort_values(["root", "cls"])
+        cls, vectors, sizes, sets = _unpacked(table)
+        cut = np.flatnonzero(np.diff(table["root"].to_numpy())) + 1
+        first, last = np.append(0, cut), np.append(cut, len(table))
+        pairs = first[last - first == 2]
+        may = (np.minimum(vectors[pairs], vectors[pairs + 1]).sum(axis=1) * (num + den)
+               >= num * (sizes[pairs] + sizes[pairs + 1]))
+        found = [] if sets is not None else [(cls[i], cls[i + 1]) for i in pairs[may].tolist()]
+        more = np.flatnonzero(last - first > 2) if sets is None else np.arange(len(first))
+        for a, b in zip(first[more].tolist(), last[more].tolist(), strict=True):
+            found += [(cls[a + i], cls[a + j]) for i, j in local_links(
+                vectors[a:b], sizes[a:b], np.ones(b - a, bool), num, den, sets and sets[a:b])]
+        return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+
+    links = small.groupBy("bundle").applyInPandas(within, edge)
+    if not facts["big"]:
+        return links
+
+    own = saved(anchored(members.join(sized.where("big").select("root"), "root")))
+    links = links.unionByName(own.where("linked AND cls <> anchor").select(
+        F.col("cls").alias("a"), F.col("anchor").alias("b")))
+    parts = (own.groupBy("root").agg(
+        *[F.ceil(F.greatest(F.sum(F.when(when, 1).otherwise(0)) / chunk_sets,
+                            F.sum(F.when(when, F.col("n")).otherwise(0)) / chunk_mass)).cast("int").alias(name)
+          for name, when in (("free_parts", ~F.col("linked")), ("star_parts", F.col("linked")))])
+        .where("free_parts > 0"))
+    own = own.join(parts, "root")
+    columns = ["root", "cls", "n", payload]
+    free = own.where("not linked").withColumn("part", F.pmod(F.xxhash64("cls"), F.col("free_parts")).cast("int"))
+    pairs = free.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("free_parts") - 1))).select(
+        *columns, F.lit(True).alias("free"), F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"))
+    around = free.withColumn("j", F.explode(F.sequence(F.lit(-1), -F.col("star_parts")))).select(
+        *columns, F.lit(True).alias("free"), F.col("part").alias("i"), "j")
+    star = own.where("linked").withColumn("j", (-1 - F.pmod(F.xxhash64("cls"), F.col("star_parts"))).cast("int"))
+    star = star.withColumn("i", F.explode(F.sequence(F.lit(0), F.col("free_parts") - 1))).select(
+        *columns, F.lit(False).alias("free"), "i", "j")
+
+    def between(table: pd.DataFrame) -> pd.DataFrame:
+        cls, vectors, sizes, sets = _unpacked(table)
+        found = local_links(vectors, sizes, table["free"].to_numpy(bool), num, den, sets)
+        return pd.DataFrame([(cls[i], cls[j]) for i, j in found], columns=["a", "b"], dtype="int64")
+
+    return links.unionByName(pairs.unionByName(around).unionByName(star)
+                             .groupBy("root", "i", "j").applyInPandas(between, edge))
+
+
 def near_duplicates(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100,
                     chunk_sets: int = 1024, chunk_shingles: int = 1_000_000) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles and component_id, the
     smallest doc_id reachable by links of similarity num / den or more.
 
-    Each distinct set emits its tile keys; sets that share a tile are joined
-    to clusters by stars of edges.  In a cluster, count-vector R-trees bound
-    overlaps and the surviving pairs are verified on whole sets, until all
-    that is linked is connected.  Clusters beyond a chunk are first verified
-    against one member; only chunk pairs with a member not linked to it are
-    joined, so that no task holds more than two chunks.
+    Each distinct set emits its tile keys: similar sets share a tile.  In a
+    tile, a count-vector R-tree bounds overlaps by sums of coordinate minima,
+    and the pairs that may do connect the sets to clusters.  In a cluster the
+    trees are used again and the surviving pairs verified on whole sets, until
+    all that is linked is connected.
 
     Null and empty texts have no shingles and link with nothing; a row without
     doc_id has component_id null.  Rows repeated under one doc_id are
@@ -192,102 +269,67 @@ def near_duplicates(docs: DataFrame, words: int = 5, num: int = 80, den: int = 1
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            sizes, classes, keys = [], [], []
-            for text in texts:
-                s = shingles(text, words)
-                sizes.append(len(s))
-                classes.append(set_class(s) if len(s) else None)
-                keys.append(tile_keys(s, bands) if len(s) else np.empty(0, np.int64))
+            found = [shingles(t, words) for t in batch.column("text").to_pylist()]
+            keys = [tile_keys(x, bands) if len(x) else np.empty(0, np.int64) for x in found]
             ends = np.cumsum([0, *map(len, keys)]).astype(np.int32)
-            listed = pa.ListArray.from_arrays(ends, pa.array(np.concatenate([np.empty(0, np.int64), *keys])))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(classes, pa.int64()), listed],
-                ["doc_id", "n_shingles", "cls", "keys"])
+                [batch.column("doc_id"), pa.array([len(x) for x in found], pa.int64()),
+                 pa.array([set_class(x) if len(x) else None for x in found], pa.int64()),
+                 pa.array([count_vector(x).tobytes() for x in found], pa.binary()),
+                 pa.ListArray.from_arrays(ends, pa.array(np.concatenate([np.empty(0, np.int64), *keys])))],
+                ["doc_id", "n_shingles", "cls", "vec", "keys"])
 
     id_type = docs.schema["doc_id"].dataType.simpleString()
     rows = saved(docs.select("doc_id", "text").mapInArrow(
-        sketch, f"doc_id {id_type}, n_shingles long, cls long, keys array<long>"))
+        sketch, f"doc_id {id_type}, n_shingles long, cls long, vec binary, keys array<long>"))
     total = rows.count()
     live = rows.where("cls IS NOT NULL AND doc_id IS NOT NULL")
+    classes = saved(live.groupBy("cls").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("copies"),
+                                            F.max("n_shingles").alias("n"), F.max("vec").alias("vec")))
     tiles = live.select("cls", F.explode("keys").alias("key"))
-    shared = saved(tiles.groupBy("key").agg(F.min("cls").alias("first"), F.max("cls").alias("last"))
-                   .where("first <> last").select("key", "first"))
-    members = maybe_in(tiles, bit_filter(shared, "key"), "key").distinct()
-    stars = members.join(shared, "key").where("cls <> first").select(F.col("cls").alias("a"), F.col("first").alias("b"))
-    clusters = components(stars)
+    shared = saved(tiles.groupBy("key").agg(F.min("cls").alias("anchor"), F.max("cls").alias("last"))
+                   .where("anchor <> last").select("key", "anchor"))
+    members = maybe_in(tiles, bit_filter(shared, "key"), "key").distinct().join(shared, "key")
+    members = saved(members.join(classes.select("cls", "n", "vec"), "cls").select(
+        F.col("key").alias("root"), "anchor", "cls", "n", "vec"))
 
-    classes = saved(live.groupBy("cls").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("copies")))
-    holders = classes.join(clusters, classes["cls"] == clusters["v"]).select(F.col("first_id").alias("doc_id"))
+    def bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            one, two = (np.frombuffer(b"".join(batch.column(c).to_pylist()), "<u4").reshape(-1, GROUPS).astype(np.int64)
+                        for c in ("vec", "anchor_vec"))
+            sizes = batch.column("n").to_numpy() + batch.column("anchor_n").to_numpy()
+            linked = np.minimum(one, two).sum(axis=1) * (num + den) >= num * sizes
+            yield pa.RecordBatch.from_arrays([batch.column(c) for c in ("root", "anchor", "cls", "n", "vec")]
+                                             + [pa.array(linked)], ["root", "anchor", "cls", "n", "vec", "linked"])
+
+    def near_anchor(own: DataFrame) -> DataFrame:
+        anchors = own.where("cls = anchor").select("root", F.col("n").alias("anchor_n"), F.col("vec").alias("anchor_vec"))
+        return own.join(anchors, "root").mapInArrow(
+            bounded, "root long, anchor long, cls long, n long, vec binary, linked boolean")
+
+    clusters = components(links_within(members, "vec", near_anchor, num, den, 2 * chunk_sets, 1 << 60))
 
     def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [shingles(t, words) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([set_class(s) if len(s) else None for s in found], pa.int64()),
-                 pa.array([len(s) for s in found], pa.int64()),
-                 pa.array([s.view(np.int64) for s in found], pa.list_(pa.int64()))], ["cls", "n", "hashes"])
+                [pa.array([set_class(x) if len(x) else None for x in found], pa.int64()),
+                 pa.array([len(x) for x in found], pa.int64()),
+                 pa.array([x.view(np.int64) for x in found], pa.list_(pa.int64()))], ["cls", "n", "hashes"])
 
+    holders = classes.join(clusters, classes["cls"] == clusters["v"]).select(F.col("first_id").alias("doc_id"))
     texts = only_ids(docs.select("doc_id", "text"), saved(holders.distinct()))
-    sets = texts.mapInArrow(sets_of, "cls long, n long, hashes array<long>").dropDuplicates(["cls"])
-    sets = saved(sets.join(clusters, sets["cls"] == clusters["v"]).select("root", "cls", "n", "hashes"))
-    sized = sets.groupBy("root").agg(F.count("*").alias("m"), F.sum("n").alias("mass"))
-    sized = saved(sized.withColumn("big", (F.col("m") > chunk_sets) | (F.col("mass") > chunk_shingles)))
-    large = sized.where("big")
-
-    # clusters of at most a chunk, many to a task
-    n_sets = max(1, sets.count())
-    small = sets.join(sized.where("not big").select("root"), "root").withColumn(
-        "bundle", F.pmod(F.xxhash64("root"), F.lit(math.ceil(n_sets / chunk_sets))).cast("int"))
-
-    def within(table: pd.DataFrame) -> pd.DataFrame:
-        table = table.sort_values(["root", "cls"])
-        found, cls = [], table["cls"].to_numpy()
-        hashes = [np.asarray(h, np.int64).view(np.uint64) for h in table["hashes"]]
-        cut = np.flatnonzero(np.diff(table["root"].to_numpy())) + 1
-        for a, b in zip([0, *cut], [*cut, len(table)], strict=True):
-            if b - a > 1:
-                found += [(cls[a + i], cls[a + j]) for i, j in local_links(hashes[a:b], np.ones(b - a, bool), num, den)]
-        return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
-
-    links = small.groupBy("bundle").applyInPandas(within, "a long, b long")
+    sets = texts.mapInArrow(sets_of, "cls long, n long, hashes array<long>").join(
+        clusters, F.col("cls") == F.col("v")).select("root", "cls", "n", "hashes")
+    sets = saved(sets.dropDuplicates(["cls"]))
 
-    # larger clusters: a star around the root, then chunk pairs around the rest
-    if large.limit(1).count():
-        own = sets.join(large.select("root", "m", "mass"), "root")
+    def near_root(own: DataFrame) -> DataFrame:
         roots = own.where("cls = root").select("root", F.col("n").alias("root_n"), F.col("hashes").alias("root_hashes"))
         overlap = F.size(F.array_intersect("hashes", "root_hashes"))
-        own = saved(own.join(roots, "root").withColumn(
-            "linked", overlap * (num + den) >= num * (F.col("n") + F.col("root_n"))).drop("root_n", "root_hashes"))
-        links = links.unionByName(own.where("linked AND cls <> root").select(
-            F.col("cls").alias("a"), F.col("root").alias("b")))
-        parts = (own.groupBy("root").agg(
-            *[F.ceil(F.greatest(F.sum(F.when(when, 1).otherwise(0)) / chunk_sets,
-                                F.sum(F.when(when, F.col("n")).otherwise(0)) / chunk_shingles)).cast("int").alias(name)
-              for name, when in (("free_parts", ~F.col("linked")), ("star_parts", F.col("linked")))])
-            .where("free_parts > 0"))
-        own = own.join(parts, "root")
-        spread = F.xxhash64("cls")
-        free = own.where("not linked").withColumn("part", F.pmod(spread, F.col("free_parts")).cast("int"))
-        free_pairs = free.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("free_parts") - 1))).select(
-            "root", "cls", "hashes", F.lit(True).alias("free"), F.least("part", "other").alias("i"),
-            F.greatest("part", "other").alias("j"))
-        free_stars = free.withColumn("j", F.explode(F.sequence(F.lit(-1), -F.col("star_parts")))).select(
-            "root", "cls", "hashes", F.lit(True).alias("free"), F.col("part").alias("i"), "j")
-        star = own.where("linked").withColumn(
-            "j", (-1 - F.pmod(spread, F.col("star_parts"))).cast("int")).withColumn(
-            "i", F.explode(F.sequence(F.lit(0), F.col("free_parts") - 1))).select(
-            "root", "cls", "hashes", F.lit(False).alias("free"), "i", "j")
-
-        def between(table: pd.DataFrame) -> pd.DataFrame:
-            cls = table["cls"].to_numpy()
-            hashes = [np.asarray(h, np.int64).view(np.uint64) for h in table["hashes"]]
-            found = local_links(hashes, table["free"].to_numpy(bool), num, den)
-            return pd.DataFrame([(cls[i], cls[j]) for i, j in found], columns=["a", "b"], dtype="int64")
-
-        links = links.unionByName(free_pairs.unionByName(free_stars).unionByName(star)
-                                  .groupBy("root", "i", "j").applyInPandas(between, "a long, b long"))
+        return own.join(roots, "root").select("root", F.col("root").alias("anchor"), "cls", "n", "hashes", (
+            overlap * (num + den) >= num * (F.col("n") + F.col("root_n"))).alias("linked"))
 
+    links = links_within(sets, "hashes", near_root, num, den, chunk_sets, chunk_shingles)
     linked = components(links)
     grouped = classes.join(linked, classes["cls"] == linked["v"], "left").select(
         "cls", "first_id", "copies", F.coalesce("root", "cls").alias("root"))
