@@ -16,6 +16,7 @@ from .jaccard import near_duplicates
 from .labelled import label_table, remainder, sample
 from .packing import pack_documents
 from .sharding import shard_documents, tree_of
+from .suffix import cut_repeats
 
 #: Vocabulary file of the tokenizing queries.
 VOCABULARY = "byte_bpe_50k.json"
@@ -104,6 +105,14 @@ def op7_hash_tree_sharding(spark, sf_dir):
     return shard_documents(documents(spark, sf_dir), tree_of(8), tree_of(9))
 
 
+@query("op8_suffix_array_dedup")
+def op8_suffix_array_dedup(spark, sf_dir):
+    cut = cut_repeats(documents(spark, sf_dir))
+    n_bytes = F.octet_length(F.coalesce("text", F.lit(""))).cast("long")
+    return cut.select("doc_id", n_bytes.alias("n_bytes"), (n_bytes - F.octet_length("kept")).cast("long").alias("n_removed"),
+                      F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query("op9_bpe_pair_index")
 def op9_bpe_pair_index(spark, sf_dir):
     return encode_documents(documents(spark, sf_dir), vocabulary(), digests,
