@@ -42,7 +42,7 @@ def exact_dedup(docs: DataFrame, prefix_chars: int = 64, digest: bool = False) -
     full = docs.select("doc_id", F.char_length(filled()).alias("n_points"), norm.alias("_norm")).withColumns({
         "size": F.octet_length("_norm"), "prefix": F.xxhash64(F.substring("_norm", 1, prefix_chars))})
     full = marked(full, survivors, "size", "prefix", name="survives")
-    sha = F.sha2("_norm", 256) if digest else F.when("survives", F.sha2("_norm", 256))
+    sha = F.sha2("_norm", 256) if digest else F.when(F.col("survives"), F.sha2("_norm", 256))
     full = saved(full.select("doc_id", "n_points", "survives", sha.alias("sha")))
     best = F.min(F.struct((-F.col("n_points")).alias("n"), F.col("doc_id").isNull().alias("none"), "doc_id"))
     groups = (full.where("survives").groupBy("sha").agg(F.count("*").alias("group_size"), best.alias("best"))

@@ -17,6 +17,7 @@ from .labelled import label_table, remainder, sample
 from .packing import pack_documents
 from .sharding import shard_documents, tree_of
 from .suffix import cut_repeats
+from .topk import integer_vectors, top_k
 
 #: Vocabulary file of the tokenizing queries.
 VOCABULARY = "byte_bpe_50k.json"
@@ -91,6 +92,19 @@ def op4_harmonic_packing(spark, sf_dir):
     return pack_documents(documents(spark, sf_dir), vocabulary())
 
 
+@query("op5_threshold_topk", """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+           FROM embeddings WHERE embedding IS NOT NULL AND len(embedding) > 0
+           AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum(list_transform(list_zip(q.e, c.e), lambda p: p[1] * p[2])) AS BIGINT) AS score
+      FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 10""")
+def op5_threshold_topk(spark, sf_dir):
+    vectors = integer_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+    return top_k(vectors, vectors.where("vec_id % 100 = 0"), k=10)
+
+
 @query("op6_exact_dedup", f"""
 WITH n AS (SELECT doc_id, sha256({_NORM}) AS text_sha256, length(coalesce(text, '')) AS p FROM documents),
 g AS (SELECT text_sha256, count(*) AS group_size, arg_min(doc_id, struct_pack(a := -p, b := doc_id)) AS keep_id
@@ -122,3 +136,9 @@ def op9_bpe_pair_index(spark, sf_dir):
 @query("op10_count_vector_jaccard")
 def op10_count_vector_jaccard(spark, sf_dir):
     return near_duplicates(documents(spark, sf_dir), words=3, num=90, den=100)
+
+
+@query("pipeline")
+def pipeline(spark, sf_dir):
+    import corpus_pipeline
+    return corpus_pipeline.run(spark, sf_dir)

@@ -311,26 +311,28 @@ def repeated_spans(docs: DataFrame, length: int = 200, shard_contexts: int = 800
 
 
 def cut_repeats(docs: DataFrame, length: int = 200) -> DataFrame:
-    """All rows and columns of ``docs``, with spans (removed byte ranges) and
-    kept, the UTF-8 bytes that remain.
+    """All rows and columns of ``docs``, with spans (removed byte ranges), kept,
+    the UTF-8 bytes that remain, and kept_text, these without the rest of
+    characters that lost some of their bytes.
 
     Null and empty texts and texts shorter than ``length`` bytes keep all
     bytes; repeated rows are occurrences of each other, under one
     doc_id too.  An empty table gives an empty result.  Columns named spans,
-    kept or row_key are replaced.
+    kept, kept_text or row_key are replaced.
     """
     found = saved(repeated_spans(docs, length))
-    docs = docs.drop("spans", "kept", "row_key")
+    docs = docs.drop("spans", "kept", "kept_text", "row_key")
     text = F.coalesce("text", F.lit(""))
     keyed = docs.withColumn("row_key", F.xxhash64("doc_id", text))
     hit = found.select("row_key").distinct()
     both = marked(keyed, bit_filter(hit, "row_key"), "row_key", name="_hit")
     none = F.expr("cast(array() as array<struct<start:bigint,end:bigint>>)")
-    clear = both.where("not _hit").select(*docs.columns, none.alias("spans"), text.cast("binary").alias("kept"))
+    clear = both.where("not _hit").select(*docs.columns, none.alias("spans"), text.cast("binary").alias("kept"), text.alias("kept_text"))
     other = found.select(F.col("doc_id").alias("_id"), F.col("row_key").alias("_key"), "spans")
     rest = both.where("_hit").drop("_hit")
     rest = rest.join(other, (rest["row_key"] == other["_key"]) & rest["doc_id"].eqNullSafe(other["_id"]), "left")
-    rest = rest.select(*docs.columns, F.coalesce("spans", none).alias("spans"), text.cast("binary").alias("kept"))
+    rest = rest.select(*docs.columns, F.coalesce("spans", none).alias("spans"), text.cast("binary").alias("kept"),
+                       text.alias("kept_text"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -338,7 +340,9 @@ def cut_repeats(docs: DataFrame, length: int = 200) -> DataFrame:
             for raw, spans in zip(b.column("kept").to_pylist(), b.column("spans").to_pylist(), strict=True):
                 edges = [0, *(x for s in spans for x in (s["start"], s["end"])), len(raw)]
                 kept.append(b"".join([raw[a:z] for a, z in zip(edges[::2], edges[1::2], strict=True)]))
-            yield b.set_column(b.schema.get_field_index("kept"), "kept", pa.array(kept, pa.binary()))
+            b = b.set_column(b.schema.get_field_index("kept"), "kept", pa.array(kept, pa.binary()))
+            yield b.set_column(b.schema.get_field_index("kept_text"), "kept_text", pa.array(
+                [k.decode("utf-8", "ignore") for k in kept], pa.string()))
 
     return clear.unionByName(rest.mapInArrow(cut, rest.schema))
 
