@@ -16,6 +16,8 @@ import regex
 from pyspark.sql import DataFrame
 from tokenizers import Tokenizer
 
+from .common import by_bytes
+
 #: Classes of code points: white space, letter, number, other, end of text, special token.
 SPACE, LETTER, NUMBER, OTHER, END, SPECIAL = range(6)
 END_POINT, SPECIAL_POINT = 0x110000, 0x110001
@@ -421,7 +423,7 @@ def encode_documents(docs: DataFrame, path: str, derive: Callable[[int, np.ndarr
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab = word_table(path).vocab
         make = derive or (lambda key, ids, vocab: (ids.tolist(),))
-        rows = ((k, t) for b in batches for k, t in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist(),
+        rows = ((k, t) for b in by_bytes(batches) for k, t in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist(),
                                                           strict=True))
         out: list[tuple] = []
         for key, ids in encoded(rows, path):

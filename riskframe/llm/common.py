@@ -145,7 +145,11 @@ def components(edges: DataFrame) -> DataFrame:
     return saved(out)
 
 
-def by_bytes(batches: Iterator[pa.RecordBatch], column: str, limit: int) -> Iterator[pa.RecordBatch]:
+#: Text bytes that a worker turns into Python objects at once.
+TEXT_BYTES = 4 << 20
+
+
+def by_bytes(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = TEXT_BYTES) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of about ``limit`` text bytes, so that a
     worker's memory does not follow the length of the texts (a single row is
     never cut)."""

@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import attach, bit_filter, components, maybe_in, only_ids, saved
+from .common import attach, bit_filter, by_bytes, components, maybe_in, only_ids, saved
 
 #: Groups of the count vectors in the R-trees, and fine groups of a block.
 GROUPS, FINE = 64, 64
@@ -268,7 +268,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, num: int = 80, den: int = 1
     bands = Bands(num, den)
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in by_bytes(batches):
             found = [shingles(t, words) for t in batch.column("text").to_pylist()]
             keys = [tile_keys(x, bands) if len(x) else np.empty(0, np.int64) for x in found]
             ends = np.cumsum([0, *map(len, keys)]).astype(np.int32)
@@ -310,7 +310,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, num: int = 80, den: int = 1
     clusters = components(links_within(members, "vec", near_anchor, num, den, 2 * chunk_sets, 1 << 60))
 
     def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in by_bytes(batches):
             found = [shingles(t, words) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([set_class(x) if len(x) else None for x in found], pa.int64()),

@@ -11,6 +11,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import by_bytes
+
 DIMENSIONS = 1024
 SEED = 97
 #: Rows of n-gram vectors a worker keeps (4 KB each).
@@ -102,7 +104,7 @@ def fit(docs: DataFrame, dimensions: int = DIMENSIONS, seed: int = SEED) -> Prof
                                                                              pa.list_(pa.int64()))], ["lang", "v"])
             counts.clear()
 
-        for b in batches:
+        for b in by_bytes(batches):
             for text, lang in zip(b.column("text").to_pylist(), b.column("lang").to_pylist(), strict=True):
                 own = counts.setdefault(lang, {})
                 grams, n = s.grams(text)
@@ -135,7 +137,7 @@ def identify(docs: DataFrame, profiles: Profiles, dimensions: int = DIMENSIONS,
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         s, p = space(dimensions, seed), shared.value
-        for b in batches:
+        for b in by_bytes(batches):
             out = []
             for text in b.column("text").to_pylist():
                 grams, counts = s.grams(text)

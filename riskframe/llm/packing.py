@@ -14,7 +14,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import LongType, StructField, StructType
 
 from .bpe import encoded
-from .common import saved
+from .common import by_bytes, saved
 
 #: Pieces a bin holds, by class.  Class j takes pieces of up to capacity / j
 #: ids; up to 32 the capacity divides evenly and cuts make pieces fill it.
@@ -57,7 +57,7 @@ def pack_documents(docs: DataFrame, path: str, capacity: int = 1024, end_id: int
     arrow = to_arrow_schema(kind)
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = ((k, t) for b in batches for k, t in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist(),
+        rows = ((k, t) for b in by_bytes(batches) for k, t in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist(),
                                                         strict=True))
         out: list[tuple] = []
         for key, ids in encoded(rows, path):

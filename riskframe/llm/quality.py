@@ -11,6 +11,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from .common import by_bytes
+
 DIMENSIONS = 1 << 18
 #: Feature sums are means over the words times this.
 SCALE = 8.0
@@ -76,7 +78,7 @@ def fit(examples: DataFrame, grades: int = 3, epochs: int = 100, rate: float = 0
     move.  Gaps between thresholds are exponentials, so they stay ordered.
     Without examples all weights are 0."""
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in by_bytes(batches):
             found = [features(t) for t in b.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column("grade").cast(pa.int32()), pa.array(found, pa.list_(pa.int64()))],
                                              ["grade", "features"])
@@ -135,7 +137,7 @@ def score_quality(docs: DataFrame, model: CumulativeLink, least: int = 1, thresh
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
-        for b in batches:
+        for b in by_bytes(batches):
             tails = [m.tails(m.text_score(features(t))) for t in b.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id"), pa.array([float(t.sum()) for t in tails], pa.float64()),

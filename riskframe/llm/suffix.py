@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import attach, bit_filter, marked, saved
+from .common import attach, bit_filter, by_bytes, marked, saved
 from .jaccard import mix
 
 #: Bytes of the grams that anchor windows; bytes handled at once in a worker.
@@ -219,7 +219,7 @@ def repeated_spans(docs: DataFrame, length: int = 200, shard_contexts: int = 800
         "row_key", F.xxhash64("doc_id", "text"))
 
     def slices(batches):
-        rows = (((i, k), t.encode("utf-8", "surrogatepass")) for b in batches
+        rows = (((i, k), t.encode("utf-8", "surrogatepass")) for b in by_bytes(batches)
                 for i, k, t in zip(b.column("doc_id").to_pylist(), b.column("row_key").to_pylist(),
                                    b.column("text").to_pylist(), strict=True))
         return text_slices(rows, length)
@@ -335,7 +335,7 @@ def cut_repeats(docs: DataFrame, length: int = 200) -> DataFrame:
                        text.alias("kept_text"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in by_bytes(batches, "kept"):
             kept = []
             for raw, spans in zip(b.column("kept").to_pylist(), b.column("spans").to_pylist(), strict=True):
                 edges = [0, *(x for s in spans for x in (s["start"], s["end"])), len(raw)]

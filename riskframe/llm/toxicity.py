@@ -10,6 +10,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from .common import by_bytes
+
 DIMENSIONS = 1 << 22
 #: Bytes that end a sentence; all other ASCII that is no letter separates words.
 _ENDS = b".!?\n\r"
@@ -163,7 +165,7 @@ def score_toxicity(docs: DataFrame, model: NoisyOr, threshold: float = 0.5) -> D
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         cache = m.scorer()
-        for b in batches:
+        for b in by_bytes(batches):
             scores, found = [], []
             for text in b.column("text").to_pylist():
                 where, counts, words = sentences(text)
@@ -187,7 +189,7 @@ def keep_clean(docs: DataFrame, model: NoisyOr, threshold: float = 0.5) -> DataF
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         cache = m.scorer()
-        for b in batches:
+        for b in by_bytes(batches):
             scores = [m.score(m.sentence_logits(*sentences(t)[1:], cache)) for t in b.column("text").to_pylist()]
             yield b.filter(pa.array([s < threshold for s in scores], pa.bool_()))
 
