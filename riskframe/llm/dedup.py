@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import attach, bit_filter, filled, marked, saved, without_ids
+from .common import attach, bit_filter, filled, marked, saved
 
 #: The white space that does not count: fixed values of the contract.
 BLANKS = " \t\n\x0b\x0c\r"
@@ -15,9 +15,10 @@ def normalised(text: str = "text") -> Column:
     return F.translate(filled(text), BLANKS, "")
 
 
-def exact_dedup(docs: DataFrame, prefix_chars: int = 64, digest: bool = False) -> DataFrame:
-    """One row per row of ``docs``: doc_id, keep_id, group_size, kept and, with
-    ``digest``, text_sha256 of every normalised text.
+def exact_dedup(docs: DataFrame, prefix_chars: int = 64, digest: bool = False, keyed: bool = False) -> DataFrame:
+    """One row per row of ``docs``: doc_id, keep_id, group_size, kept, with
+    ``digest`` text_sha256 of every normalised text, with ``keyed`` row_key, a
+    hash of doc_id and text.
 
     Rows are first grouped by the byte length of their normalised text, then
     the rows of shared lengths by a hash of their first characters; the full
@@ -39,11 +40,12 @@ def exact_dedup(docs: DataFrame, prefix_chars: int = 64, digest: bool = False) -
     prefixes = shared.groupBy("size", "prefix").count().where("count > 1")
     survivors = bit_filter(prefixes, "size", "prefix")
 
-    full = docs.select("doc_id", F.char_length(filled()).alias("n_points"), norm.alias("_norm")).withColumns({
+    full = docs.select("doc_id", F.char_length(filled()).alias("n_points"), norm.alias("_norm"),
+                       F.xxhash64("doc_id", filled()).alias("row_key")).withColumns({
         "size": F.octet_length("_norm"), "prefix": F.xxhash64(F.substring("_norm", 1, prefix_chars))})
     full = marked(full, survivors, "size", "prefix", name="survives")
     sha = F.sha2("_norm", 256) if digest else F.when(F.col("survives"), F.sha2("_norm", 256))
-    full = saved(full.select("doc_id", "n_points", "survives", sha.alias("sha")))
+    full = saved(full.select("doc_id", "n_points", "survives", "row_key", sha.alias("sha")))
     best = F.min(F.struct((-F.col("n_points")).alias("n"), F.col("doc_id").isNull().alias("none"), "doc_id"))
     groups = (full.where("survives").groupBy("sha").agg(F.count("*").alias("group_size"), best.alias("best"))
               .where("group_size > 1").select("sha", "group_size", F.col("best.doc_id").alias("keep_id")))
@@ -51,10 +53,20 @@ def exact_dedup(docs: DataFrame, prefix_chars: int = 64, digest: bool = False) -
     out = out.withColumns({"keep_id": F.when(F.col("group_size").isNull(), F.col("doc_id")).otherwise(F.col("keep_id")),
                            "group_size": F.coalesce("group_size", F.lit(1)).cast("long")})
     out = out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("keep_id")))
-    return out.select("doc_id", "keep_id", "group_size", "kept", *([F.col("sha").alias("text_sha256")] if digest else []))
+    return out.select("doc_id", "keep_id", "group_size", "kept", *([F.col("sha").alias("text_sha256")] if digest else []),
+                      *(["row_key"] if keyed else []))
 
 
 def drop_copies(docs: DataFrame, prefix_chars: int = 64) -> DataFrame:
-    """``docs`` without the rows that ``exact_dedup`` does not keep."""
-    decided = exact_dedup(docs, prefix_chars)
-    return without_ids(docs, saved(decided.where("not kept").select("doc_id")))
+    """``docs`` without the rows that ``exact_dedup`` does not keep; of wholly
+    repeated rows (doc_id and text) one stays.  Only rows of groups of two or
+    more are shuffled."""
+    decided = exact_dedup(docs, prefix_chars, keyed=True).where("group_size > 1").select(
+        F.col("row_key").alias("_row"), "kept")
+    decided = saved(decided.distinct())
+    keyed = docs.withColumn("_row", F.xxhash64("doc_id", filled()))
+    both = marked(keyed, bit_filter(decided, "_row"), "_row", name="_copied")
+    alone = both.where("not _copied").select(docs.columns)
+    rest = both.where("_copied").drop("_copied").join(decided, "_row", "left").where("kept IS NULL OR kept")
+    single = rest.where("kept IS NULL").select(docs.columns)
+    return alone.unionByName(single).unionByName(rest.where("kept").dropDuplicates(["_row"]).select(docs.columns))
