@@ -26,8 +26,20 @@ class Imputer(Fitted):
         return df.withColumns({c: F.coalesce(F.col(f"`{c}`"), F.lit(v)) for c, v in fills.items()}) if fills else df
 
 
+def _modes(df: DataFrame, cols) -> dict:
+    """Most frequent value per column as text, the smallest on ties: a grouped
+    count per column (partial on the map side), then one best row each."""
+    best = None
+    for c in cols:
+        counts = df.where(F.col(f"`{c}`").isNotNull()).groupBy(F.col(f"`{c}`").alias("v")).agg(F.count(F.lit(1)).alias("n"))
+        one = counts.agg(F.min(F.struct((-F.col("n")).alias("n"), "v"))["v"].cast("string").alias("v")).select(
+            F.lit(c).alias("c"), "v")
+        best = one if best is None else best.unionByName(one)
+    return {r["c"]: r["v"] for r in best.collect()} if best is not None else {}  # one row per column
+
+
 def impute_stats(df: DataFrame, continuous=(), categorical=(), binary=(),
-                 relative_error: float | None = None, method: str = "exact") -> DataFrame:
+                 relative_error: float | None = None, method: str = "bounded") -> DataFrame:
     """The imputation fit as a frame, one aggregate over the table:
     ``(column_name, n_missing, median, mode)`` - the median for continuous
     columns, the most frequent value (smallest on ties, as text) for
@@ -35,6 +47,7 @@ def impute_stats(df: DataFrame, continuous=(), categorical=(), binary=(),
     from ``exact_quantiles`` (memory independent of the distinct values)."""
     from .profile import exact_quantiles
     meds = exact_quantiles(df, list(continuous), [0.5]) if method == "bounded" and continuous else {}
+    modes = _modes(df, [*categorical, *binary])
     aggs, rows = [], []
     for c in continuous:
         med = (F.lit(meds[c][0] if meds[c] else None).cast("double") if method == "bounded"
@@ -44,14 +57,14 @@ def impute_stats(df: DataFrame, continuous=(), categorical=(), binary=(),
                              F.col(f"`{c}__fill`").alias("median"), F.lit(None).cast("string").alias("mode")))
     for c in [*categorical, *binary]:
         aggs += [F.count_if(F.col(f"`{c}`").isNull()).alias(f"{c}__nulls"),
-                 F.mode(F.col(f"`{c}`"), deterministic=True).cast("string").alias(f"{c}__fill")]
+                 F.lit(modes.get(c)).cast("string").alias(f"{c}__fill")]
         rows.append(F.struct(F.lit(c).alias("column_name"), F.col(f"`{c}__nulls`").alias("n_missing"),
                              F.lit(None).cast("double").alias("median"), F.col(f"`{c}__fill`").alias("mode")))
     return df.agg(*aggs).select(F.inline(F.array(*rows)))
 
 
 def fit_impute(df: DataFrame, continuous=(), categorical=(), binary=(),
-               relative_error: float | None = None, method: str = "exact") -> Imputer:
+               relative_error: float | None = None, method: str = "bounded") -> Imputer:
     """One aggregate: null count, median or mode per column.  Columns without
     nulls are left out of the transform (the reference's skip rule)."""
     if not [*continuous, *categorical, *binary]:
@@ -124,7 +137,7 @@ class Winsorizer(Fitted):
 
 
 def fit_winsorize(df: DataFrame, cols, threshold: float = 3.0, factor: float = 1.5,
-                  method: str = "exact") -> Winsorizer:
+                  method: str = "bounded") -> Winsorizer:
     """Cap a column to [Q1 - 1.5 IQR, Q3 + 1.5 IQR] only when its z-test finds an
     outlier.  ``max |x - mean| / std > t`` equals "some z > t", so one
     aggregate decides the trigger and the bounds together.

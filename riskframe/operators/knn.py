@@ -27,6 +27,7 @@ Rows need a unique key and non-null features.
 
 from __future__ import annotations
 
+import functools
 import math
 
 import numpy as np
@@ -165,6 +166,9 @@ def knn(df: DataFrame, features, key: str, k: int = 5, query_col: str | None = N
     # 1. distinct vectors with multiplicity; smallest k+1 keys per vector
     vec = cut_lineage(rows.groupBy("vid", *feats).agg(F.count(F.lit(1)).alias("m"),
                                                       F.count_if("is_q").alias("mq")))
+    unset = [F.col(c).isNull() | F.isnan(c) for c in feats]
+    if vec.where(functools.reduce(lambda a, b: a | b, unset)).limit(1).count():
+        raise ValueError("k-NN needs features without nulls or NaN: impute them first")
     axes = _directions(vec, feats)
     proj = [sum((F.col(c) * F.lit(float(wj)) for c, wj in zip(feats, w)), F.lit(0.0)) for w in axes]
     # a projection of the checkpoint: recomputing it gives the same values

@@ -16,6 +16,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
 from ..functions.exprs import safe_div
 
 
@@ -85,29 +86,22 @@ def classification_report(preds: DataFrame, group=None, class_names=("0", "1"),
 
 
 def score_curve(preds: DataFrame, group=None, label="label", score="p1",
-                direct_max: int = 2_000_000, rows_per_bucket: int = 500_000,
-                broadcast_max_rows: int = 2_000_000) -> DataFrame:
+                rows_per_bucket: int = 500_000) -> DataFrame:
     """Distinct scores per group with running counts at ``score >= s``.
 
-    Columns: group..., score, pos, neg, tp, fp, P, N.
+    Columns: group..., score, pos, neg, tp, fp, P, N.  Scores are cut into
+    quantile buckets; bucket totals give offsets, so every running sum stays
+    inside one (group, bucket) partition whatever the number of scores.  The
+    distinct scores are checkpointed, not cached: nothing stays behind.
     """
     g = _g(group)
-    dist = preds.groupBy(*g, F.col(score).alias("score")).agg(
+    dist = cut_lineage(preds.groupBy(*g, F.col(score).alias("score")).agg(
         F.sum(F.col(label).cast("long")).alias("pos"),
-        F.sum(1 - F.col(label).cast("long")).alias("neg"))
-    dist = dist.persist()
-    n_dist = dist.count()
-    down = Window.partitionBy(*g).orderBy(F.desc("score")) if g else Window.orderBy(F.desc("score"))
-    if n_dist <= direct_max:
-        run = down.rowsBetween(Window.unboundedPreceding, 0)
-        tot = Window.partitionBy(*g)
-        return dist.select(*g, "score", "pos", "neg",
-                           F.sum("pos").over(run).alias("tp"), F.sum("neg").over(run).alias("fp"),
-                           F.sum("pos").over(tot).alias("P"), F.sum("neg").over(tot).alias("N"))
-    n_buckets = min(100_000, max(2, -(-n_dist // rows_per_bucket)))
+        F.sum(1 - F.col(label).cast("long")).alias("neg")))
+    n_buckets = max(2, -(-dist.count() // rows_per_bucket))
     probs = [i / n_buckets for i in range(1, n_buckets)]
     qs = dist.agg(F.percentile_approx("score", probs, max(10_000, 10 * n_buckets)).alias("q")).first()["q"]
-    splits = [float("-inf")] + sorted(set(float(x) for x in qs)) + [float("inf")]
+    splits = [float("-inf")] + sorted(set(float(x) for x in qs or [0.0])) + [float("inf")]
     b = Bucketizer(splits=splits, inputCol="score", outputCol="bucket").transform(dist)
     b = b.withColumn("bucket", F.col("bucket").cast("int"))
     tots = b.groupBy(*g, "bucket").agg(F.sum("pos").alias("bp"), F.sum("neg").alias("bn"))
@@ -118,39 +112,44 @@ def score_curve(preds: DataFrame, group=None, label="label", score="p1",
                        F.coalesce(F.sum("bp").over(above), F.lit(0)).alias("op"),
                        F.coalesce(F.sum("bn").over(above), F.lit(0)).alias("on"),
                        F.sum("bp").over(allw).alias("P"), F.sum("bn").over(allw).alias("N"))
-    # offsets: one row per (group, bucket); broadcast only under a checked size
-    offs = offs.persist()
-    j = b.join(F.broadcast(offs) if offs.count() <= broadcast_max_rows else offs, [*g, "bucket"])
+    j = b.join(offs, [*g, "bucket"])
     inb = Window.partitionBy(*g, "bucket").orderBy(F.desc("score")).rowsBetween(Window.unboundedPreceding, 0)
     return j.select(*g, "score", "pos", "neg",
                     (F.col("op") + F.sum("pos").over(inb)).alias("tp"),
                     (F.col("on") + F.sum("neg").over(inb)).alias("fp"), "P", "N")
 
 
-def roc_auc(preds: DataFrame, group=None, label="label", score="p1", **kw) -> DataFrame:
-    """Area under ROC with ties counted one half (null when a class is absent)."""
-    c = score_curve(preds, group, label, score, **kw)
-    g = _g(group)
+def _roc_area():
     num = F.sum(F.col("neg") * (F.col("tp") - F.col("pos") + F.col("pos") * 0.5))
     den = F.first("P").cast("double") * F.first("N").cast("double")
-    agg = (num / F.nullif(den, F.lit(0.0))).alias("roc_auc")
-    return c.groupBy(*g).agg(agg) if g else c.agg(agg)
+    return (num / F.nullif(den, F.lit(0.0))).alias("roc_auc")
+
+
+def _pr_area():
+    return (F.sum(F.col("pos") * F.col("tp") / (F.col("tp") + F.col("fp")))
+            / F.nullif(F.first("P").cast("double"), F.lit(0.0))).alias("average_precision")
+
+
+def curve_areas(preds: DataFrame, group=None, label="label", score="p1", **kw) -> DataFrame:
+    """Both areas, roc_auc and average_precision, from one curve."""
+    return score_curve(preds, group, label, score, **kw).groupBy(*_g(group)).agg(_roc_area(), _pr_area())
+
+
+def roc_auc(preds: DataFrame, group=None, label="label", score="p1", **kw) -> DataFrame:
+    """Area under ROC with ties counted one half (null when a class is absent)."""
+    return score_curve(preds, group, label, score, **kw).groupBy(*_g(group)).agg(_roc_area())
 
 
 def average_precision(preds: DataFrame, group=None, label="label", score="p1", **kw) -> DataFrame:
     """Step-wise sum of (R_n - R_{n-1}) * P_n over descending thresholds."""
-    c = score_curve(preds, group, label, score, **kw)
-    g = _g(group)
-    agg = (F.sum(F.col("pos") * F.col("tp") / (F.col("tp") + F.col("fp")))
-           / F.nullif(F.first("P").cast("double"), F.lit(0.0))).alias("average_precision")
-    return c.groupBy(*g).agg(agg) if g else c.agg(agg)
+    return score_curve(preds, group, label, score, **kw).groupBy(*_g(group)).agg(_pr_area())
 
 
 def pr_curve(preds: DataFrame, group=None, label="label", score="p1", **kw) -> DataFrame:
-    """(threshold, precision, recall) per distinct score down to full recall, plus (1, 0)."""
+    """(threshold, precision, recall) per distinct score, plus (1, 0)."""
     c = score_curve(preds, group, label, score, **kw)
     g = _g(group)
-    pts = c.filter(F.col("tp") - F.col("pos") < F.col("P")).select(
+    pts = c.select(
         *g, F.col("score").alias("threshold"),
         safe_div(F.col("tp"), F.col("tp") + F.col("fp")).alias("precision"),
         safe_div(F.col("tp"), F.col("P")).alias("recall"))
@@ -184,12 +183,13 @@ def summary_table(preds: DataFrame, group=("model",), label="label", prediction=
     return m.join(a, list(group), "left")
 
 
-def per_class_table(preds: DataFrame, metric: str, group=("model",), class_names=("0", "1"),
+def per_class_table(preds: DataFrame, metrics=("precision", "recall", "f1"), group=("model",), class_names=("0", "1"),
                     label="label", prediction="prediction") -> DataFrame:
-    """group x class table of one report metric (precision / recall / f1)."""
+    """group x metric x class table of the report's metrics."""
     r = classification_report(preds, group, class_names, label, prediction)
-    return r.filter(F.col("class").isin(*class_names)).groupBy(*group).pivot("class", list(class_names)) \
-        .agg(F.first(metric))
+    long = r.filter(F.col("class").isin(*class_names)).select(*group, "class", F.inline(F.array(*[
+        F.struct(F.lit(m).alias("metric"), F.col(m).alias("value")) for m in metrics])))
+    return long.groupBy(*group, "metric").pivot("class", list(class_names)).agg(F.first("value"))
 
 
 def weighted_objective(fold_metrics: DataFrame, group=(), w_recall: float = 0.7,

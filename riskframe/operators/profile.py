@@ -62,11 +62,13 @@ def column_info(df: DataFrame) -> DataFrame:
 
 
 def describe(df: DataFrame, cols=None, relative_error: float | None = None,
-             method: str = "exact") -> DataFrame:
-    """count, mean, std (sample), min, 25/50/75 %, max per numeric column; one aggregate.
+             method: str = "bounded") -> DataFrame:
+    """count, mean, std (sample), min, 25/50/75 %, max per numeric column; NaN is missing.
 
     ``method='bounded'`` takes the quartiles from ``exact_quantiles`` (same
     values, memory independent of the number of distinct values)."""
+    from .clean import nan_to_null
+    df = nan_to_null(df)
     cols = cols or numeric_columns(df)
     fixed = exact_quantiles(df, cols, [0.25, 0.5, 0.75]) if method == "bounded" else None
     aggs = []
@@ -162,8 +164,9 @@ def _auto_bins(n: int, lo: float, hi: float, q25: float, q75: float) -> int:
     return max(1, int(math.ceil(span / width)))
 
 
-def histogram(df: DataFrame, cols, bins: int | None = None, method: str = "exact") -> DataFrame:
-    """Equal-width bin counts per column (last bin closed), automatic bin count by default.
+def histogram(df: DataFrame, cols, bins: int | None = None, method: str = "bounded") -> DataFrame:
+    """Equal-width bin counts per column (last bin closed), automatic bin count by
+    default; empty bins count 0, and a column without values has no bins.
 
     One aggregate fits (min, max, n, IQR) per column; the counting is one
     grouped aggregate over (column, bin) after an unpivot.  With
@@ -187,7 +190,7 @@ def histogram(df: DataFrame, cols, bins: int | None = None, method: str = "exact
         k = bins or _auto_bins(n, lo, hi, q[0], q[1])
         params[c] = (float(lo), float(hi), int(k))
     if not params:
-        return df.sparkSession.createDataFrame([], "column string, bin int, lo double, hi double, n long")
+        return df.sparkSession.createDataFrame([], "column_name string, bin int, bin_lo double, bin_hi double, n long")
     vals = df.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("column_name"), F.col(f"`{c}`").cast("double").alias("x"),
                  F.lit(lo).alias("lo"), F.lit(hi).alias("hi"), F.lit(k).alias("k"))
@@ -195,10 +198,14 @@ def histogram(df: DataFrame, cols, bins: int | None = None, method: str = "exact
     span = F.col("hi") - F.col("lo")
     b = F.when(span == 0, F.lit(0)).otherwise(
         F.least(F.floor((F.col("x") - F.col("lo")) * F.col("k") / span), F.col("k") - 1)).cast("int")
-    g = vals.groupBy("column_name", b.alias("bin"), "lo", "hi", "k").agg(F.count(F.lit(1)).alias("n"))
+    g = vals.groupBy("column_name", b.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    grid = df.sparkSession.createDataFrame([(c, *x) for c, x in params.items()],
+                                           "column_name string, lo double, hi double, k int")
+    grid = grid.withColumn("bin", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
     width = (F.col("hi") - F.col("lo")) / F.col("k")
-    return g.select("column_name", "bin", (F.col("lo") + F.col("bin") * width).alias("bin_lo"),
-                    (F.col("lo") + (F.col("bin") + 1) * width).alias("bin_hi"), "n")
+    return grid.join(g, ["column_name", "bin"], "left").select(
+        "column_name", "bin", (F.col("lo") + F.col("bin") * width).alias("bin_lo"),
+        (F.col("lo") + (F.col("bin") + 1) * width).alias("bin_hi"), F.coalesce("n", F.lit(0)).cast("long").alias("n"))
 
 
 def kde_curve(df: DataFrame, col: str, gridsize: int = 200, cut: float = 3.0) -> DataFrame:
@@ -226,30 +233,42 @@ def kde_curve(df: DataFrame, col: str, gridsize: int = 200, cut: float = 3.0) ->
         .select("idx", (F.lit(g0) + F.col("idx") * F.lit(step)).alias("grid"), "density")
 
 
-def box_stats(df: DataFrame, cols, whisker: float = 1.5, method: str = "exact") -> DataFrame:
-    """Quartiles, whisker ends (furthest points inside 1.5 IQR) and outlier count per column."""
+def _box_fit(df: DataFrame, cols, whisker: float, method: str) -> dict:
+    """column -> (q1, median, q3, low fence, high fence); None without values."""
     if method == "bounded":
         fit = exact_quantiles(df, cols, [0.25, 0.5, 0.75])
     else:
         fit = df.agg(*[F.percentile(F.col(f"`{c}`").cast("double"), [0.25, 0.5, 0.75]).alias(c)
                        for c in cols]).first()
-    aggs, cols_ok = [], []
-    for c in cols:
-        q = fit[c]
-        if q is None:
-            continue
-        cols_ok.append(c)
-        iqr = q[2] - q[0]
-        lo, hi = q[0] - whisker * iqr, q[2] + whisker * iqr
-        x = F.col(f"`{c}`").cast("double")
-        inside = (x >= F.lit(lo)) & (x <= F.lit(hi))
-        aggs += [F.lit(q[0]).alias(f"{c}__q1"), F.lit(q[1]).alias(f"{c}__median"),
-                 F.lit(q[2]).alias(f"{c}__q3"),
+    return {c: (*fit[c], fit[c][0] - whisker * (fit[c][2] - fit[c][0]), fit[c][2] + whisker * (fit[c][2] - fit[c][0]))
+            if fit[c] else None for c in cols}
+
+
+def box_stats(df: DataFrame, cols, whisker: float = 1.5, method: str = "bounded") -> DataFrame:
+    """Quartiles, whisker ends (furthest points inside 1.5 IQR) and outlier count
+    per column; a column without values has nulls and no outliers."""
+    aggs = []
+    for c, q in _box_fit(df, cols, whisker, method).items():
+        x, none = F.col(f"`{c}`").cast("double"), F.lit(None).cast("double")
+        low, high = (F.lit(q[3]), F.lit(q[4])) if q else (none, none)
+        inside = (x >= low) & (x <= high)
+        aggs += [*[(F.lit(q[i]) if q else none).alias(f"{c}__{n}") for i, n in enumerate(("q1", "median", "q3"))],
                  F.min(F.when(inside, x)).alias(f"{c}__whisker_lo"),
                  F.max(F.when(inside, x)).alias(f"{c}__whisker_hi"),
-                 F.count_if((x < F.lit(lo)) | (x > F.lit(hi))).alias(f"{c}__n_outliers")]
-    agg = df.agg(*aggs)
-    return _long(agg, cols_ok, ["q1", "median", "q3", "whisker_lo", "whisker_hi", "n_outliers"])
+                 F.count_if((x < low) | (x > high)).alias(f"{c}__n_outliers")]
+    return _long(df.agg(*aggs), cols, ["q1", "median", "q3", "whisker_lo", "whisker_hi", "n_outliers"])
+
+
+def box_outliers(df: DataFrame, cols, whisker: float = 1.5, method: str = "bounded") -> DataFrame:
+    """(column_name, value, n): the points beyond the whiskers, equal ones counted."""
+    fences = {c: q[3:] for c, q in _box_fit(df, cols, whisker, method).items() if q}
+    cells = [F.struct(F.lit(c).alias("column_name"), F.when(
+        ~F.col(f"`{c}`").cast("double").between(lo, hi), F.col(f"`{c}`").cast("double")).alias("value"))
+        for c, (lo, hi) in fences.items()]
+    if not cells:
+        return df.sparkSession.createDataFrame([], "column_name string, value double, n long")
+    return (df.select(F.explode(F.filter(F.array(*cells), lambda x: x["value"].isNotNull())).alias("p")).select("p.*")
+            .groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n")))
 
 
 def factorize(df: DataFrame, col: str, out: str | None = None,

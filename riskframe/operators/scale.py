@@ -25,8 +25,9 @@ def fit_robust(df: DataFrame, cols, relative_error: float | None = None) -> Scal
     """Center = median, scale = Q3 - Q1 (0 -> 1); one aggregate."""
     if not cols:
         return Scaler("robust", {"columns": {}})
-    r = df.agg(*[quantiles(F.col(f"`{c}`").cast("double"), [0.25, 0.5, 0.75], relative_error).alias(c)
-                 for c in cols]).first()
+    from .profile import exact_quantiles
+    r = exact_quantiles(df, list(cols), [0.25, 0.5, 0.75]) if relative_error is None else df.agg(
+        *[quantiles(F.col(f"`{c}`").cast("double"), [0.25, 0.5, 0.75], relative_error).alias(c) for c in cols]).first()
     out = {}
     for c in cols:
         q = r[c]
@@ -46,7 +47,7 @@ def fit_standard(df: DataFrame, cols) -> Scaler:
 
 
 def fit_scalers(df: DataFrame, robust_cols, standard_cols, relative_error: float | None = None,
-                method: str = "exact"):
+                method: str = "bounded"):
     """(robust, standard) scalers from one shared aggregate over ``df``
     (``method='bounded'``: the robust quartiles from ``exact_quantiles``)."""
     from .profile import exact_quantiles

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import NumericType
+from pyspark.sql.types import DecimalType, DoubleType, FloatType, NumericType
 
 from ..config import Roles
 from ..session import cut_lineage
@@ -81,6 +81,17 @@ def _union(parts):
     return out
 
 
+def _text(c: str, kind):
+    """The value as text; whole numbers of any numeric type without a fraction
+    (0.0 is 0), NaN as missing."""
+    x = F.col(f"`{c}`")
+    if not isinstance(kind, (DoubleType, FloatType, DecimalType)):
+        return x.cast("string")
+    whole = (x == F.floor(x)) & (F.abs(x) < 1e15)
+    text = F.when(whole, x.cast("long").cast("string")).otherwise(x.cast("string"))
+    return text if isinstance(kind, DecimalType) else F.when(~F.isnan(x), text)
+
+
 def value_profile(df: DataFrame, discrete, continuous=()) -> DataFrame:
     """``(column_name, value, n_bad)``: counts per distinct value of the discrete
     columns, the negative-value counts of the continuous ones and the row
@@ -91,15 +102,16 @@ def value_profile(df: DataFrame, discrete, continuous=()) -> DataFrame:
     result is sized by the distinct values; it is checkpointed once and
     every rule reads it instead of re-scanning the table.
     """
-    cells = [F.struct(F.lit(c).alias("column_name"), F.col(f"`{c}`").cast("string").alias("value"))
-             for c in discrete]
+    types = {f.name: f.dataType for f in df.schema.fields}
+    cells = [F.struct(F.lit(c).alias("column_name"), _text(c, types[c]).alias("value")) for c in discrete]
     cells += [F.struct(F.lit(c).alias("column_name"),
                        F.when(F.col(f"`{c}`") < 0, F.lit("negative")).alias("value"))
               for c in continuous]
     cells.append(F.struct(F.lit(ROWS).alias("column_name"), F.lit(None).cast("string").alias("value")))
-    cont = F.array(*[F.lit(c) for c in continuous]) if continuous else F.array().cast("array<string>")
-    vc = (df.select(F.explode(F.array(*cells)).alias("cv")).select("cv.*")
-          .filter(~F.array_contains(cont, F.col("column_name")) | F.col("value").isNotNull())
+    # cells of continuous columns that are not negative are left out before the explode
+    kept = F.filter(F.array(*cells), lambda x: x["value"].isNotNull() | ~x["column_name"].isin(list(continuous))) \
+        if continuous else F.array(*cells)
+    vc = (df.select(F.explode(kept).alias("cv")).select("cv.*")
           .groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n_bad")))
     return cut_lineage(vc)
 

@@ -29,7 +29,7 @@ def process_data(df: DataFrame, roles: Roles, keys, test_size: float = C.TEST_SI
                  robust_cols=tuple(C.ROBUST_COLUMNS), standard_cols=tuple(C.STANDARD_COLUMNS),
                  outlier_threshold: float = C.OUTLIER_Z, cap_fit_on: str = "train",
                  relative_error: float | None = None, materialize: bool = True,
-                 quantile_method: str = "exact") -> Prepared:
+                 quantile_method: str = "bounded") -> Prepared:
     """Returns the prepared rows (with ``split``) and the fitted stages.
 
     ``cap_fit_on='each'`` reproduces the reference, which caps the test rows

@@ -86,8 +86,8 @@ def q_roc(spark, sf):
 
 @register("roc_auc_bucketed", ROC_SQL)
 def q_roc_bucketed(spark, sf):
-    """The at-scale path (quantile buckets + offsets) forced on; equal to the direct path."""
-    return round_all(M.roc_auc(scored(spark, sf), G, direct_max=0, rows_per_bucket=50))
+    """The same curve cut into many buckets; equal areas."""
+    return round_all(M.roc_auc(scored(spark, sf), G, rows_per_bucket=50))
 
 
 AP_SQL = _sql("""SELECT model, ROUND(SUM(pos * CAST(tp AS DOUBLE) / (tp + fp)) / CAST(P AS DOUBLE), 6) AS average_precision
@@ -101,12 +101,12 @@ def q_ap(spark, sf):
 
 @register("average_precision_bucketed", AP_SQL)
 def q_ap_bucketed(spark, sf):
-    return round_all(M.average_precision(scored(spark, sf), G, direct_max=0, rows_per_bucket=50))
+    return round_all(M.average_precision(scored(spark, sf), G, rows_per_bucket=50))
 
 
 @register("pr_curve", _sql(f"""
 SELECT model, ROUND(score, 6) AS threshold, ROUND({_div('tp', 'tp + fp')}, 6) AS precision,
- ROUND({_div('tp', 'P')}, 6) AS recall FROM cur WHERE tp - pos < P
+ ROUND({_div('tp', 'P')}, 6) AS recall FROM cur
 UNION ALL SELECT DISTINCT model, CAST(NULL AS DOUBLE), 1.0E0, 0.0E0 FROM scored""", CUR))
 def q_pr(spark, sf):
     return round_all(M.pr_curve(scored(spark, sf), G))
@@ -142,15 +142,16 @@ SELECT c.model, {METRICS_SEL}, r.roc_auc, r.average_precision FROM cnt c JOIN (
  FROM cur GROUP BY model, P, N) r ON c.model = r.model""", CNT, CUR))
 def q_compare(spark, sf):
     s = scored(spark, sf)
-    out = M.basic_metrics(s, G).join(M.roc_auc(s, G), G).join(M.average_precision(s, G), G)
+    out = M.basic_metrics(s, G).join(M.curve_areas(s, G), G)
     return round_all(out)
 
 
 @register("per_class_table", _sql(f"""
-SELECT model, ROUND({_div('tn', 'tn + fn')}, 6) AS "{C.CLASS_NAMES[0]}", ROUND({_div('tp', 'tp + fp')}, 6) AS "{C.CLASS_NAMES[1]}"
-FROM cnt""", CNT))
+SELECT model, 'precision' AS metric, ROUND({_div('tn', 'tn + fn')}, 6) AS "{C.CLASS_NAMES[0]}", ROUND({_div('tp', 'tp + fp')}, 6) AS "{C.CLASS_NAMES[1]}" FROM cnt
+UNION ALL SELECT model, 'recall', ROUND({_div('tn', 'tn + fp')}, 6), ROUND({_div('tp', 'tp + fn')}, 6) FROM cnt
+UNION ALL SELECT model, 'f1', ROUND({_div('2 * tn', '2 * tn + fn + fp')}, 6), ROUND({_div('2 * tp', '2 * tp + fp + fn')}, 6) FROM cnt""", CNT))
 def q_per_class(spark, sf):
-    return round_all(M.per_class_table(scored(spark, sf), "precision", G, C.CLASS_NAMES))
+    return round_all(M.per_class_table(scored(spark, sf), group=G, class_names=C.CLASS_NAMES))
 
 
 @register("weighted_objective", _sql(f"""

@@ -24,7 +24,8 @@ def _model_query(name):
 
 
 for _n in MD.MODELS:
-    register(_n)(_model_query(_n))
+    register({"xgboost": "gbt_xgb_profile", "lightgbm": "gbt_lgbm_profile", "catboost": "gbt_catboost_profile"}.get(
+        _n, _n))(_model_query(_n))
 
 
 @register("rf_importance_topk")

@@ -215,15 +215,15 @@ def q_factorize(spark, sf):
 
 
 @register("presplit_filter", with_views(f"""
-SELECT {KEYS_SQL}, diabetes FROM (
+SELECT {KEYS_SQL}, diabetes, split AS side FROM (
  SELECT *, CASE WHEN ROW_NUMBER() OVER (PARTITION BY diabetes ORDER BY {_hash_sql('split')})
       <= ROUND(COUNT(*) OVER (PARTITION BY diabetes) * 0.2) THEN 'test' ELSE 'train' END AS split
- FROM patients) WHERE split = 'train'""", "patients"))
+ FROM patients)""", "patients"))
 def q_presplit(spark, sf):
-    """An existing split column: the train side, split column dropped."""
+    """An existing split column: both sides, split column dropped from each."""
     p = patients(spark, sf).select(*KEY, "diabetes")
-    train, _ = split.presplit(split.stratified_split(p, "diabetes", KEY), "diabetes")
-    return train
+    train, test = split.presplit(split.stratified_split(p, "diabetes", KEY), "diabetes")
+    return train.withColumn("side", F.lit("train")).unionByName(test.withColumn("side", F.lit("test")))
 
 
 @register("recombine", with_views(f"""

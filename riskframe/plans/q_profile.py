@@ -143,19 +143,18 @@ def _hist_sql(src, cols):
     parts = []
     for c in cols:
         parts.append(f"""
-SELECT '{c}' AS column_name, bin, ROUND(lo + bin * ((hi - lo) / k), 6) AS bin_lo,
- ROUND(lo + (bin + 1) * ((hi - lo) / k), 6) AS bin_hi, COUNT(*) AS n
-FROM (
- SELECT CAST(CASE WHEN hi = lo THEN 0 ELSE LEAST(FLOOR((x - lo) * k / (hi - lo)), k - 1) END AS INTEGER) AS bin,
-        lo, hi, k
- FROM (SELECT CAST({c} AS DOUBLE) AS x FROM {src} WHERE {c} IS NOT NULL) v,
+SELECT '{c}' AS column_name, g.bin, ROUND(g.lo + g.bin * ((g.hi - g.lo) / g.k), 6) AS bin_lo,
+ ROUND(g.lo + (g.bin + 1) * ((g.hi - g.lo) / g.k), 6) AS bin_hi, COUNT(x) AS n
+FROM (SELECT lo, hi, k, CAST(UNNEST(range(k)) AS INTEGER) AS bin FROM
  (SELECT lo, hi, CASE WHEN hi = lo THEN 1 ELSE GREATEST(1, CAST(CEIL((hi - lo) / (
       CASE WHEN 2.0 * (q3 - q1) * POWER(n, -1.0 / 3.0) > 0
            THEN LEAST(2.0 * (q3 - q1) * POWER(n, -1.0 / 3.0), (hi - lo) / (LOG2(n) + 1.0))
            ELSE (hi - lo) / (LOG2(n) + 1.0) END)) AS INTEGER)) END AS k
   FROM (SELECT COUNT({c}) AS n, MIN(CAST({c} AS DOUBLE)) AS lo, MAX(CAST({c} AS DOUBLE)) AS hi,
-        QUANTILE_CONT({c}, 0.25) AS q1, QUANTILE_CONT({c}, 0.75) AS q3 FROM {src})) s
-) b GROUP BY bin, lo, hi, k""")
+        QUANTILE_CONT({c}, 0.25) AS q1, QUANTILE_CONT({c}, 0.75) AS q3 FROM {src})) s) g
+LEFT JOIN (SELECT CAST({c} AS DOUBLE) AS x FROM {src} WHERE {c} IS NOT NULL) v
+ ON g.bin = CAST(CASE WHEN hi = lo THEN 0 ELSE LEAST(FLOOR((x - lo) * k / (hi - lo)), k - 1) END AS INTEGER)
+GROUP BY g.bin, g.lo, g.hi, g.k""")
     return _union(parts)
 
 
@@ -206,6 +205,23 @@ def q_box_events(spark, sf):
     return round_all(P.box_stats(table(spark, sf, "events"), ["value"], method="bounded"))
 
 
+def _outlier_sql(src, cols):
+    return _union([f"""
+SELECT '{c}' AS column_name, ROUND(x, 6) AS value, COUNT(*) AS n FROM (SELECT CAST({c} AS DOUBLE) AS x FROM {src}) v,
+ (SELECT QUANTILE_CONT({c}, 0.25) AS q1, QUANTILE_CONT({c}, 0.75) AS q3 FROM {src}) q
+WHERE x < q1 - 1.5 * (q3 - q1) OR x > q3 + 1.5 * (q3 - q1) GROUP BY x""" for c in cols])
+
+
+@register("box_outliers", with_views(_outlier_sql("patients_dirty", CONT), "patients_dirty"))
+def q_box_outliers(spark, sf):
+    return round_all(P.box_outliers(patients_dirty(spark, sf), CONT))
+
+
+@register("box_outliers_events", _outlier_sql("events", ["value"]))
+def q_box_outliers_events(spark, sf):
+    return round_all(P.box_outliers(table(spark, sf, "events"), ["value"]))
+
+
 # -- correlations --------------------------------------------------------------
 def _corr_sql(src, cols, strings):
     codes = {c: f"c_{c}" for c in strings}

@@ -88,7 +88,7 @@ def read_zip_csv(spark: SparkSession, path: str, schema: StructType) -> DataFram
     lines = raw.select("path", "content").mapInPandas(
         _unzip_lines, "archive string, member string, line_no int, line string")
     ddl = schema.simpleString()[len("struct<"):-1].replace(":", " ")
-    parsed = lines.select(F.from_csv("line", ddl).alias("r")).select("r.*")
+    parsed = lines.select(F.from_csv("line", ddl, {"mode": "FAILFAST"}).alias("r")).select("r.*")
     return nan_to_null(parsed)
 
 

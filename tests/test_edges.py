@@ -56,8 +56,8 @@ def test_average_precision_and_auc(spark):
     assert abs(ap - 0.7) < 1e-12
     assert abs(auc - 0.611111111) < 1e-6
     # the bucketed (at-scale) path gives the same numbers
-    assert abs(M.average_precision(df, direct_max=0, rows_per_bucket=2).first()[0] - ap) < 1e-12
-    assert abs(M.roc_auc(df, direct_max=0, rows_per_bucket=2).first()[0] - auc) < 1e-12
+    assert abs(M.average_precision(df, rows_per_bucket=2).first()[0] - ap) < 1e-12
+    assert abs(M.roc_auc(df, rows_per_bucket=2).first()[0] - auc) < 1e-12
 
 
 def test_factorize_sorted_null_minus_one(spark):
