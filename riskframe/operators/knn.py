@@ -9,18 +9,17 @@ Plan, chosen so that no pair table and no unbounded group ever exists:
    count with map-side combine).  A vector held by a third of all rows
    becomes one row; its rows' neighbours among themselves are the smallest
    keys of that vector (kept per vector by a salted two-level top-k).
-2. **Cells**: project the distinct vectors on two orthonormal directions
-   (the first two principal axes, slightly tilted so projections rarely
-   tie); cut the first projection into quantile slabs and each slab into
-   quantile cells of the second - about ``slab_rows`` vectors per cell.
-   ``|w.(x - y)| <= ||x - y||`` makes each projection a lower bound.
+2. **Leaves**: a k-d tree of median splits, grown on the driver from a
+   bounded sample, deals the distinct vectors to leaves of about
+   ``slab_rows``; each leaf's tight box comes from all its vectors.
 3. **Phase 1**: each query vector finds its nearest vectors inside its home
-   cell (``cogroup`` + ``applyInPandas``; numpy, chunked) - an upper bound
-   ``r`` on its final radius.
-4. **Phase 2**: the query is sent only to the other cells that the box
-   ``[p - r, p + r] x [p2 - r, p2 + r]`` reaches, and searched there within ``r``.
-5. **Merge** per query vector (small lists), then expand vectors to row
-   keys and keep the first ``k`` by (distance, key) per query row.
+   leaf (``cogroup`` + ``applyInPandas``; numpy, chunked) - an upper bound
+   ``r`` on its final radius.  Where the leaf holds too few, ``r`` is the
+   farthest corner of the nearest boxes that together hold enough.
+4. **Phase 2**: the query is sent only to the other leaves whose box lies
+   within ``r`` in all features.  Groups are cut by hash to GROUP_ROWS
+   queries and candidates.
+5. **Merge** per query vector, expand vectors to keys, rank.
 
 Rows need a unique key and non-null features.
 """
@@ -28,17 +27,20 @@ Rows need a unique key and non-null features.
 from __future__ import annotations
 
 import functools
-import math
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
 
-MAX_CELLS = 4_000_000  # bounds the broadcast split table (2 000 x 2 000 doubles)
+#: Leaves at most: bounds the broadcast tree and boxes.  Beyond, leaves grow and
+#: their rows are searched in groups of GROUP_ROWS queries and candidates.
+MAX_LEAVES = 4096
+GROUP_ROWS = 4096
+#: Vectors the tree is grown from, at most.
+SAMPLE = 131_072
 CAND_SCHEMA = "qvid string, cvid string, d2 double, m long, r2 double, summary boolean"
 
 
@@ -103,51 +105,57 @@ def _block_fn(features, radius: bool, max_cells: int = 4_000_000):
     return fn
 
 
-def _covariance(v: DataFrame, features) -> np.ndarray:
-    """Sample covariance of the feature columns.
-
-    Each task reduces its rows to (n, sum x, X^T X) with numpy; Spark sums
-    those d^2 + d + 1 numbers per position (a tiny grouped aggregate).  One
-    ``covar_samp`` per pair would be d(d+1)/2 aggregates, too many for
-    whole-stage codegen at ~20 features.
-    """
-    d = len(features)
-
-    def moments(it):
-        n, sx, xx = 0, np.zeros(d), np.zeros((d, d))
-        for pdf in it:
-            x = pdf[list(features)].to_numpy(np.float64)
-            n += len(x)
-            sx += x.sum(axis=0)
-            xx += x.T @ x
-        yield pd.DataFrame({"m": [np.concatenate([[float(n)], sx, xx.ravel()]).tolist()]})
-
-    parts = v.select(*features).mapInPandas(moments, "m array<double>")
-    tot = parts.select(F.posexplode("m").alias("i", "x")).groupBy("i").agg(F.sum("x").alias("x"))
-    got = dict(tot.collect())  # d^2 + d + 1 rows
-    m = np.array([got.get(i, 0.0) for i in range(1 + d + d * d)])
-    n, sx, xx = m[0], m[1:1 + d], m[1 + d:].reshape(d, d)
-    if n < 2:
-        return np.zeros((d, d))
-    cov = (xx - np.outer(sx, sx) / n) / (n - 1)
-    return np.where(np.isfinite(cov), cov, 0.0)
-
-
-def _directions(v: DataFrame, features) -> list:
-    """Two orthonormal unit vectors: the first two principal axes of the
-    distinct vectors, tilted by a fixed small irrational mix so that distinct
-    vectors rarely share a projection."""
-    d = len(features)
-    if d == 1:
-        return [[1.0]]
-    cov = _covariance(v, features)
-    vecs = np.linalg.eigh(cov)[1] if np.any(cov) else np.eye(d)
-    tilt = np.array([math.sqrt(2.0 + i) % 1.0 + 0.1 for i in range(d)])
-    w1 = vecs[:, -1] / np.linalg.norm(vecs[:, -1]) + 0.01 * tilt / np.linalg.norm(tilt)
-    w1 = w1 / np.linalg.norm(w1)
-    w2 = vecs[:, -2] - np.dot(vecs[:, -2], w1) * w1  # Gram-Schmidt against the tilted axis
-    w2 = w2 / np.linalg.norm(w2)
-    return [list(w1), list(w2)]
+def _kd_tree(sample: np.ndarray, leaves: int) -> dict:
+    """Median splits of a sample on the widest feature, down to ``leaves``
+    leaves: arrays feature (-1 at a leaf), threshold, left, right, leaf."""
+    nodes: list[list] = []
+
+    def grow(x: np.ndarray, n: int) -> int:
+        at = len(nodes)
+        nodes.append([-1, 0.0, 0, 0, 0])
+        spread = x.std(axis=0) if len(x) else np.zeros(sample.shape[1])
+        f = int(np.argmax(spread))
+        if n < 2 or len(x) < 2 or spread[f] == 0:
+            return at
+        cut = float(np.median(x[:, f]))
+        if not (x[:, f] > cut).any():  # the median is the largest value: split below it
+            cut = float(x[x[:, f] < cut, f].max())
+        right = x[:, f] > cut
+        nodes[at][:2] = f, cut
+        nodes[at][2] = grow(x[~right], n // 2)
+        nodes[at][3] = grow(x[right], n - n // 2)
+        return at
+
+    grow(sample, leaves)
+    count = 0
+    for node in nodes:
+        if node[0] < 0:
+            node[4], count = count, count + 1
+    cols = list(zip(*nodes))
+    return {"feature": np.array(cols[0]), "cut": np.array(cols[1]), "left": np.array(cols[2]),
+            "right": np.array(cols[3]), "leaf": np.array(cols[4])}
+
+
+def _leaf_of(tree: dict, x: np.ndarray) -> np.ndarray:
+    node = np.zeros(len(x), np.int64)
+    rows = np.arange(len(x))
+    while True:
+        f = tree["feature"][node]
+        inner = f >= 0
+        if not inner.any():
+            return tree["leaf"][node]
+        go = x[rows, np.maximum(f, 0)] > tree["cut"][node]
+        node = np.where(inner, np.where(go, tree["right"][node], tree["left"][node]), node)
+
+
+def _box_distances(x: np.ndarray, low: np.ndarray, high: np.ndarray, far: bool) -> np.ndarray:
+    """Squared distance of each point to each box: the nearest point, or the farthest corner."""
+    out = np.zeros((len(x), len(low)))
+    for j in range(x.shape[1]):
+        below, above = low[None, :, j] - x[:, j, None], x[:, j, None] - high[None, :, j]
+        step = np.maximum(np.abs(below), np.abs(above)) if far else np.maximum(np.maximum(below, above), 0)
+        out += step * step
+    return out
 
 
 def knn(df: DataFrame, features, key: str, k: int = 5, query_col: str | None = None,
@@ -169,72 +177,84 @@ def knn(df: DataFrame, features, key: str, k: int = 5, query_col: str | None = N
     unset = [F.col(c).isNull() | F.isnan(c) for c in feats]
     if vec.where(functools.reduce(lambda a, b: a | b, unset)).limit(1).count():
         raise ValueError("k-NN needs features without nulls or NaN: impute them first")
-    axes = _directions(vec, feats)
-    proj = [sum((F.col(c) * F.lit(float(wj)) for c, wj in zip(feats, w)), F.lit(0.0)) for w in axes]
-    # a projection of the checkpoint: recomputing it gives the same values
-    vec = vec.withColumn("p", proj[0]).withColumn("p2", proj[1] if len(proj) > 1 else F.lit(0.0))
     salted = rows.withColumn("salt", F.pmod(F.xxhash64("key"), F.lit(salt)))
     t1 = salted.withColumn("rn", F.row_number().over(Window.partitionBy("vid", "salt").orderBy("key"))) \
         .filter(F.col("rn") <= k + 1)
     top = t1.withColumn("rn", F.row_number().over(Window.partitionBy("vid").orderBy("key"))) \
         .filter(F.col("rn") <= k + 1).select("vid", F.col("key").alias("nkey"))
 
-    # 2. balanced cells: quantile slabs on p, then per-slab quantiles on p2
+    # 2. leaves of a k-d tree over a bounded sample, with tight boxes over all vectors
     n_vec = vec.count()
-    n_cells = min(MAX_CELLS, max(1, -(-n_vec // slab_rows)))
-    n1 = max(1, int(math.ceil(math.sqrt(n_cells))))
-    n2 = max(1, -(-n_cells // n1))
-    if n1 > 1:
-        qs = vec.agg(F.percentile_approx("p", [i / n1 for i in range(1, n1)], max(10_000, 20 * n1)).alias("q")).first()["q"]
-        splits = [float("-inf")] + sorted(set(float(x) for x in qs)) + [float("inf")]
-    else:
-        splits = [float("-inf"), 0.0, float("inf")]  # Bucketizer needs 3 splits; any cut is valid
-    vec_s = Bucketizer(splits=splits, inputCol="p", outputCol="slab").transform(vec) \
-        .withColumn("slab", F.col("slab").cast("int"))
-    # per-slab split points of p2: one row per slab (<= sqrt(MAX_CELLS) rows of
-    # <= sqrt(MAX_CELLS) doubles), so the broadcast below has a proven bound
-    inner = vec_s.groupBy("slab").agg(F.array_sort(F.array_distinct(F.percentile_approx(
-        "p2", [i / n2 for i in range(1, n2)] or [0.5], max(10_000, 20 * n2)))).alias("inner"))
-    if n2 == 1:
-        inner = inner.select("slab", F.array().cast("array<double>").alias("inner"))
-    inner = cut_lineage(inner)
-
-    def inner_bucket(v):
-        return F.size(F.filter(F.coalesce(F.col("inner"), F.array().cast("array<double>")), lambda x: x <= v))
-
-    stride = n2
-    vec_s = vec_s.join(F.broadcast(inner), "slab", "left") \
-        .withColumn("cell", F.col("slab") * F.lit(stride) + inner_bucket(F.col("p2"))).drop("inner")
-    cands = vec_s.select(F.col("cell").alias("slab"), "vid", *feats, "m")
+    leaves = min(MAX_LEAVES, max(1, -(-n_vec // slab_rows)))
+    sample = vec.select(*feats).orderBy(F.xxhash64("vid")).limit(min(SAMPLE, 32 * leaves)).toPandas()
+    tree = spark.sparkContext.broadcast(_kd_tree(sample.to_numpy(np.float64).reshape(-1, len(feats)), leaves))
+
+    def assign(it):
+        for pdf in it:
+            yield pdf.assign(slab=_leaf_of(tree.value, pdf[feats].to_numpy(np.float64)).astype(np.int32))
+
+    columns = ["vid", *feats, "m", "mq"]
+    vec_s = cut_lineage(vec.select(*columns).mapInPandas(
+        assign, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in vec.select(*columns).schema) + ", slab int"))
+    boxes = vec_s.groupBy("slab").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("m").alias("weight"), F.count_if(F.col("mq") > 0).alias("nq"),
+        F.array(*[F.min(c) for c in feats]).alias("low"), F.array(*[F.max(c) for c in feats]).alias("high"))
+    boxes = boxes.orderBy("slab").toPandas()  # at most MAX_LEAVES rows
+    box = spark.sparkContext.broadcast({
+        "slab": boxes["slab"].to_numpy(np.int32), "weight": boxes["weight"].to_numpy(np.int64),
+        "low": np.array(boxes["low"].tolist()).reshape(-1, len(feats)),
+        "high": np.array(boxes["high"].tolist()).reshape(-1, len(feats))})
+    cands = vec_s.select("slab", "vid", *feats, "m")
     queries = vec_s.filter(F.col("mq") > 0).withColumn(
         "need", (F.lit(k) - F.least(F.lit(k), F.col("m") - 1)).cast("long"))
     active = queries.filter(F.col("need") > 0)
 
-    # 3. phase 1: home cell
-    q1 = active.select(F.col("cell").alias("slab"), "vid", *feats, "need", F.lit(None).cast("double").alias("r2"))
-    q1 = q1.toDF(*q1.columns)  # fresh attribute ids: both cogroup sides come from `vec`
-    out1 = q1.groupBy("slab").cogroup(cands.groupBy("slab")).applyInPandas(
-        _block_fn(feats, radius=False), CAND_SCHEMA)
-    out1 = cut_lineage(out1)
-    summary = out1.filter("summary").select(F.col("qvid").alias("vid"), "r2")
-
-    # 4. phase 2: other cells met by the box [p - r, p + r] x [p2 - r, p2 + r]
-    q2 = active.join(summary, "vid")
-    r = F.sqrt(F.col("r2")) * F.lit(1.0 + 1e-9) + F.lit(1e-12)
-    q2 = q2.withColumn("lo_p", F.col("p") - r).withColumn("hi_p", F.col("p") + r) \
-        .withColumn("lo_p2", F.col("p2") - r).withColumn("hi_p2", F.col("p2") + r)
-    q2 = Bucketizer(splitsArray=[splits, splits], inputCols=["lo_p", "hi_p"],
-                    outputCols=["lo_s", "hi_s"]).transform(q2)
-    q2 = q2.select("vid", *feats, "need", "r2", "cell", "lo_p2", "hi_p2",
-                   F.explode(F.sequence(F.col("lo_s").cast("int"), F.col("hi_s").cast("int"))).alias("slab"))
-    q2 = q2.join(F.broadcast(inner), "slab", "left").select(
-        "vid", *feats, "need", "r2", "cell", F.col("slab").alias("s1"),
-        F.explode(F.sequence(inner_bucket(F.col("lo_p2")), inner_bucket(F.col("hi_p2")))).alias("s2"))
-    q2 = q2.withColumn("slab", F.col("s1") * F.lit(stride) + F.col("s2")) \
-        .filter(F.col("slab") != F.col("cell")).select("slab", "vid", *feats, "need", "r2")
-    q2 = q2.toDF(*q2.columns)
-    out2 = q2.groupBy("slab").cogroup(cands.groupBy("slab")).applyInPandas(
-        _block_fn(feats, radius=True), CAND_SCHEMA)
+    def search(q, per_slab, radius):
+        """Groups of at most about GROUP_ROWS queries and as many candidates."""
+        parts = spark.createDataFrame(
+            [(int(b.slab), max(1, -(-int(per_slab.get(b.slab, 0)) // GROUP_ROWS)), max(1, -(-int(b.n) // GROUP_ROWS)))
+             for b in boxes.itertuples()], "slab int, q_parts int, c_parts int")  # at most MAX_LEAVES rows
+        spread = F.xxhash64("vid")
+        qs = q.join(F.broadcast(parts), "slab").withColumn("qp", F.pmod(spread, F.col("q_parts")).cast("int")).withColumn(
+            "cp", F.explode(F.sequence(F.lit(0), F.col("c_parts") - 1))).select("slab", "qp", "cp", "vid", *feats, "need", "r2")
+        cs = cands.join(F.broadcast(parts), "slab").withColumn("cp", F.pmod(spread, F.col("c_parts")).cast("int")).withColumn(
+            "qp", F.explode(F.sequence(F.lit(0), F.col("q_parts") - 1))).select("slab", "qp", "cp", "vid", *feats, "m")
+        qs = qs.toDF(*qs.columns)  # fresh attribute ids: both cogroup sides come from `vec`
+        return qs.groupBy("slab", "qp", "cp").cogroup(cs.groupBy("slab", "qp", "cp")).applyInPandas(
+            _block_fn(feats, radius=radius), CAND_SCHEMA)
+
+    # 3. phase 1: home leaf
+    out1 = cut_lineage(search(active.withColumn("r2", F.lit(None).cast("double")),
+                              dict(zip(boxes["slab"], boxes["nq"])), False))
+    summary = out1.filter("summary").groupBy(F.col("qvid").alias("vid")).agg(F.min("r2").alias("r2"))
+
+    # 4. phase 2: other leaves whose box lies within the radius
+    def reach(it):
+        b = box.value
+        for pdf in it:
+            for at in range(0, len(pdf), 512):
+                part = pdf.iloc[at:at + 512].reset_index(drop=True)
+                x, r2 = part[feats].to_numpy(np.float64), part["r2"].to_numpy(np.float64).copy()
+                home, need = part["slab"].to_numpy(), part["need"].to_numpy()
+                open_end = np.flatnonzero(~np.isfinite(r2))
+                if len(open_end):  # the home leaf had too few: the nearest whole boxes that hold enough
+                    far = _box_distances(x[open_end], b["low"], b["high"], True)
+                    weight = b["weight"][None, :] - np.where(
+                        b["slab"][None, :] == home[open_end, None], part["m"].to_numpy()[open_end, None], 0)
+                    order = np.argsort(far, axis=1)
+                    total = np.cumsum(np.take_along_axis(weight, order, 1), axis=1)
+                    has = total >= need[open_end, None]
+                    first = np.take_along_axis(order, has.argmax(axis=1)[:, None], 1)
+                    r2[open_end] = np.where(has.any(axis=1), np.take_along_axis(far, first, 1)[:, 0] * (1 + 1e-9) + 1e-12, np.inf)
+                near = _box_distances(x, b["low"], b["high"], False) <= (r2 * (1 + 1e-9) + 1e-12)[:, None]
+                near &= b["slab"][None, :] != home[:, None]
+                i, j = np.nonzero(near)
+                yield part.iloc[i][["vid", *feats, "need"]].assign(r2=r2[i], slab=b["slab"][j])
+
+    q2 = active.select("vid", *feats, "need", "m", "slab").join(summary, "vid")
+    q2 = cut_lineage(q2.mapInPandas(reach, "vid string, " + ", ".join(f"`{c}` double" for c in feats)
+                                    + ", need long, r2 double, slab int"))
+    out2 = search(q2, {r["slab"]: r["n"] for r in q2.groupBy("slab").agg(F.count(F.lit(1)).alias("n")).collect()}, True)
 
     # 5. merge per query vector: keep distances up to where weights cover `need`
     found = out1.filter(~F.col("summary")).unionByName(out2).select("qvid", "cvid", "d2", "m") \
