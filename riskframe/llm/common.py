@@ -6,6 +6,7 @@ import os
 import uuid
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401 - pa.compute
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -37,6 +38,7 @@ def saved(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/table-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    spark.sparkContext._jvm.System.gc()  # lets Spark's cleaner drop the shuffle files that nothing needs any more
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -89,6 +91,24 @@ def only_ids(docs: DataFrame, ids: DataFrame, key: str = "doc_id") -> DataFrame:
     return maybe_in(docs, bit_filter(ids, key), key).join(ids, key, "left_semi")
 
 
+def key_bits(keys: DataFrame, bits: int = FILTER_BITS) -> bytes:
+    """A bitmap of the well-mixed long column ``key`` as bytes: at most
+    ``bits`` / 32 768 rows of 4 KB reach the driver, whatever the input."""
+    place = F.pmod(F.col("key"), F.lit(bits))
+    rows = keys.select(F.floor(place / _BUCKET).cast("int").alias("bucket"), (place % _BUCKET).alias("bit")).groupBy(
+        "bucket").agg(F.bitmap_construct_agg("bit").alias("bits")).collect()
+    out = bytearray(bits // 8)
+    for row in rows:
+        out[row["bucket"] * 4096:row["bucket"] * 4096 + len(row["bits"])] = row["bits"]
+    return bytes(out)
+
+
+def has_bit(bitmap: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """The keys whose bit is set."""
+    place = keys & np.int64(8 * len(bitmap) - 1)
+    return keys[(bitmap[place >> 3] >> (place & 7).astype(np.uint8)) & 1 > 0]
+
+
 def attach(rows: DataFrame, groups: DataFrame, key: str, size: str, spread: str,
            total: int, joins: Column | None = None) -> DataFrame:
     """Left join of ``rows`` with ``groups`` (one row per ``key``).

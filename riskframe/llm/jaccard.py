@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import attach, bit_filter, by_bytes, components, maybe_in, only_ids, saved
+from .common import attach, by_bytes, components, has_bit, key_bits, only_ids, saved
 
 #: Groups of the count vectors in the R-trees, and fine groups of a block.
 GROUPS, FINE = 64, 64
@@ -109,7 +109,19 @@ def set_class(hashes: np.ndarray) -> int:
 
 def count_vector(hashes: np.ndarray) -> np.ndarray:
     """Shingles of the set in each of GROUPS groups (by their hash)."""
-    return np.bincount((hashes >> np.uint64(58)).astype(np.int64), minlength=GROUPS).astype("<u4")
+    return np.bincount((hashes >> np.uint64(58)).astype(np.int64), minlength=GROUPS)
+
+
+def packed_vector(hashes: np.ndarray) -> bytes:
+    """The count vector in a byte a group; 255 stands for that many or more."""
+    return np.minimum(count_vector(hashes), 255).astype(np.uint8).tobytes()
+
+
+def unpacked_vectors(packed: list[bytes]) -> np.ndarray:
+    """Upper bounds of the counts: a full byte bounds nothing."""
+    out = np.frombuffer(b"".join(packed), np.uint8).reshape(-1, GROUPS).astype(np.int64)
+    out[out == 255] = 1 << 40
+    return out
 
 
 class CountTree:
@@ -180,26 +192,30 @@ def _unpacked(table: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray,
         sets = [np.asarray(h, np.int64).view(np.uint64) for h in table["hashes"]]
         vectors = np.stack([count_vector(x) for x in sets])
     else:
-        vectors = np.frombuffer(b"".join(table["vec"]), "<u4").reshape(-1, GROUPS)
-    return table["cls"].to_numpy(), vectors.astype(np.int64), table["n"].to_numpy(np.int64), sets
+        vectors = unpacked_vectors(table["vec"].tolist())
+    return table["cls"].to_numpy(), vectors, table["n"].to_numpy(np.int64), sets
 
 
 def links_within(members: DataFrame, payload: str, anchored: Callable[[DataFrame], DataFrame], num: int, den: int,
-                 chunk_sets: int, chunk_mass: int) -> DataFrame:
+                 chunk_sets: int, chunk_mass: int, sizes: DataFrame | None = None) -> DataFrame:
     """(a, b) links that connect what is linked inside each ``root`` group of
     ``members`` (root, cls, n and a payload: ``vec`` or ``hashes``).
 
     Groups of at most a chunk are done whole, many to a task.  Larger ones are
     first linked to one anchor (``anchored`` adds anchor and linked); then only
     chunk pairs with a member that is not linked to it are joined, so that no
-    task holds more than two chunks.
+    task holds more than two chunks.  ``sizes`` (root, m, mass and what
+    ``anchored`` needs) saves counting; too large a count does no harm.
     """
     edge = "a long, b long"
-    sized = members.groupBy("root").agg(F.count("*").alias("m"), F.sum("n").alias("mass"))
-    sized = saved(sized.withColumn("big", (F.col("m") > chunk_sets) | (F.col("mass") > chunk_mass)))
-    facts = sized.agg(F.sum("m").alias("m"), F.sum("mass").alias("mass"), F.max("big").alias("big")).first()
+    if sizes is None:
+        sizes = saved(members.groupBy("root").agg(F.count("*").alias("m"), F.sum("n").alias("mass")))
+    large = (F.col("m") > chunk_sets) | (F.col("mass") > chunk_mass)
+    facts = sizes.agg(F.sum("m").alias("m"), F.sum("mass").alias("mass"), F.count_if(large).alias("big")).first()
     bundles = max(1, math.ceil(max((facts["m"] or 0) / chunk_sets, (facts["mass"] or 0) / chunk_mass)))
-    small = members.join(sized.where("not big AND m > 1").select("root"), "root").withColumn(
+    few = sizes.where(large).select("root")
+    few = F.broadcast(few) if facts["big"] <= 100_000 else few  # 8 bytes a row
+    small = (members.join(few, "root", "left_anti") if facts["big"] else members).withColumn(
         "bundle", F.pmod(F.xxhash64("root"), F.lit(bundles)).cast("int"))
 
     def within(table: pd.DataFrame) -> pd.DataFrame:
@@ -221,7 +237,8 @@ def links_within(members: DataFrame, payload: str, anchored: Callable[[DataFrame
     if not facts["big"]:
         return links
 
-    own = saved(anchored(members.join(sized.where("big").select("root"), "root")))
+    own = members.join(F.broadcast(sizes.where(large)) if facts["big"] <= 10_000 else sizes.where(large), "root")
+    own = saved(anchored(own))
     links = links.unionByName(own.where("linked AND cls <> anchor").select(
         F.col("cls").alias("a"), F.col("anchor").alias("b")))
     parts = (own.groupBy("root").agg(
@@ -267,36 +284,48 @@ def near_duplicates(docs: DataFrame, words: int = 5, num: int = 80, den: int = 1
     """
     bands = Bands(num, den)
 
+    def all_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in by_bytes(batches):
+            keys, classes = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+            for text in batch.column("text").to_pylist():
+                x = shingles(text, words)
+                if len(x):
+                    keys.append(tile_keys(x, bands))
+                    classes.append(np.full(len(keys[-1]), set_class(x)))
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), pa.array(np.concatenate(classes))],
+                                             ["key", "cls"])
+
+    base = docs.select("doc_id", "text")
+    shared = saved(base.where("doc_id IS NOT NULL").mapInArrow(all_keys, "key long, cls long").groupBy("key").agg(
+        F.min("cls").alias("anchor"), F.max("cls").alias("last"), F.count("*").alias("m")).where("anchor <> last")
+        .select(F.col("key").alias("root"), "anchor", "m"))
+    may = docs.sparkSession.sparkContext.broadcast(key_bits(shared.select(F.col("root").alias("key"))))
+
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.frombuffer(may.value, np.uint8)
         for batch in by_bytes(batches):
             found = [shingles(t, words) for t in batch.column("text").to_pylist()]
-            keys = [tile_keys(x, bands) if len(x) else np.empty(0, np.int64) for x in found]
+            keys = [has_bit(bits, tile_keys(x, bands)) if len(x) else np.empty(0, np.int64) for x in found]
             ends = np.cumsum([0, *map(len, keys)]).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array([len(x) for x in found], pa.int64()),
                  pa.array([set_class(x) if len(x) else None for x in found], pa.int64()),
-                 pa.array([count_vector(x).tobytes() for x in found], pa.binary()),
+                 pa.array([packed_vector(x) for x in found], pa.binary()),
                  pa.ListArray.from_arrays(ends, pa.array(np.concatenate([np.empty(0, np.int64), *keys])))],
                 ["doc_id", "n_shingles", "cls", "vec", "keys"])
 
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    rows = saved(docs.select("doc_id", "text").mapInArrow(
-        sketch, f"doc_id {id_type}, n_shingles long, cls long, vec binary, keys array<long>"))
+    rows = saved(base.mapInArrow(sketch, f"doc_id {id_type}, n_shingles long, cls long, vec binary, keys array<long>"))
     total = rows.count()
     live = rows.where("cls IS NOT NULL AND doc_id IS NOT NULL")
     classes = saved(live.groupBy("cls").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("copies"),
-                                            F.max("n_shingles").alias("n"), F.max("vec").alias("vec")))
-    tiles = live.select("cls", F.explode("keys").alias("key"))
-    shared = saved(tiles.groupBy("key").agg(F.min("cls").alias("anchor"), F.max("cls").alias("last"))
-                   .where("anchor <> last").select("key", "anchor"))
-    members = maybe_in(tiles, bit_filter(shared, "key"), "key").distinct().join(shared, "key")
-    members = saved(members.join(classes.select("cls", "n", "vec"), "cls").select(
-        F.col("key").alias("root"), "anchor", "cls", "n", "vec"))
+                                            F.max("n_shingles").alias("n"), F.max("vec").alias("vec"),
+                                            F.max("keys").alias("keys")))
+    members = classes.select(F.explode("keys").alias("root"), "cls", "n", "vec")
 
     def bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            one, two = (np.frombuffer(b"".join(batch.column(c).to_pylist()), "<u4").reshape(-1, GROUPS).astype(np.int64)
-                        for c in ("vec", "anchor_vec"))
+            one, two = (unpacked_vectors(batch.column(c).to_pylist()) for c in ("vec", "anchor_vec"))
             sizes = batch.column("n").to_numpy() + batch.column("anchor_n").to_numpy()
             linked = np.minimum(one, two).sum(axis=1) * (num + den) >= num * sizes
             yield pa.RecordBatch.from_arrays([batch.column(c) for c in ("root", "anchor", "cls", "n", "vec")]
@@ -307,7 +336,8 @@ def near_duplicates(docs: DataFrame, words: int = 5, num: int = 80, den: int = 1
         return own.join(anchors, "root").mapInArrow(
             bounded, "root long, anchor long, cls long, n long, vec binary, linked boolean")
 
-    clusters = components(links_within(members, "vec", near_anchor, num, den, 2 * chunk_sets, 1 << 60))
+    clusters = components(links_within(members, "vec", near_anchor, num, den, 2 * chunk_sets, 1 << 60,
+                                       shared.withColumn("mass", F.col("m"))))
 
     def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in by_bytes(batches):
