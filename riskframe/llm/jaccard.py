@@ -167,8 +167,16 @@ def local_links(vectors: np.ndarray, sizes: np.ndarray, free: np.ndarray, num: i
     """Links that connect what is linked within these sets, as a forest: pairs
     whose overlap bound suffices, verified where the ``sets`` are given.  Pairs
     without a ``free`` member are not looked at, nor pairs already connected."""
-    tree = CountTree(vectors, sizes)
     group, links = np.arange(len(sizes)), []
+    if sets is None and len(sizes) <= LEAF and free.all():  # a tree of one leaf: its points directly
+        bound = np.minimum(vectors[:, None], vectors[None]).sum(axis=2) * (num + den)
+        pairs = np.argwhere(np.triu(bound >= num * (sizes[:, None] + sizes[None]), 1))
+        for i, j in pairs.tolist():
+            if group[i] != group[j]:
+                links.append((i, j))
+                group[group == group[j]] = group[i]
+        return links
+    tree = CountTree(vectors, sizes)
     for i in np.flatnonzero(free).tolist():
         near = tree.candidates(vectors[i], int(sizes[i]), num, den)
         for j in near[group[near] != group[i]].tolist():
