@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from .common import attach, by_bytes, components, has_bit, key_bits, only_ids, saved
 
 #: Groups of the count vectors in the R-trees, and fine groups of a block.
-GROUPS, FINE = 64, 64
+GROUPS, FINE = 128, 64
 LEAF = 16
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 
@@ -109,7 +109,7 @@ def set_class(hashes: np.ndarray) -> int:
 
 def count_vector(hashes: np.ndarray) -> np.ndarray:
     """Shingles of the set in each of GROUPS groups (by their hash)."""
-    return np.bincount((hashes >> np.uint64(58)).astype(np.int64), minlength=GROUPS)
+    return np.bincount((hashes >> np.uint64(64 - GROUPS.bit_length() + 1)).astype(np.int64), minlength=GROUPS)
 
 
 def packed_vector(hashes: np.ndarray) -> bytes:
