@@ -76,14 +76,17 @@ def maybe_in(df: DataFrame, bitmap: DataFrame, *cols: str, bits: int = FILTER_BI
     return marked(df, bitmap, *cols, bits=bits).where("_maybe").drop("_maybe")
 
 
-def without_ids(docs: DataFrame, dropped: DataFrame, key: str = "doc_id") -> DataFrame:
-    """Rows of ``docs`` whose key is not in ``dropped``; only rows that the
-    bit filter cannot clear are shuffled."""
-    gone = dropped.select(F.col(key).alias("_gone")).distinct()
-    both = marked(docs, bit_filter(gone, "_gone"), key, name="_maybe")
+def without_ids(docs: DataFrame, dropped: DataFrame, *keys: str) -> DataFrame:
+    """Rows of ``docs`` whose keys (doc_id by default) are not in ``dropped``;
+    only rows that the bit filter cannot clear are shuffled."""
+    keys = keys or ("doc_id",)
+    names = [f"_gone_{i}" for i in range(len(keys))]
+    gone = dropped.select(*[F.col(k).alias(name) for k, name in zip(keys, names, strict=True)]).distinct()
+    both = marked(docs, bit_filter(gone, *names), *keys, name="_maybe")
     clear = both.where(~F.col("_maybe")).drop("_maybe")
     rest = both.where("_maybe").drop("_maybe")
-    return clear.unionByName(rest.join(gone, rest[key].eqNullSafe(gone["_gone"]), "left_anti"))
+    same = [rest[k].eqNullSafe(gone[name]) for k, name in zip(keys, names, strict=True)]
+    return clear.unionByName(rest.join(gone, same, "left_anti"))
 
 
 def only_ids(docs: DataFrame, ids: DataFrame, key: str = "doc_id") -> DataFrame:

@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import attach, by_bytes, components, has_bit, key_bits, only_ids, saved
+from .common import attach, by_bytes, components, filled, has_bit, key_bits, only_ids, saved
 
 #: Groups of the count vectors in the R-trees, and fine groups of a block.
 GROUPS, FINE = 128, 64
@@ -275,9 +275,12 @@ def links_within(members: DataFrame, payload: str, anchored: Callable[[DataFrame
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100,
-                    chunk_sets: int = 1024, chunk_shingles: int = 1_000_000) -> DataFrame:
+                    chunk_sets: int = 1024, chunk_shingles: int = 1_000_000, keyed: bool = False) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles and component_id, the
-    smallest doc_id reachable by links of similarity num / den or more.
+    smallest doc_id reachable by links of similarity num / den or more; with
+    ``keyed`` also row_key, a hash of doc_id and text, and kept, true of the
+    row of smallest (doc_id, row_key) of each group and of rows that link with
+    nothing.  Wholly repeated rows share their key and their decision.
 
     Each distinct set emits its tile keys: similar sets share a tile.  In a
     tile, a count-vector R-tree bounds overlaps by sums of coordinate minima,
@@ -303,7 +306,8 @@ def near_duplicates(docs: DataFrame, words: int = 5, num: int = 80, den: int = 1
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), pa.array(np.concatenate(classes))],
                                              ["key", "cls"])
 
-    base = docs.select("doc_id", "text")
+    base = docs.select("doc_id", "text", *([F.xxhash64("doc_id", filled()).alias("row_key")] if keyed else []))
+    row = ["doc_id", "row_key"] if keyed else ["doc_id"]
     shared = saved(base.where("doc_id IS NOT NULL").mapInArrow(all_keys, "key long, cls long").groupBy("key").agg(
         F.min("cls").alias("anchor"), F.max("cls").alias("last"), F.count("*").alias("m")).where("anchor <> last")
         .select(F.col("key").alias("root"), "anchor", "m"))
@@ -316,17 +320,19 @@ def near_duplicates(docs: DataFrame, words: int = 5, num: int = 80, den: int = 1
             keys = [has_bit(bits, tile_keys(x, bands)) if len(x) else np.empty(0, np.int64) for x in found]
             ends = np.cumsum([0, *map(len, keys)]).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array([len(x) for x in found], pa.int64()),
+                [*[batch.column(c) for c in row], pa.array([len(x) for x in found], pa.int64()),
                  pa.array([set_class(x) if len(x) else None for x in found], pa.int64()),
                  pa.array([packed_vector(x) for x in found], pa.binary()),
                  pa.ListArray.from_arrays(ends, pa.array(np.concatenate([np.empty(0, np.int64), *keys])))],
-                ["doc_id", "n_shingles", "cls", "vec", "keys"])
+                [*row, "n_shingles", "cls", "vec", "keys"])
 
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    rows = saved(base.mapInArrow(sketch, f"doc_id {id_type}, n_shingles long, cls long, vec binary, keys array<long>"))
+    key_type = ", row_key long" if keyed else ""
+    rows = saved(base.mapInArrow(
+        sketch, f"doc_id {id_type}{key_type}, n_shingles long, cls long, vec binary, keys array<long>"))
     total = rows.count()
     live = rows.where("cls IS NOT NULL AND doc_id IS NOT NULL")
-    classes = saved(live.groupBy("cls").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("copies"),
+    classes = saved(live.groupBy("cls").agg(F.min(F.struct(*row)).alias("first"), F.count("*").alias("copies"),
                                             F.max("n_shingles").alias("n"), F.max("vec").alias("vec"),
                                             F.max("keys").alias("keys")))
     members = classes.select(F.explode("keys").alias("root"), "cls", "n", "vec")
@@ -355,7 +361,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, num: int = 80, den: int = 1
                  pa.array([len(x) for x in found], pa.int64()),
                  pa.array([x.view(np.int64) for x in found], pa.list_(pa.int64()))], ["cls", "n", "hashes"])
 
-    holders = classes.join(clusters, classes["cls"] == clusters["v"]).select(F.col("first_id").alias("doc_id"))
+    holders = classes.join(clusters, classes["cls"] == clusters["v"]).select(F.col("first.doc_id").alias("doc_id"))
     texts = only_ids(docs.select("doc_id", "text"), saved(holders.distinct()))
     sets = texts.mapInArrow(sets_of, "cls long, n long, hashes array<long>").join(
         clusters, F.col("cls") == F.col("v")).select("root", "cls", "n", "hashes")
@@ -370,12 +376,13 @@ def near_duplicates(docs: DataFrame, words: int = 5, num: int = 80, den: int = 1
     links = links_within(sets, "hashes", near_root, num, den, chunk_sets, chunk_shingles)
     linked = components(links)
     grouped = classes.join(linked, classes["cls"] == linked["v"], "left").select(
-        "cls", "first_id", "copies", F.coalesce("root", "cls").alias("root"))
-    smallest = grouped.groupBy("root").agg(F.min("first_id").alias("component_id"), F.count("*").alias("classes"))
+        "cls", "first", "copies", F.coalesce("root", "cls").alias("root"))
+    smallest = grouped.groupBy("root").agg(F.min("first").alias("keeper"), F.count("*").alias("classes"))
     grouped = attach(grouped, saved(smallest.where("classes > 1")), "root", "classes", "cls", total)
-    grouped = saved(grouped.select("cls", "copies", F.coalesce("component_id", "first_id").alias("component_id"))
-                    .where("copies > 1 OR component_id <> first_id OR classes > 1"))
-    out = attach(rows.select("doc_id", "n_shingles", "cls"), grouped, "cls", "copies", "doc_id", total,
+    grouped = saved(grouped.select("cls", "copies", F.coalesce("keeper", "first").alias("keeper"))
+                    .where("copies > 1 OR keeper <> first OR classes > 1"))
+    out = attach(rows.select(*row, "n_shingles", "cls"), grouped, "cls", "copies", "doc_id", total,
                  joins=F.col("cls").isNotNull())
-    return out.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
-                      .alias("component_id"))
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("keeper.doc_id", "doc_id")).alias("component_id")
+    kept = F.col("doc_id").isNull() | F.col("keeper").isNull() | (F.struct(*row) == F.col("keeper"))
+    return out.select("doc_id", "n_shingles", component, *(["row_key", kept.alias("kept")] if keyed else []))

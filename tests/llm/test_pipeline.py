@@ -1,7 +1,7 @@
 import corpus_pipeline
 from riskframe.llm.queries import QUERIES
 
-from .conftest import PHRASE
+from .conftest import PHRASE, SCHEMA
 
 
 def test_stages_on_whole_table(spark):
@@ -31,3 +31,15 @@ def test_stages_on_edge_rows(edge, empty, spark):
     assert cut[1].text == "" and cut[1].n_chars == 0 and cut[4].text is None and cut[20].text == "😀😀 it's 12³ items!?"
     for _, stage in corpus_pipeline.STAGES[1:]:
         assert stage(spark, empty, "").count() == 0
+
+
+def test_near_copies_go_by_row_not_by_id(edge, spark):
+    near = [(r.doc_id, r.text) for r in corpus_pipeline.drop_near_copies(spark, edge, "").collect()]
+    assert (13, "repeated id, other text") in near and (1, PHRASE) in near
+    assert (13, "start of its own " + PHRASE + " and another end") not in near
+    twins = [(5, PHRASE, "en", "a", 1), (5, PHRASE + " indeed", "en", "a", 2), (5, "a text of its own", "en", "a", 3)]
+    docs = spark.createDataFrame(twins, SCHEMA)
+    out = corpus_pipeline.drop_near_copies(spark, docs, "")
+    assert out.columns == docs.columns
+    texts = [r.text for r in out.collect()]
+    assert len(texts) == 2 and "a text of its own" in texts
