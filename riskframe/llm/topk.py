@@ -42,7 +42,9 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10, lists: int = 2) -
     of each row of ``queries`` with the rows of ``vectors`` (vec_id, v), its
     own id left out; ties go to the smaller vec_id.
 
-    Equal vectors are scored once, for their k + 1 smallest ids.  The
+    Equal vectors are scored once, for at most k rows of each of their smallest
+    ids, as many ids as hold 2 k such rows: k remain whichever id is left out.
+    Equal rows of ``queries`` are asked once and answered each.  The
     coordinates are cut into ``lists``; a list holds, per query, the partial
     scores of all vectors, and each is shifted by its least, so that none is
     negative.  Phase 1: every block sends each list's k + 1 highest partial
@@ -55,21 +57,24 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10, lists: int = 2) -
     All vectors must have one length.  Repeated ids are rows of their own; with
     fewer than k candidates all are returned; no rows give an empty result.
     """
-    kinds = vectors.withColumn("vk", F.xxhash64("v"))
+    kinds = vectors.groupBy(F.xxhash64("v").alias("vk"), "v", "vec_id").agg(
+        F.least(F.count("*"), F.lit(k)).alias("copies"))
     first = Window.partitionBy("vk", "v").orderBy("vec_id")
-    ids = saved(kinds.withColumn("nth", F.row_number().over(first)).where(F.col("nth") <= k + 1).select("vk", "vec_id", "v", "nth"))
-    distinct = saved(ids.where("nth = 1").select(F.col("vec_id").alias("rep"), "v"))
-    members = ids.select("vec_id", "vk", "v").join(
-        ids.where("nth = 1").select("vk", "v", F.col("vec_id").alias("rep")), ["vk", "v"]).select("rep", "vec_id")
-    members = saved(members)
-    asked = saved(queries.select(F.col("vec_id").alias("query_id"), F.col("v").alias("q")))
+    before = F.coalesce(F.sum("copies").over(first.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    ids = saved(kinds.withColumns({"nth": F.row_number().over(first), "before": before}).where(F.col("before") < 2 * k))
+    # rep and ask number the distinct vectors and query rows; being written, the numbers are fixed
+    distinct = saved(ids.where("nth = 1").select(F.monotonically_increasing_id().alias("rep"), "vk", "v"))
+    members = saved(ids.select("vec_id", "copies", "vk", "v").join(distinct, ["vk", "v"]).select("rep", "vec_id", "copies"))
+    distinct = distinct.drop("vk")
+    asked = queries.groupBy(F.col("vec_id").alias("query_id"), F.col("v").alias("q")).agg(F.count("*").alias("times"))
+    asked = saved(asked.withColumn("ask", F.monotonically_increasing_id()))
     n, n_q = distinct.count(), asked.count()
     parts, q_parts = max(1, math.ceil(n / BLOCK_ROWS)), max(1, math.ceil(n_q / BLOCK_QUERIES))
 
     def blocks(more: DataFrame) -> tuple[DataFrame, DataFrame]:
         v = distinct.withColumn("part", F.pmod(F.xxhash64("rep"), F.lit(parts)).cast("int")).withColumn(
             "q_part", F.explode(F.sequence(F.lit(0), F.lit(q_parts - 1))))
-        q = more.withColumn("q_part", F.pmod(F.xxhash64("query_id"), F.lit(q_parts)).cast("int")).withColumn(
+        q = more.drop("query_id", "times").withColumn("q_part", F.pmod(F.xxhash64("ask"), F.lit(q_parts)).cast("int")).withColumn(
             "part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
         return q, v
 
@@ -77,7 +82,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10, lists: int = 2) -
         edges = np.linspace(0, d, lists + 1).astype(int)
         return list(zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True))
 
-    entry = "query_id long, list int, rep long, partial long, least long"
+    entry = "ask long, list int, rep long, partial long, least long"
 
     def local_lists(q: pd.DataFrame, v: pd.DataFrame) -> pd.DataFrame:
         if not len(q) or not len(v):
@@ -89,41 +94,42 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10, lists: int = 2) -
                 s = _scores(a[at:at + 256, x:y], b[:, x:y])
                 most = min(k + 1, s.shape[1])
                 best = np.argpartition(-s, most - 1, axis=1)[:, :most]
-                qid = np.repeat(q["query_id"].to_numpy()[at:at + 256], most)
-                out.append(pd.DataFrame({"query_id": qid, "list": j, "rep": rep[best].ravel(),
+                qid = np.repeat(q["ask"].to_numpy()[at:at + 256], most)
+                out.append(pd.DataFrame({"ask": qid, "list": j, "rep": rep[best].ravel(),
                                          "partial": np.take_along_axis(s, best, 1).ravel(),
                                          "least": np.repeat(s.min(axis=1), most)}))
         return pd.concat(out)
 
     q, v = blocks(asked)
     phase1 = saved(q.groupBy("part", "q_part").cogroup(v.groupBy("part", "q_part")).applyInPandas(local_lists, entry))
-    least = phase1.groupBy("query_id", "list").agg(F.min("least").alias("least"))
-    shift = least.groupBy("query_id").agg(F.sum("least").alias("shift"),
+    least = phase1.groupBy("ask", "list").agg(F.min("least").alias("least"))
+    shift = least.groupBy("ask").agg(F.sum("least").alias("shift"),
                                           F.map_from_entries(F.collect_list(F.struct("list", "least"))).alias("leasts"))
-    in_list = Window.partitionBy("query_id", "list").orderBy(F.desc("partial"), "rep")
+    in_list = Window.partitionBy("ask", "list").orderBy(F.desc("partial"), "rep")
     tops = phase1.withColumn("r", F.row_number().over(in_list)).where(F.col("r") <= k + 1)
-    pairs = tops.select("query_id", "rep").distinct()
+    pairs = tops.select("ask", "rep").distinct()
 
     def scored(pairs: DataFrame) -> DataFrame:
         product = F.aggregate(F.zip_with("q", "v", lambda x, y: x * y), F.lit(0).cast("long"), lambda acc, x: acc + x)
-        return pairs.join(distinct, "rep").join(asked, "query_id").select("query_id", "rep", product.alias("score"))
+        return pairs.join(distinct, "rep").join(asked, "ask").select("ask", "query_id", "times", "rep", product.alias("score"))
 
     def answers(exact: DataFrame) -> DataFrame:
-        each = exact.join(members, "rep").where("vec_id <> query_id")
-        by = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+        each = exact.join(members, "rep").where("vec_id <> query_id").withColumn(
+            "copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
+        by = Window.partitionBy("ask").orderBy(F.desc("score"), "vec_id")
         return each.withColumn("rank", F.row_number().over(by)).where(F.col("rank") <= k)
 
     known = saved(scored(pairs))
-    cutoff = answers(known).groupBy("query_id").agg(F.min("score").alias("kth"), F.count("*").alias("found"))
-    cutoff = saved(shift.join(cutoff, "query_id", "left").select(
-        "query_id", "leasts", F.when(F.col("found") >= k, F.col("kth")).alias("kth"), "shift"))
-    enough = asked.join(cutoff, "query_id")
+    cutoff = answers(known).groupBy("ask").agg(F.min("score").alias("kth"), F.count("*").alias("found"))
+    cutoff = saved(shift.join(cutoff, "ask", "left").select(
+        "ask", "leasts", F.when(F.col("found") >= k, F.col("kth")).alias("kth"), "shift"))
+    enough = asked.join(cutoff, "ask")
 
     def sufficient(q: pd.DataFrame, v: pd.DataFrame) -> pd.DataFrame:
         if not len(q) or not len(v):
-            return pd.DataFrame([], columns=["query_id", "rep", "bound"])
+            return pd.DataFrame([], columns=["ask", "rep", "bound"])
         a, b, rep = _matrix(q["q"]), _matrix(v["v"]), v["rep"].to_numpy()
-        queries, kth, shift = (q[c].to_numpy() for c in ("query_id", "kth", "shift"))
+        queries, kth, shift = (q[c].to_numpy() for c in ("ask", "kth", "shift"))
         out = []
         for at in range(0, len(a), 256):
             part = slice(at, at + 256)
@@ -138,13 +144,13 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10, lists: int = 2) -
                 sent |= on
                 bound += np.where(on, s, need[:, None])
             i, c = np.nonzero(sent)
-            out.append(pd.DataFrame({"query_id": queries[part][i], "rep": rep[c], "bound": bound[i, c] + shift[part][i]}))
+            out.append(pd.DataFrame({"ask": queries[part][i], "rep": rep[c], "bound": bound[i, c] + shift[part][i]}))
         return pd.concat(out)
 
     q, v = blocks(enough)
     phase2 = q.groupBy("part", "q_part").cogroup(v.groupBy("part", "q_part")).applyInPandas(
-        sufficient, "query_id long, rep long, bound double")
-    open_pairs = phase2.join(cutoff.select("query_id", "kth"), "query_id").where(
-        F.col("kth").isNull() | (F.col("bound") >= F.col("kth") - 1e-3 - F.abs("kth") * 1e-12)).select("query_id", "rep")
-    final = answers(scored(open_pairs))
+        sufficient, "ask long, rep long, bound double")
+    open_pairs = phase2.join(cutoff.select("ask", "kth"), "ask").where(
+        F.col("kth").isNull() | (F.col("bound") >= F.col("kth") - 1e-3 - F.abs("kth") * 1e-12)).select("ask", "rep")
+    final = answers(scored(open_pairs)).withColumn("time", F.explode(F.sequence(F.lit(1), F.col("times").cast("int"))))
     return final.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

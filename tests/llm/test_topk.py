@@ -44,3 +44,15 @@ def test_large_components(spark):
     v = integer_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<float>"))
     got = sorted(tuple(r) for r in top_k(v, v.where("vec_id % 20 = 0"), 5).collect())
     assert got == brute(ints(rows), [x for x in ints(rows) if x[0] % 20 == 0], 5)
+
+
+def test_repeated_ids_are_rows_of_their_own(spark):
+    rng = np.random.default_rng(4)
+    rows = [(i, rng.normal(size=4).astype(np.float32).tolist()) for i in range(40)]
+    rows += [rows[0]] * 2 + [(20, rng.normal(size=4).astype(np.float32).tolist())]  # a query row three times; two under one id
+    rows += [(7, rows[5][1])] + [rows[9]] * 7  # a candidate id with two vectors; one of more than k copies
+    rows += [(10, [9.0] * 4)] * 7 + [(11, [9.0] * 4)] * 2 + [(12, [9.0] * 4)]  # copies of a query's own id hide no others
+    vectors = integer_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<float>"))
+    own = ints(rows)
+    got = sorted(tuple(r) for r in top_k(vectors, vectors.where("vec_id % 10 = 0"), 4).collect())
+    assert got == brute(own, [x for x in own if x[0] % 10 == 0], 4)
