@@ -16,6 +16,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
 from . import metrics as M
 
 FEATURES_COL, LABEL_COL, WEIGHT_COL = "features", "label_d", "weight"
@@ -164,13 +165,13 @@ def cross_validate(df: DataFrame, name: str, features, label: str, fold_col: str
                                        "f1 double, roc_auc double, status string, error string")
 
 
-def cv_summary(cv: DataFrame) -> DataFrame:
-    """mean and population std of each metric over the successful folds."""
+def cv_summary(cv: DataFrame, group=()) -> DataFrame:
+    """mean and population std of each metric over the successful folds (of each ``group``)."""
     ok = cv.filter(F.col("status") == "ok")
     aggs = []
     for m in ("accuracy", "precision", "recall", "f1", "roc_auc"):
         aggs += [F.avg(m).alias(f"cv_{m}_mean"), F.stddev_pop(m).alias(f"cv_{m}_std")]
-    return ok.agg(F.count(F.lit(1)).alias("n_folds"), *aggs)
+    return ok.groupBy(*group).agg(F.count(F.lit(1)).alias("n_folds"), *aggs)
 
 
 def save(model: PipelineModel, path: str) -> None:
@@ -230,3 +231,41 @@ def best_model(summary: DataFrame, metric: str = "test_f1") -> DataFrame:
     """Model with the highest metric; ties -> first name."""
     return summary.agg(F.min_by("model", F.struct(-F.col(metric), F.col("model"))).alias("best_model"),
                        F.max(metric).alias(metric))
+
+
+def evaluate_models(train: DataFrame, test: DataFrame, models: dict, label: str, cv: DataFrame | None = None,
+                    metric: str = "test_f1"):
+    """Score each fitted model (name -> model) on train and test in a try of
+    its own, the scoring done inside it, so that a model that fails there is
+    recorded and the others stay.  Returns (summary, long form over model /
+    split / metric with the CV means, best model, status rows); without a
+    scored model the first three are None."""
+    if not test.limit(1).count():
+        raise ValueError("no test rows")
+    spark, preds, status = test.sparkSession, None, []
+    for n, m in models.items():
+        try:
+            p = predict(m, train, label).withColumn("split", F.lit("train")).unionByName(
+                predict(m, test, label).withColumn("split", F.lit("test"))).withColumn("model", F.lit(n))
+            p = cut_lineage(p)
+            preds = p if preds is None else preds.unionByName(p)
+            status.append((n, "ok", None))
+        except Exception as e:  # noqa: BLE001
+            status.append((n, "failed", str(e)[:500]))
+    st = spark.createDataFrame(status, "model string, status string, error string")
+    if preds is None:
+        return None, None, None, st
+    names = ["accuracy", "precision", "recall", "f1"]
+    by_split = M.basic_metrics(preds, ["model", "split"]).select("model", "split", *names)
+    auc = M.roc_auc(preds, ["model", "split"]).select("model", "split", "roc_auc")
+    wide = [(by_split.join(auc, ["model", "split"], "left"), [*names, "roc_auc"])]
+    if cv is not None:
+        scored = spark.createDataFrame([(n,) for n, s, _ in status if s == "ok"], "model string")
+        means = cv_summary(cv, ["model"]).join(scored, "model", "left_semi").withColumn("split", F.lit("cv"))
+        wide.append((means, [c for c in means.columns if c.startswith("cv_")]))
+    long = None
+    for d, cols in wide:
+        part = d.unpivot(["model", "split"], cols, "metric", "value")
+        long = part if long is None else long.unionByName(part)
+    summary = train_test_summary(preds, cv)
+    return summary, long, best_model(summary, metric), st

@@ -55,11 +55,13 @@ def q_cv(spark, sf):
 
 @register("train_test_summary")
 def q_summary(spark, sf):
-    """Train/test metrics, CV mean ± std and test ROC-AUC for two models."""
+    """Train/test metrics, CV mean ± std and test ROC-AUC of all models at their
+    default sizes; ``is_best`` marks the one of highest test F1."""
     train, test, feats = modelling_data(spark, sf)
-    preds, cv, _, _ = MD.train_many(train, test, ["logistic_regression", "catboost"], feats, TARGET,
-                                    params={"catboost": {"maxIter": 20}})
-    return round_all(MD.train_test_summary(preds, cv))
+    _, cv, _, models = MD.train_many(train, test, list(MD.MODELS), feats, TARGET)
+    summary, _, best, _ = MD.evaluate_models(train, test, models, TARGET, cv)
+    best = best.select(F.col("best_model").alias("model"), F.lit(True).alias("is_best"))
+    return round_all(summary.join(best, "model", "left").withColumn("is_best", F.coalesce("is_best", F.lit(False))))
 
 
 @register("tune")
@@ -100,10 +102,11 @@ def q_tuning_cv(spark, sf):
 
 @register("train_many")
 def q_train_many(spark, sf):
-    """Two models, one of them failing (depth beyond Spark's limit): the failure is
-    recorded and the other model's train and test predictions are kept."""
-    train, test, feats = modelling_data(spark, sf, folds=0)
-    preds, _, status, _ = MD.train_many(train, test, ["logistic_regression", "random_forest"], feats, TARGET,
-                                        cv=False, params={"random_forest": {"maxDepth": 31}})
-    n = preds.groupBy("model").agg(F.count(F.lit(1)).alias("n_predictions"))
-    return status.select("model", "status").join(n, "model", "left")
+    """All models at their default sizes: status, CV means and deviations, and
+    the counts of train and test predictions; a failing model is recorded."""
+    train, test, feats = modelling_data(spark, sf)
+    preds, cv, status, _ = MD.train_many(train, test, list(MD.MODELS), feats, TARGET)
+    n = preds.groupBy("model").pivot("split", ["train", "test"]).count()
+    n = n.withColumnsRenamed({"train": "n_train_predictions", "test": "n_test_predictions"})
+    out = status.select("model", "status", "error").join(MD.cv_summary(cv, ["model"]), "model", "left")
+    return round_all(out.join(n, "model", "left"))

@@ -1,5 +1,8 @@
 """The model queries are registered at the reference's sizes."""
 
+import pytest
+from pyspark.sql import functions as F
+
 from riskframe.plans import q_models as Q
 
 
@@ -10,3 +13,33 @@ def test_forest_importance_at_spark_depth_limit(spark, monkeypatch):
     monkeypatch.setattr(Q.MD, "importance_frame", lambda *a, **kw: None)
     Q.q_rf_importance(spark, SF_SMALL)
     assert asked == {"numTrees": 100, "maxDepth": 30}
+
+
+def test_summary_and_train_many_take_all_models(spark, monkeypatch):
+    asked = []
+
+    def stop(train, test, names, feats, label, **kw):
+        asked.append((list(names), kw))
+        raise KeyboardInterrupt
+    monkeypatch.setattr(Q, "modelling_data", lambda *a, **kw: (None, None, []))
+    monkeypatch.setattr(Q.MD, "train_many", stop)
+    for q in (Q.q_summary, Q.q_train_many):
+        with pytest.raises(KeyboardInterrupt):
+            q(spark, "")
+    assert asked == [(["logistic_regression", "random_forest", "xgboost", "lightgbm", "catboost"], {})] * 2
+
+
+def test_evaluate_models_isolates_scoring(spark):
+    rows = [(float(i), float(i % 7), int(i % 10 > 5), i % 3) for i in range(60)]
+    df = spark.createDataFrame(rows, "x double, y double, diabetes int, fold int")
+    good, odd = (Q.MD.fit(df, "logistic_regression", [c], "diabetes") for c in "xy")
+    cv = Q.MD.cross_validate(df, "logistic_regression", ["x"], "diabetes").withColumn("model", F.lit("good"))
+    # fails only when rows are scored: a null feature
+    test = df.withColumn("y", F.when(F.col("x") != 3, F.col("y")))
+    summary, long, best, status = Q.MD.evaluate_models(df, test, {"odd": odd, "good": good}, "diabetes", cv)
+    assert {r.model: r.status for r in status.collect()} == {"odd": "failed", "good": "ok"}
+    assert [r.model for r in summary.collect()] == ["good"] and best.first()["best_model"] == "good"
+    got = {(r.split, r.metric) for r in long.collect()}
+    assert {("train", "f1"), ("test", "f1"), ("test", "roc_auc"), ("cv", "cv_f1_mean")} <= got
+    with pytest.raises(ValueError):
+        Q.MD.evaluate_models(df, df.where("false"), {"good": good}, "diabetes")
