@@ -66,9 +66,9 @@ def q_summary(spark, sf):
 
 @register("tune")
 def q_tune(spark, sf):
-    """Seeded search over boosted-tree settings, objective .7 recall + .3 accuracy, 3 folds."""
+    """Seeded search of 20 trials over the whole space of boosted-tree settings, objective .7 recall + .3 accuracy, 3 folds."""
     train, _, feats = modelling_data(spark, sf, folds=3)
-    return round_all(T.tune(train, feats, TARGET, n_trials=3, space=T.SMALL_SPACE))
+    return round_all(T.tune(train, feats, TARGET))
 
 
 @register("train_model")
@@ -85,7 +85,7 @@ def q_train_model(spark, sf):
 def q_final_fit(spark, sf):
     """Best trial of a seeded search refit on all train rows; test report rows."""
     train, test, feats = modelling_data(spark, sf, folds=3)
-    trials = T.tune(train, feats, TARGET, n_trials=2, space=T.SMALL_SPACE)
+    trials = T.tune(train, feats, TARGET)
     _, report, auc, _ = T.final_fit(train, test, feats, TARGET, T.best_params(trials))
     return round_all(report.withColumn("roc_auc", F.lit(auc.first()[0])))  # one number
 
@@ -95,7 +95,7 @@ def q_tuning_cv(spark, sf):
     """One trial's fold loop: the held-out fold is the validation set (early stopping);
     accuracy, recall, F1 and ROC-AUC per fold."""
     train, _, feats = modelling_data(spark, sf, folds=3)
-    rows = T.tuning_cv(train, feats, TARGET, {"maxIter": 10, "stepSize": 0.1, "maxDepth": 4, "maxBins": 32})
+    rows = T.tuning_cv(train, feats, TARGET, T.draw(0))
     return round_all(spark.createDataFrame(rows, "fold int, accuracy double, recall double, f1 double, "
                                                  "roc_auc double"))
 

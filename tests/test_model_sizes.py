@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from riskframe.operators import metrics as M
 from riskframe.plans import q_models as Q
 
 
@@ -43,3 +44,42 @@ def test_evaluate_models_isolates_scoring(spark):
     assert {("train", "f1"), ("test", "f1"), ("test", "roc_auc"), ("cv", "cv_f1_mean")} <= got
     with pytest.raises(ValueError):
         Q.MD.evaluate_models(df, df.where("false"), {"good": good}, "diabetes")
+
+
+def test_tuning_takes_the_whole_space(spark, monkeypatch):
+    asked = []
+
+    def stop(train, feats, label, *args, **kw):
+        asked.append((args, kw))
+        raise KeyboardInterrupt
+    monkeypatch.setattr(Q, "modelling_data", lambda *a, **kw: (None, None, []))
+    monkeypatch.setattr(Q.T, "tune", stop)
+    monkeypatch.setattr(Q.T, "tuning_cv", stop)
+    for q in (Q.q_tune, Q.q_final_fit, Q.q_tuning_cv):
+        with pytest.raises(KeyboardInterrupt):
+            q(spark, "")
+    assert asked == [((), {}), ((), {}), ((Q.T.draw(0),), {})] and Q.T.PATIENCE == 50
+    assert all(lo <= Q.T.draw(0)[n] <= hi for n, (_, lo, hi) in Q.T.SPACE.items())
+
+
+@pytest.mark.parametrize("patience", [2, 5])
+def test_stopping_waits_for_its_patience(spark, patience):
+    rows = [(float(i * 37 % 101), float(i * i % 53), int((i * 37 % 101) * 3 + (i * i % 53) + i % 40 > 190)) for i in range(300)]
+    df = spark.createDataFrame(rows, "x double, y double, diabetes int").repartition(1).cache()
+    train, held = df.where("x < 60 OR y > 30"), df.where("NOT (x < 60 OR y > 30)").union(df.where("y < 8"))
+    kw = {"maxDepth": 2, "stepSize": 0.3}
+    whole = Q.MD.fit(train, "catboost", ["x", "y"], "diabetes", maxIter=9, **kw)
+    aucs = []
+    for n in range(1, 10):
+        p = Q.MD.predict(Q.T.truncated(whole, n), held, "diabetes")
+        aucs.append(M.roc_auc(p).first()["roc_auc"])
+        if n == 4:  # the first rounds do not depend on how many follow
+            short = Q.MD.predict(Q.MD.fit(train, "catboost", ["x", "y"], "diabetes", maxIter=n, **kw), held, "diabetes")
+            assert sorted(short.collect()) == sorted(p.collect())
+    best = 0
+    for n, a in enumerate(aucs):
+        if a > aucs[best]:
+            best = n
+        elif n - best >= patience:
+            break
+    assert Q.T.best_rounds(whole, held, "diabetes", patience) == best + 1
