@@ -14,11 +14,13 @@ def remainder(mod: int, key: str = "doc_id") -> Column:
 def sample(docs: DataFrame, labels: DataFrame, grade: Column, held_out: Column, max_docs: int) -> DataFrame:
     """(text, grade) of at most ``max_docs`` labelled documents that are not
     held out, those of the smallest id hashes.  Rows without a grade do not
-    count; of several labels of one id the largest does."""
+    count; of several labels of one id the largest does, and of several texts
+    under one id the least."""
     known = (labels.select("doc_id", grade.alias("grade")).where(F.col("grade").isNotNull() & F.col("doc_id").isNotNull())
              .where(~held_out).groupBy("doc_id").agg(F.max("grade").alias("grade")))
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_docs)
-    return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "grade")
+    texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    return texts.groupBy("doc_id").agg(F.min("text").alias("text"), F.max("grade").alias("grade")).select("text", "grade")
 
 
 def label_table(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -96,3 +96,11 @@ def test_sample_is_bounded_and_leaves_the_held_out(spark):
 @pytest.mark.parametrize("word,want", [("Word!!", "Aa!"), ("ABC", "A"), ("12", "0"), ("|", "|")])
 def test_shapes(word, want):
     assert quality.shape(word) == want
+
+
+def test_sample_takes_one_row_of_a_repeated_id(spark):
+    docs = spark.range(600).select(F.when(F.col("id") < 300, F.lit(1)).otherwise(F.col("id")).alias("doc_id"),
+                                   F.concat(F.lit("text "), F.lpad(F.col("id").cast("string"), 3, "0")).alias("text"))
+    labels = docs.select("doc_id", F.lit(1).alias("toxic"))
+    rows = sample(docs, labels, F.col("toxic"), F.col("doc_id") < 0, 10000).collect()
+    assert len(rows) == 301 and "text 000" in {r.text for r in rows}
