@@ -387,7 +387,8 @@ def exact_quantiles(df: DataFrame, cols, probs, accuracy: int = 10_000,
     strictly inside; when the inside is small, its values are collected
     (at most ``max_interior``) and k's value is read from the sorted bracket
     ``lo x ties, inside, hi x ties``.  A larger inside is narrowed again by
-    ``percentile_approx`` restricted to the bracket.  A value held by a
+    ``percentile_approx`` restricted to its strictly inner rows, so that heavy
+    ties at its ends cannot hold it where it is.  A value held by a
     third of the rows is a tie count, never a list.  A bracket that misses
     its rank falls back to the previous one with a wider margin.
     """
@@ -395,9 +396,9 @@ def exact_quantiles(df: DataFrame, cols, probs, accuracy: int = 10_000,
     x = {c: F.col(f"`{c}`").cast("double") for c in cols}
     ns = df.agg(*[F.count(x[c]).alias(f"n{i}") for i, c in enumerate(cols)]).first()
     n_of = {c: ns[f"n{i}"] for i, c in enumerate(cols)}
-    # state per (column, rank): closed bracket [lo, hi] (None = open end), rows
-    # below it, rows in it, rows strictly inside it; the previous state and
-    # the margin factor for a retry
+    # state per (column, rank): bracket [lo, hi] (None = open end), rows up to
+    # lo, rows strictly inside it; the previous state and the margin factor for
+    # a retry
     state = {}
     for c in cols:
         n = n_of[c]
@@ -405,18 +406,10 @@ def exact_quantiles(df: DataFrame, cols, probs, accuracy: int = 10_000,
             if n:
                 h = (n - 1) * q
                 for k in (int(math.floor(h)), int(math.ceil(h))):
-                    b = {"lo": None, "hi": None, "below": 0, "closed": n, "inner": n}
+                    b = {"lo": None, "hi": None, "upto": 0, "inner": n}
                     state[(c, k)] = dict(b, prev=dict(b), width=2.0)
     found = {}
 
-    def in_closed(c, lo, hi):
-        cond = x[c].isNotNull()
-        if lo is not None:
-            cond = cond & (x[c] >= F.lit(lo))
-        if hi is not None:
-            cond = cond & (x[c] <= F.lit(hi))
-        return cond
-
     def strict(c, lo, hi):
         cond = x[c].isNotNull()
         if lo is not None:
@@ -426,7 +419,7 @@ def exact_quantiles(df: DataFrame, cols, probs, accuracy: int = 10_000,
         return cond
 
     zero = F.lit(0).cast("long")
-    keys = ("lo", "hi", "below", "closed", "inner")
+    keys = ("lo", "hi", "upto", "inner")
     for _ in range(max_rounds):
         open_t = [t for t in state if t not in found]
         if not open_t:
@@ -437,10 +430,10 @@ def exact_quantiles(df: DataFrame, cols, probs, accuracy: int = 10_000,
             aggs, rels = [], []
             for i, t in enumerate(wide):
                 st = state[t]
-                rel = (t[1] - st["below"]) / max(1, st["closed"] - 1)
+                rel = (t[1] - st["upto"]) / max(1, st["inner"] - 1)
                 eps = st["width"] / accuracy
                 rels.append((rel - eps, rel + eps))
-                aggs.append(F.percentile_approx(F.when(in_closed(t[0], st["lo"], st["hi"]), x[t[0]]),
+                aggs.append(F.percentile_approx(F.when(strict(t[0], st["lo"], st["hi"]), x[t[0]]),
                                                 [max(0.0, rel - eps), min(1.0, rel + eps)], accuracy)
                             .alias(f"p{i}"))
             r = df.agg(*aggs).first()
@@ -452,9 +445,6 @@ def exact_quantiles(df: DataFrame, cols, probs, accuracy: int = 10_000,
                     st["lo"] = p_lo
                 if rels[i][1] < 1:
                     st["hi"] = p_hi
-                # no progress: the sketch cannot split the inside, so it holds few
-                # distinct values (O(accuracy)); its histogram is collected next
-                st["stalled"] = (st["lo"], st["hi"]) == (st["prev"]["lo"], st["prev"]["hi"])
         # 2. one pass: rows below, ties at both ends, rows and distinct values strictly inside
         aggs = []
         for i, t in enumerate(open_t):
@@ -470,8 +460,7 @@ def exact_quantiles(df: DataFrame, cols, probs, accuracy: int = 10_000,
         # 3. (value, count) pairs inside the brackets with few distinct values:
         #    bounded by max_interior per bracket, whatever the row counts
         small = [i for i, t in enumerate(open_t)
-                 if r[f"m{i}"] and (r[f"m{i}"] <= max_interior or r[f"d{i}"] <= max_interior // 2
-                                    or state[t].get("stalled"))]
+                 if r[f"m{i}"] and (r[f"m{i}"] <= max_interior or r[f"d{i}"] <= max_interior // 2)]
         hist = {i: [] for i in small}
         if small:
             cells = F.array(*[F.when(strict(open_t[i][0], state[open_t[i]]["lo"], state[open_t[i]]["hi"]),
@@ -497,7 +486,7 @@ def exact_quantiles(df: DataFrame, cols, probs, accuracy: int = 10_000,
                             break
                         rest -= cnt
                 else:
-                    st.update(below=below, closed=n_lo + m + n_hi, inner=m)
+                    st.update(upto=below + n_lo, inner=m)
             else:  # the approximate bracket missed the rank: previous bracket, wider margin
                 st.update(st["prev"])
                 st["width"] *= 4

@@ -44,3 +44,12 @@ def test_process_data_bounded_equals_exact(spark):
     b = round_all(process_data(f, PATIENT_ROLES, KEY, quantile_method="bounded").data, 9)
     cols = sorted(a.columns)
     assert sorted(map(repr, a.select(*cols).collect())) == sorted(map(repr, b.select(*cols).collect()))
+
+
+def test_heavy_ends_do_not_make_the_collect_grow(spark, monkeypatch):
+    df = spark.range(40_040).select(F.when(F.col("id") < 20_000, 0.0).when(F.col("id") >= 20_040, 1.0).otherwise(
+        (F.col("id") - 19_999) / 100.0).alias("x")).repartition(4)
+    want, sizes, collect = df.agg(F.percentile("x", 0.5)).first()[0], [], type(df).collect
+    monkeypatch.setattr(type(df), "collect", lambda self: (rows := collect(self), sizes.append(len(rows)))[0])
+    got = exact_quantiles(df, ["x"], [0.5], accuracy=1000, max_interior=10)
+    assert got == {"x": [pytest.approx(want, rel=1e-12)]} and max(sizes, default=0) <= 20
