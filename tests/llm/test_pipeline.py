@@ -1,6 +1,9 @@
 import corpus_pipeline
-from riskframe.llm.queries import QUERIES
+from riskframe.llm import toxicity
+from riskframe.llm.dedup import BLANKS
+from riskframe.llm.queries import QUERIES, toxicity_model
 
+from . import test_jaccard, test_suffix
 from .conftest import PHRASE, SCHEMA
 
 
@@ -43,3 +46,35 @@ def test_near_copies_go_by_row_not_by_id(edge, spark):
     assert out.columns == docs.columns
     texts = [r.text for r in out.collect()]
     assert len(texts) == 2 and "a text of its own" in texts
+
+
+def test_stages_equal_brute_force(spark):
+    """Kept ids and texts of the stages before packing, chained, on a whole table of distinct ids."""
+    sf = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    model = toxicity_model(spark, docs, sf)
+
+    def clean(rows):
+        cache = model.scorer()
+        return [(i, t) for i, t in rows if model.score(model.sentence_logits(*toxicity.sentences(t)[1:], cache)) < 0.5]
+
+    def single(rows):
+        best = {}
+        for i, t in sorted(rows, key=lambda r: (-len(r[1] or ""), r[0])):
+            best.setdefault((t or "").translate({ord(c): None for c in BLANKS}), (i, t))
+        return list(best.values())
+
+    def apart(rows):
+        first = {i: least for i, _, least in test_jaccard.brute(rows, 5, 80, 100)}
+        return [(i, t) for i, t in rows if first[i] == i]
+
+    def cut(rows):
+        kept = {i: left.decode("utf-8", "ignore") for i, _, _, _, left in test_suffix.brute(rows, 200)}
+        return [(i, t if t is None else kept[str(i)]) for i, t in rows]
+
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    assert len({i for i, _ in rows}) == len(rows)
+    for (name, stage), whole in zip(corpus_pipeline.STAGES[:-1], [clean, single, apart, cut], strict=True):
+        docs = corpus_pipeline.saved(stage(spark, docs, sf))
+        rows = whole(rows)
+        assert sorted((r.doc_id, r.text) for r in docs.collect()) == sorted(rows), name
