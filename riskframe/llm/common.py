@@ -32,6 +32,10 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def benchmark(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+
+
 def saved(df: DataFrame) -> DataFrame:
     """Written as Parquet in the session's shared checkpoint folder and read
     again: cuts the lineage, and survives the loss of any executor."""

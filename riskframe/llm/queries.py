@@ -8,9 +8,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, quality, toxicity
+from . import langid, lexical, quality, toxicity
 from .bpe import digests, encode_documents
-from .common import documents, workers_import
+from .common import benchmark, documents, workers_import
 from .dedup import exact_dedup
 from .jaccard import near_duplicates
 from .labelled import label_table, remainder, sample
@@ -142,3 +142,8 @@ def op10_count_vector_jaccard(spark, sf_dir):
 def pipeline(spark, sf_dir):
     import corpus_pipeline
     return corpus_pipeline.run(spark, sf_dir)
+
+
+@query("op11_aho_corasick_search", lexical.TWIN)
+def op11_aho_corasick_search(spark, sf_dir):
+    return lexical.rank_documents(documents(spark, sf_dir), benchmark(spark, sf_dir), k=50)
