@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, lexical, quality, toxicity
+from . import decontamination, langid, lexical, quality, toxicity
 from .bpe import digests, encode_documents
 from .common import benchmark, documents, workers_import
 from .dedup import exact_dedup
@@ -147,3 +147,8 @@ def pipeline(spark, sf_dir):
 @query("op11_aho_corasick_search", lexical.TWIN)
 def op11_aho_corasick_search(spark, sf_dir):
     return lexical.rank_documents(documents(spark, sf_dir), benchmark(spark, sf_dir), k=50)
+
+
+@query("op12_positional_index", decontamination.TWIN)
+def op12_positional_index(spark, sf_dir):
+    return decontamination.contamination(documents(spark, sf_dir), benchmark(spark, sf_dir), size=10)
