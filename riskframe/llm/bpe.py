@@ -231,8 +231,8 @@ class WordTable:
     that one index encodes all that a run of texts has gathered."""
 
     SLOTS = 1 << 20
-    #: Beyond so many words the table starts anew, which bounds a worker's memory.
-    MOST = 1_200_000
+    #: Beyond so many words or letters the table starts anew, which bounds a worker's memory.
+    MOST, MOST_LETTERS = 1_200_000, 1 << 24
 
     def __init__(self, path: str, keep_special: bool = True):
         self.vocab = Vocabulary.load(path)
@@ -257,6 +257,11 @@ class WordTable:
         self.words = 0
         self.slot_key = np.zeros(self.SLOTS, np.uint64)
         self.slot_word = np.full(self.SLOTS, -1, np.int32)
+        self.letters = np.empty(1 << 16, np.uint32)  # of all words, one after another
+        self.place = np.zeros(1 << 16, np.int64)
+        self.length = np.zeros(1 << 16, np.int64)
+        self.written = 0
+        self.odd: dict[bytes, int] = {}  # words whose key another word has
 
     def _powers(self, n: int) -> None:
         if len(self.powers) < n:
@@ -282,12 +287,55 @@ class WordTable:
             out.append(end)
         return np.concatenate(out)
 
+    def _register(self, spans: list[np.ndarray]) -> None:
+        """The letters of new words, numbered on from the last one; they wait to be encoded."""
+        first = self.words + len(self.pending)
+        sizes = np.array([len(x) for x in spans], np.int64)
+        n, m = first + len(spans), self.written + int(sizes.sum())
+        if n > len(self.place):
+            self.place, self.length = np.resize(self.place, 2 * n), np.resize(self.length, 2 * n)
+        if m > len(self.letters):
+            self.letters = np.resize(self.letters, 2 * m)
+        self.letters[self.written:m] = np.concatenate(spans)
+        self.place[first:n] = self.written + np.cumsum(sizes) - sizes
+        self.length[first:n] = sizes
+        self.written = m
+        for span in spans:
+            special = int(span[0]) - (SPECIAL_POINT + 1)
+            self.pending.append(-1 - special if special >= 0 else span.astype("<u4").tobytes().decode("utf-32-le").encode())
+
+    def _compared(self, numbers: np.ndarray, raw: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
+        """The word numbers that the keys gave, put right where the letters differ."""
+        size = stop - start
+        wrong = self.length[numbers] != size
+        if wrong.any():
+            numbers = numbers.copy()
+            numbers[wrong] = -1
+        same = np.flatnonzero(~wrong)
+        sizes = size[same]
+        ends = np.cumsum(sizes)
+        if len(same):
+            step = np.arange(ends[-1])
+            own = raw[np.repeat(start[same] - ends + sizes, sizes) + step]
+            known = self.letters[np.repeat(self.place[numbers[same]] - ends + sizes, sizes) + step]
+            differs = np.flatnonzero(own != known)
+            wrong[same[np.unique(np.searchsorted(ends, differs, "right"))]] = True
+        for i in np.flatnonzero(wrong).tolist():
+            span = raw[start[i]:stop[i]]
+            word = span.tobytes()
+            if word not in self.odd:
+                self.odd[word] = self.words + len(self.pending)
+                self._register([span])
+            numbers[i] = self.odd[word]
+        return numbers
+
     def look_up(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Word numbers of all texts one after another, and how many each text has."""
-        points = self._points(texts)
-        special = points > SPECIAL_POINT
-        special_ids = points[special] - (SPECIAL_POINT + 1)
-        points = np.minimum(points, SPECIAL_POINT)
+        """Word numbers of all texts one after another, and how many each text has.
+
+        A 64-bit key finds a word's number; the words' letters are then
+        compared, since keys of different words may be equal."""
+        raw = self._points(texts)
+        points = np.minimum(raw, SPECIAL_POINT)
         start = np.flatnonzero(word_starts(points, self.table))
         stop = np.append(start[1:], len(points))
         self._powers(len(points) + 1)
@@ -297,30 +345,28 @@ class WordTable:
         keys = _mix((sums[stop] - sums[start]) * self.unpowers[start] + (stop - start).astype(np.uint64))
         del sums
         ends = points[start] == END_POINT
-        if len(special_ids):
-            keys[points[start] == SPECIAL_POINT] = _mix(~special_ids.astype(np.uint64))
+        special = np.flatnonzero(points[start] == SPECIAL_POINT)
+        keys[special] = _mix(~raw[start[special]].astype(np.uint64))
         slots = (keys >> np.uint64(44)).astype(np.int64)
         numbers = self.slot_word[slots]
         miss = np.flatnonzero(((self.slot_key[slots] != keys) | (numbers < 0)) & ~ends)
         if len(miss):
             new, first, inverse = np.unique(keys[miss], return_index=True, return_inverse=True)
-            found = np.empty(len(new), np.int32)
-            known, raw = self.known, points.astype("<u4", copy=False)
+            found, spans = np.empty(len(new), np.int32), []
+            known, after = self.known, self.words + len(self.pending)
             for i, (key, at) in enumerate(zip(new.tolist(), miss[first].tolist(), strict=True)):
                 number = known.get(key)
                 if number is None:
-                    number = known[key] = self.words + len(self.pending)
-                    a = start[at]
-                    if points[a] == SPECIAL_POINT:
-                        self.pending.append(-1 - int(special_ids[np.count_nonzero(special[:a])]))
-                    else:
-                        self.pending.append(raw[a:stop[at]].tobytes().decode("utf-32-le").encode())
+                    number = known[key] = after + len(spans)
+                    spans.append(raw[start[at]:stop[at]])
                 found[i] = number
+            if spans:
+                self._register(spans)
             numbers[miss] = found[inverse]
             self.slot_key[slots[miss]] = keys[miss]
             self.slot_word[slots[miss]] = numbers[miss]
         per_text = np.diff(np.append(-1, np.flatnonzero(ends))) - 1
-        return numbers[~ends], per_text
+        return self._compared(numbers[~ends], raw, start[~ends], stop[~ends]), per_text
 
     def settle(self) -> None:
         """Encode the words that wait."""
@@ -361,17 +407,37 @@ def word_table(path: str, keep_special: bool = True) -> WordTable:
     return _TABLES[path, keep_special]
 
 
+#: A word ends between these two characters, whatever stands around them.
+_SEAM = regex.compile(r"[A-Za-z](?=[ \n])")
+
+
+def cut_at_words(text: str, most: int) -> Iterator[str]:
+    """A long text in parts of about ``most`` characters that are tokenised
+    apart: each ends with a letter and the next begins with a blank."""
+    at = 0
+    while len(text) - at > most:
+        seam = _SEAM.search(text, at + most - 1)
+        if seam is None:
+            break
+        yield text[at:seam.end()]
+        at = seam.end()
+    yield text[at:] if at else text
+
+
 def encoded(rows: Iterator[tuple[object, str | None]], path: str, keep_special: bool = True,
             chunk: int = 2_000_000, most: int = 6_000_000) -> Iterator[tuple[object, np.ndarray]]:
     """(key, ids) of every (key, text), in order; a null text is empty.
 
-    Texts are looked up in chunks of about ``chunk`` characters; when about
-    ``most`` words wait, or the partition ends, the new ones are encoded.
+    Texts are looked up in chunks of about ``chunk`` characters, longer texts
+    in several parts (a run of more characters without a letter before a
+    blank is one part); when about ``most`` words wait, or the partition
+    ends, the new ones are encoded.
     """
     table = word_table(path, keep_special)
     keys, texts, size = [], [], 0
     waiting: list[tuple[list, np.ndarray, np.ndarray]] = []
     words = 0
+    begun: list[np.ndarray] = []
 
     def gather():
         nonlocal keys, texts, size, words
@@ -385,23 +451,31 @@ def encoded(rows: Iterator[tuple[object, str | None]], path: str, keep_special:
         table.settle()
         for own, numbers, per_text in waiting:
             at = 0
-            for key, n in zip(own, per_text.tolist(), strict=True):
-                yield key, table.ids(numbers[at:at + n])
+            for (key, ended), n in zip(own, per_text.tolist(), strict=True):
+                ids = table.ids(numbers[at:at + n])
                 at += n
+                if not ended:
+                    begun.append(ids)
+                elif begun:
+                    yield key, np.concatenate([*begun, ids])
+                    begun.clear()
+                else:
+                    yield key, ids
         waiting.clear()
         words = 0
-        if table.words > table.MOST:
+        if table.words > table.MOST or table.written > table.MOST_LETTERS:
             table.clear()
 
     for key, text in rows:
-        text = text or ""
-        keys.append(key)
-        texts.append(text)
-        size += len(text)
-        if size >= chunk:
-            gather()
-            if words >= most:
-                yield from release()
+        parts = [text or ""] if len(text or "") <= chunk else list(cut_at_words(text, chunk))
+        for i, part in enumerate(parts, 1):
+            keys.append((key, i == len(parts)))
+            texts.append(part)
+            size += len(part)
+            if size >= chunk:
+                gather()
+                if words >= most:
+                    yield from release()
     if texts:
         gather()
     yield from release()

@@ -34,6 +34,37 @@ def test_ids_equal_the_library(reference):
     assert [bpe.decode(i, table) for i in got] == [reference.decode(i, skip_special_tokens=False) for i in got]
 
 
+def thue_morse(n):
+    return "".join("ab"[bin(i).count("1") & 1] for i in range(n))
+
+
+def test_words_with_equal_keys(reference):
+    """Polynomials modulo 2^64 agree on a Thue-Morse word and its complement, whatever the base."""
+    one = thue_morse(1024)
+    other = one.translate(str.maketrans("ab", "ba"))
+    table = bpe.WordTable(vocabulary())
+    points = [np.frombuffer(w.encode("utf-32-le"), np.uint32) for w in (one, other)]
+    table._powers(1025)
+    assert len({int((table.values[p] * table.powers[:1024]).sum(dtype=np.uint64)) for p in points}) == 1
+    rng = random.Random(8)
+    texts = [one, other, other + " " + one, one, f"x {other}", thue_morse(2048), *("".join(rng.choices("ab", k=1024)) for _ in range(50))]
+    for options in ({}, {"chunk": 100, "most": 10}, {"keep_special": False}):
+        got = [ids.tolist() for _, ids in bpe.encoded(enumerate(texts), vocabulary(), **options)]
+        assert got == [reference.encode(t, add_special_tokens=False).ids for t in texts]
+        assert [bpe.decode(i, table.vocab.token_bytes) for i in got] == texts
+
+
+def test_long_texts_in_parts(reference):
+    rng = random.Random(9)
+    alphabet = "ab's \n\t  é1!日zz<|endoftext|>"
+    text = "".join(rng.choice(alphabet) for _ in range(20000))
+    texts = [text, "", "x" * 5000, text[:3000] + "end of part\n\n 's", " " * 4000, "word <|endoftext|> " * 400]
+    for chunk in (50, 997, 4000):
+        assert "".join(bpe.cut_at_words(text, chunk)) == text
+        got = [(k, ids.tolist()) for k, ids in bpe.encoded(enumerate(texts), vocabulary(), chunk=chunk, most=700)]
+        assert got == [(i, reference.encode(t, add_special_tokens=False).ids) for i, t in enumerate(texts)]
+
+
 def test_classes_follow_the_splitter(reference):
     table, rng = bpe.class_table(vocabulary()), random.Random(3)
     for c in [*range(0x3000), *rng.sample(range(0x3000, 0xD800), 2000), *rng.sample(range(0xE000, 0x110000), 3000)]:
