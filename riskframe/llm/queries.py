@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import decontamination, langid, lexical, quality, toxicity
+from .alignment import align_documents
 from .bpe import digests, encode_documents
 from .common import benchmark, documents, workers_import
 from .dedup import exact_dedup
@@ -21,11 +22,13 @@ from .topk import integer_vectors, top_k
 
 #: Vocabulary file of the tokenizing queries.
 VOCABULARY = "byte_bpe_50k.json"
+#: Model that it is aligned with.
+PIECES = "piece_bpe_32k.model"
 
 
-def vocabulary() -> str:
+def vocabulary(name: str = VOCABULARY) -> str:
     import public_tokenizers
-    return public_tokenizers.path(VOCABULARY)
+    return public_tokenizers.path(name)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -152,3 +155,8 @@ def op11_aho_corasick_search(spark, sf_dir):
 @query("op12_positional_index", decontamination.TWIN)
 def op12_positional_index(spark, sf_dir):
     return decontamination.contamination(documents(spark, sf_dir), benchmark(spark, sf_dir), size=10)
+
+
+@query("op13_pair_hash_alignment")
+def op13_pair_hash_alignment(spark, sf_dir):
+    return align_documents(documents(spark, sf_dir), vocabulary(), vocabulary(PIECES))
