@@ -25,6 +25,8 @@ BUCKET_PAIRS = 8192
 ROUND_PAIRS = 4 << 20
 #: Count vectors that are summed in one task.
 FAN_IN = 64
+#: Words that a worker keeps encoded beside the sentencepiece model.
+KEPT_WORDS = 400_000
 _GOLDEN = 0x9E3779B97F4A7C15
 
 
@@ -78,7 +80,7 @@ def tokens(rows: Iterator[tuple[object, str | None]], path_a: str, path_b: str,
             yield key, ids_a, np.array(ids_b, np.int32)
 
     ready, size = [], 0
-    for i, ids_a in encoded(numbered(), path_a, keep_special=False, most=2_000_000):
+    for i, ids_a in encoded(numbered(), path_a, keep_special=False, chunk=chunk, most=2_000_000, kept=KEPT_WORDS):
         ready.append((i, ids_a))
         size += len(texts[i][1])
         if size >= chunk:

@@ -425,7 +425,7 @@ def cut_at_words(text: str, most: int) -> Iterator[str]:
 
 
 def encoded(rows: Iterator[tuple[object, str | None]], path: str, keep_special: bool = True,
-            chunk: int = 2_000_000, most: int = 6_000_000) -> Iterator[tuple[object, np.ndarray]]:
+            chunk: int = 2_000_000, most: int = 6_000_000, kept: int = WordTable.MOST) -> Iterator[tuple[object, np.ndarray]]:
     """(key, ids) of every (key, text), in order; a null text is empty.
 
     Texts are looked up in chunks of about ``chunk`` characters, longer texts
@@ -463,7 +463,7 @@ def encoded(rows: Iterator[tuple[object, str | None]], path: str, keep_special:
                     yield key, ids
         waiting.clear()
         words = 0
-        if table.words > table.MOST or table.written > table.MOST_LETTERS:
+        if table.words > kept or table.written > table.MOST_LETTERS:
             table.clear()
 
     for key, text in rows:
