@@ -33,7 +33,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
+from ..session import cut_lineage, workers_import
 
 #: Leaves at most: bounds the broadcast tree and boxes.  Beyond, leaves grow and
 #: their rows are searched in groups of GROUP_ROWS queries and candidates.
@@ -165,6 +165,7 @@ def knn(df: DataFrame, features, key: str, k: int = 5, query_col: str | None = N
     ``query_col`` marks query rows (boolean); the candidates are all rows.
     """
     spark = df.sparkSession
+    workers_import(spark)
     feats = list(features)
     fcols = [F.col(f"`{c}`").cast("double").alias(c) for c in feats]
     is_q = F.col(query_col).cast("boolean") if query_col else F.lit(True)

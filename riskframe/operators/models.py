@@ -48,7 +48,8 @@ def _lr(n_weight: float, **kw):
 
 
 def _rf(_, **kw):
-    p = dict(numTrees=200, maxDepth=15, featureSubsetStrategy="sqrt", minInstancesPerNode=1, seed=42)
+    p = dict(numTrees=200, maxDepth=15, featureSubsetStrategy="sqrt", minInstancesPerNode=1, seed=42,
+             maxMemoryInMB=1024)
     p.update(kw)
     return RandomForestClassifier(weightCol=WEIGHT_COL, **p)
 

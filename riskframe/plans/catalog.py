@@ -7,10 +7,13 @@ that value hashes do not depend on summation order.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import workers_import
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
@@ -19,7 +22,11 @@ def register(name: str, sql: str | None = None):
     def deco(fn):
         if name in QUERIES:
             raise ValueError(f"duplicate query {name}")
-        QUERIES[name] = fn
+        @functools.wraps(fn)
+        def run(spark, sf):
+            workers_import(spark)
+            return fn(spark, sf)
+        QUERIES[name] = run
         if sql is not None:
             ORACLE[name] = sql
         return fn

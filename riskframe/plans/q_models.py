@@ -16,7 +16,7 @@ from .train import TARGET, modelling_data
 
 def _model_query(name):
     def q(spark, sf):
-        train, test, feats = modelling_data(spark, sf)
+        train, test, feats = modelling_data(spark, sf, folds=0)
         m = MD.fit(train, name, feats, TARGET)
         return round_all(MD.predict(m, test, TARGET, keep=["rid"]).withColumn("model", F.lit(name)))
     q.__doc__ = f"{name} profile: fit on the SMOTE-balanced train rows, predict the test rows."
@@ -42,7 +42,7 @@ def q_rf_importance(spark, sf):
 @register("feature_importance")
 def q_feature_importance(spark, sf):
     """|coefficient| per feature of the logistic model, descending."""
-    train, _, feats = modelling_data(spark, sf)
+    train, _, feats = modelling_data(spark, sf, folds=0)
     return round_all(MD.importance_frame(spark, MD.fit(train, "logistic_regression", feats, TARGET), feats))
 
 
@@ -75,7 +75,7 @@ def q_tune(spark, sf):
 def q_train_model(spark, sf):
     """Fit, save, load the saved model and predict the test rows with it."""
     from .q_io import scratch
-    train, test, feats = modelling_data(spark, sf)
+    train, test, feats = modelling_data(spark, sf, folds=0)
     path = scratch(spark, "model")
     MD.save(MD.fit(train, "logistic_regression", feats, TARGET), path)
     return round_all(MD.predict(MD.load(path), test, TARGET, keep=["rid"]))
@@ -93,10 +93,10 @@ def q_final_fit(spark, sf):
 @register("tuning_cv")
 def q_tuning_cv(spark, sf):
     """One trial's fold loop: the held-out fold is the validation set (early stopping);
-    accuracy, recall, F1 and ROC-AUC per fold."""
+    rounds kept, accuracy, recall, F1 and ROC-AUC per fold."""
     train, _, feats = modelling_data(spark, sf, folds=3)
     rows = T.tuning_cv(train, feats, TARGET, T.draw(0))
-    return round_all(spark.createDataFrame(rows, "fold int, accuracy double, recall double, f1 double, "
+    return round_all(spark.createDataFrame(rows, "fold int, rounds int, accuracy double, recall double, f1 double, "
                                                  "roc_auc double"))
 
 

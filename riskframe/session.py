@@ -38,6 +38,15 @@ def build_session(master: str | None = None, app: str = "riskframe",
     return spark
 
 
+def workers_import(spark: SparkSession) -> None:
+    """Python workers on this machine find the package whatever the working
+    folder; a cluster without a shared install gets it by ``--py-files``."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = spark.sparkContext.environment
+    if root not in env.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(filter(None, [root, env.get("PYTHONPATH", "")]))
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the cluster (``spark.checkpoint.dir``).
 

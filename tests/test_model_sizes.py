@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from riskframe.operators import metrics as M
+from riskframe.operators.boosting import BoostedTrees
 from riskframe.plans import q_models as Q
 
 
@@ -68,13 +69,14 @@ def test_stopping_waits_for_its_patience(spark, patience):
     df = spark.createDataFrame(rows, "x double, y double, diabetes int").repartition(1).cache()
     train, held = df.where("x < 60 OR y > 30"), df.where("NOT (x < 60 OR y > 30)").union(df.where("y < 8"))
     kw = {"maxDepth": 2, "stepSize": 0.3}
-    whole = Q.MD.fit(train, "catboost", ["x", "y"], "diabetes", maxIter=9, **kw)
+    whole = Q.T.fit_rounds(train, ["x", "y"], "diabetes", 9, kw["stepSize"], maxDepth=2)
     aucs = []
     for n in range(1, 10):
-        p = Q.MD.predict(Q.T.truncated(whole, n), held, "diabetes")
+        cut = BoostedTrees(whole.features, whole.step, whole.trees[:n])
+        p = Q.MD.predict(cut, held, "diabetes")
         aucs.append(M.roc_auc(p).first()["roc_auc"])
         if n == 4:  # the first rounds do not depend on how many follow
-            short = Q.MD.predict(Q.MD.fit(train, "catboost", ["x", "y"], "diabetes", maxIter=n, **kw), held, "diabetes")
+            short = Q.MD.predict(Q.T.fit_rounds(train, ["x", "y"], "diabetes", n, kw["stepSize"], maxDepth=2), held, "diabetes")
             assert sorted(short.collect()) == sorted(p.collect())
     best = 0
     for n, a in enumerate(aucs):
@@ -82,4 +84,6 @@ def test_stopping_waits_for_its_patience(spark, patience):
             best = n
         elif n - best >= patience:
             break
-    assert Q.T.best_rounds(whole, held, "diabetes", patience) == best + 1
+    for block in (2, 10):
+        kept = Q.T.fit_rounds(train, ["x", "y"], "diabetes", 9, kw["stepSize"], held=held, patience=patience, block=block, maxDepth=2)
+        assert len(kept.trees) == best + 1
