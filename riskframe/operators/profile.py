@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
@@ -374,135 +374,149 @@ def target_corr(df: DataFrame, features, target: str) -> DataFrame:
 
 
 
-def exact_quantiles(df: DataFrame, cols, probs, accuracy: int = 10_000,
-                    max_interior: int = 10_000, max_rounds: int = 10) -> dict:
+class _Bracket:
+    """The open interval that holds the ranks ``first`` and ``last`` (of
+    ``column``'s values from 0): None is an open end; ``below`` rows lie
+    at or under its lower end, ``inner`` rows strictly inside."""
+
+    def __init__(self, column: str, first: int, last: int, rows: int):
+        self.column, self.first, self.last = column, first, last
+        self.low = self.high = None
+        self.below, self.inner = 0, rows
+        self.width = 1.0  # of the margin, grown after a miss
+        self.values: dict = {}
+
+    def inside(self, low=None, high=None) -> Column:
+        x = F.col(self.column)
+        out = x.isNotNull()
+        for end, keep in ((self.low, x.__gt__), (low, x.__gt__), (self.high, x.__lt__), (high, x.__lt__)):
+            if end is not None:
+                out = out & keep(F.lit(end))
+        return out
+
+    def ranks(self, error: float) -> list[float]:
+        """Where the sketch of the inner rows is asked for the next ends; out of 0..1 for an end that stays."""
+        margin = min(0.25, error * self.width)
+        n = max(1, self.inner)
+        return [(self.first - self.below + 0.5) / n - margin, (self.last - self.below + 0.5) / n + margin]
+
+
+def _sketched(rows: DataFrame, brackets: list[_Bracket], size: int) -> dict:
+    """bracket -> (low, high) proposals from one scan: a KLL sketch of the
+    inner rows of each distinct interval, merged over the tasks."""
+    error = 2.3 / size ** 0.9
+    intervals: dict = {}
+    for b in brackets:
+        intervals.setdefault((b.column, b.low, b.high), []).append(b)
+    sketches = [F.kll_sketch_agg_double(F.when(own[0].inside(), F.col(own[0].column)), F.lit(size)).alias(f"s{i}")
+                for i, own in enumerate(intervals.values())]
+    asked, where = [], []
+    for i, own in enumerate(intervals.values()):
+        ranks = [(b, side, r) for b in own for side, r in enumerate(b.ranks(error)) if 0 < r < 1]
+        where.append(ranks)
+        if ranks:
+            asked.append(F.kll_sketch_get_quantile_double(F.col(f"s{i}"), F.array(*[F.lit(r) for *_, r in ranks])).alias(f"q{i}"))
+    ends = {b: [b.low, b.high] for b in brackets}
+    if asked:
+        got = rows.agg(*sketches).select(*asked).first()
+        for i, ranks in enumerate(where):
+            for (b, side, _), value in zip(ranks, got[f"q{i}"] if ranks else [], strict=True):
+                ends[b][side] = value
+    return ends
+
+
+def _counted(rows: DataFrame, ends: dict) -> dict:
+    """bracket -> rows under low, at low, at high and strictly inside the new ends, from one scan."""
+    aggs = []
+    for i, (b, (low, high)) in enumerate(ends.items()):
+        x, zero = F.col(b.column), F.lit(0)
+        aggs += [(F.count_if(x < low) if low is not None else zero).alias(f"b{i}"),
+                 (F.count_if(x == low) if low is not None else zero).alias(f"l{i}"),
+                 (F.count_if(x == high) if high is not None and high != low else zero).alias(f"u{i}"),
+                 F.count_if(b.inside(low, high)).alias(f"m{i}")]
+    got = rows.agg(*aggs).first()
+    return {b: tuple(got[f"{n}{i}"] for n in "blum") for i, b in enumerate(ends)}
+
+
+def exact_quantiles(df: DataFrame, cols, probs, accuracy: int = 16_384, max_interior: int = 50_000) -> dict:
     """column -> exact linear-interpolated quantiles (equal to ``percentile``),
-    with memory bounded by ``accuracy`` and ``max_interior`` instead of by
-    the number of distinct values (``percentile`` keeps one counter per
-    distinct value, merged in one task).
-
-    For each needed rank k (floor and ceil of (n - 1) q) a bracket [lo, hi]
-    comes from ``percentile_approx`` (rank error about n / accuracy).  One
-    pass counts the rows below lo, the ties at lo and at hi and the rows
-    strictly inside; when the inside is small, its values are collected
-    (at most ``max_interior``) and k's value is read from the sorted bracket
-    ``lo x ties, inside, hi x ties``.  A larger inside is narrowed again by
-    ``percentile_approx`` restricted to its strictly inner rows, so that heavy
-    ties at its ends cannot hold it where it is.  A value held by a
-    third of the rows is a tie count, never a list.  A bracket that misses
-    its rank falls back to the previous one with a wider margin.
+    None for a column without values, with memory bounded by ``accuracy`` and
+    ``max_interior`` instead of by the number of distinct values.
+
+    The columns are written once.  One scan sketches them all (a mergeable
+    KLL sketch a column); around each quantile's ranks the sketch gives a
+    bracket.  One scan counts the rows below every bracket, the ties at its
+    ends and the rows strictly inside; one more collects the distinct values
+    inside with their counts, where at most ``max_interior`` rows are there.
+    A fuller bracket (tables of some 10^7 rows and more) is sketched again
+    from its strictly inner rows, which shrink every time; one that misses its
+    ranks is taken back with a wider margin.  A value held by a third of the
+    rows is a tie count, never a list.  NaN sorts after all other values.
     """
+    from ..session import cut_lineage
     cols, probs = list(cols), list(probs)
-    x = {c: F.col(f"`{c}`").cast("double") for c in cols}
-    ns = df.agg(*[F.count(x[c]).alias(f"n{i}") for i, c in enumerate(cols)]).first()
-    n_of = {c: ns[f"n{i}"] for i, c in enumerate(cols)}
-    # state per (column, rank): bracket [lo, hi] (None = open end), rows up to
-    # lo, rows strictly inside it; the previous state and the margin factor for
-    # a retry
-    state = {}
-    for c in cols:
-        n = n_of[c]
-        for q in probs:
-            if n:
-                h = (n - 1) * q
-                for k in (int(math.floor(h)), int(math.ceil(h))):
-                    b = {"lo": None, "hi": None, "upto": 0, "inner": n}
-                    state[(c, k)] = dict(b, prev=dict(b), width=2.0)
-    found = {}
-
-    def strict(c, lo, hi):
-        cond = x[c].isNotNull()
-        if lo is not None:
-            cond = cond & (x[c] > F.lit(lo))
-        if hi is not None:
-            cond = cond & (x[c] < F.lit(hi))
-        return cond
-
-    zero = F.lit(0).cast("long")
-    keys = ("lo", "hi", "upto", "inner")
-    for _ in range(max_rounds):
-        open_t = [t for t in state if t not in found]
-        if not open_t:
-            break
-        # 1. narrow the brackets whose inside is too large to collect
-        wide = [t for t in open_t if state[t]["inner"] > max_interior]
+    x = {f"v{i}": F.col(f"`{c}`").cast("double") for i, c in enumerate(cols)}
+    rows = cut_lineage(df.select(*[F.when(~F.isnan(v), v).alias(n) for n, v in x.items()],
+                                 *[(F.isnan(v)).alias(f"{n}_nan") for n, v in x.items()]))
+    n_of = rows.agg(*[F.count(n).alias(n) for n in x], *[F.count_if(f"{n}_nan").alias(f"{n}_nan") for n in x]).first()
+    open_, all_of = [], {}
+    for name in x:
+        n = n_of[name] + n_of[f"{name}_nan"]
+        for q in probs if n else []:
+            h = (n - 1) * q
+            first, last = math.floor(h), math.ceil(h)
+            b = _Bracket(name, min(first, n_of[name] - 1), min(last, n_of[name] - 1), n_of[name])
+            b.values = {k: float("nan") for k in (first, last) if k >= n_of[name]}
+            all_of[name, q] = (h, first, last, b)
+            if len(b.values) < len({first, last}):
+                open_.append(b)
+    while open_:
+        ends = {b: [b.low, b.high] for b in open_}
+        wide = [b for b in open_ if b.inner > max(2, max_interior)]
+        if wide:
+            ends.update(_sketched(rows, wide, accuracy))
+        known = {b: (b.below, 0, 0, b.inner) for b in open_ if b not in wide}
         if wide:
-            aggs, rels = [], []
-            for i, t in enumerate(wide):
-                st = state[t]
-                rel = (t[1] - st["upto"]) / max(1, st["inner"] - 1)
-                eps = st["width"] / accuracy
-                rels.append((rel - eps, rel + eps))
-                aggs.append(F.percentile_approx(F.when(strict(t[0], st["lo"], st["hi"]), x[t[0]]),
-                                                [max(0.0, rel - eps), min(1.0, rel + eps)], accuracy)
-                            .alias(f"p{i}"))
-            r = df.agg(*aggs).first()
-            for i, t in enumerate(wide):
-                st = state[t]
-                st["prev"] = {k: st[k] for k in keys}
-                p_lo, p_hi = r[f"p{i}"]
-                if rels[i][0] > 0:
-                    st["lo"] = p_lo
-                if rels[i][1] < 1:
-                    st["hi"] = p_hi
-        # 2. one pass: rows below, ties at both ends, rows and distinct values strictly inside
-        aggs = []
-        for i, t in enumerate(open_t):
-            c, st = t[0], state[t]
-            lo, hi = st["lo"], st["hi"]
-            inner = strict(c, lo, hi)
-            aggs += [(F.count_if(x[c] < F.lit(lo)) if lo is not None else zero).alias(f"b{i}"),
-                     (F.count_if(x[c] == F.lit(lo)) if lo is not None else zero).alias(f"l{i}"),
-                     (F.count_if(x[c] == F.lit(hi)) if hi is not None and hi != lo else zero).alias(f"u{i}"),
-                     F.count_if(inner).alias(f"m{i}"),
-                     F.approx_count_distinct(F.when(inner, x[c])).alias(f"d{i}")]
-        r = df.agg(*aggs).first()
-        # 3. (value, count) pairs inside the brackets with few distinct values:
-        #    bounded by max_interior per bracket, whatever the row counts
-        small = [i for i, t in enumerate(open_t)
-                 if r[f"m{i}"] and (r[f"m{i}"] <= max_interior or r[f"d{i}"] <= max_interior // 2)]
-        hist = {i: [] for i in small}
+            known.update(_counted(rows, {b: ends[b] for b in wide}))
+        small, left = [], []
+        for b in open_:
+            under, ties, over, inner = known[b]
+            if b.first < under or b.last >= under + ties + inner + over:
+                b.width *= 4  # missed: the interval stays as it was
+                left.append(b)
+                continue
+            b.low, b.high = ends[b]
+            b.below, b.inner = under + ties, inner
+            ranks = [k for k in {b.first, b.last} if k not in b.values]
+            b.values.update({k: b.low for k in ranks if under <= k < under + ties})
+            b.values.update({k: b.high for k in ranks if k >= under + ties + inner})
+            if any(k not in b.values for k in ranks):
+                (small if inner <= max(2, max_interior) else left).append(b)
+                inside = [k for k in ranks if k not in b.values]
+                b.first, b.last = min(inside), max(inside)
         if small:
-            cells = F.array(*[F.when(strict(open_t[i][0], state[open_t[i]]["lo"], state[open_t[i]]["hi"]),
-                                     F.struct(F.lit(i).alias("t"), x[open_t[i][0]].alias("v"))) for i in small])
-            pairs = df.select(F.explode(F.filter(cells, lambda e: e.isNotNull())).alias("e")) \
-                .groupBy("e.t", "e.v").agg(F.count(F.lit(1)).alias("n"))
-            for row in pairs.collect():
-                hist[row["t"]].append((row["v"], row["n"]))
-        for i, t in enumerate(open_t):
-            st = state[t]
-            below, n_lo, n_hi, m = r[f"b{i}"], r[f"l{i}"], r[f"u{i}"], r[f"m{i}"]
-            pos = t[1] - below
-            if 0 <= pos < n_lo + m + n_hi:
-                if pos < n_lo:
-                    found[t] = st["lo"]
-                elif pos >= n_lo + m:
-                    found[t] = st["hi"]
-                elif i in hist:
-                    rest = pos - n_lo
-                    for v, cnt in sorted(hist[i]):
-                        if rest < cnt:
-                            found[t] = v
-                            break
-                        rest -= cnt
-                else:
-                    st.update(upto=below + n_lo, inner=m)
-            else:  # the approximate bracket missed the rank: previous bracket, wider margin
-                st.update(st["prev"])
-                st["width"] *= 4
+            cells = F.array(*[F.when(b.inside(), F.struct(F.lit(i).alias("t"), F.col(b.column).alias("v")))
+                              for i, b in enumerate(small)])
+            pairs = (rows.select(F.explode(F.filter(cells, lambda e: e.isNotNull())).alias("e"))
+                     .groupBy("e.t", "e.v").agg(F.count("*").alias("n")).collect())  # at most max_interior rows a bracket
+            hist: dict = {i: [] for i in range(len(small))}
+            for r in pairs:
+                hist[r["t"]].append((r["v"], r["n"]))
+            for i, b in enumerate(small):
+                at = b.below
+                for v, count in sorted(hist[i]):
+                    b.values.update({k: v for k in (b.first, b.last) if at <= k < at + count})
+                    at += count
+        open_ = left
     out = {}
-    for c in cols:
-        n = n_of[c]
-        if not n:
+    for c, name in zip(cols, x, strict=True):
+        if not n_of[name] + n_of[f"{name}_nan"]:
             out[c] = None
             continue
         res = []
         for q in probs:
-            h = (n - 1) * q
-            lo_k, hi_k = int(math.floor(h)), int(math.ceil(h))
-            if (c, lo_k) not in found or (c, hi_k) not in found:
-                raise RuntimeError(f"quantile selection for {c} did not converge")
-            a, b = found[(c, lo_k)], found[(c, hi_k)]
-            res.append(a if lo_k == hi_k else (hi_k - h) * a + (h - lo_k) * b)
+            h, first, last, b = all_of[name, q]
+            low, high = b.values[first], b.values[last]
+            res.append(low if first == last else (last - h) * low + (h - first) * high)
         out[c] = res
     return out

@@ -53,3 +53,15 @@ def test_heavy_ends_do_not_make_the_collect_grow(spark, monkeypatch):
     monkeypatch.setattr(type(df), "collect", lambda self: (rows := collect(self), sizes.append(len(rows)))[0])
     got = exact_quantiles(df, ["x"], [0.5], accuracy=1000, max_interior=10)
     assert got == {"x": [pytest.approx(want, rel=1e-12)]} and max(sizes, default=0) <= 20
+
+
+def test_three_scans_and_nan(spark, monkeypatch):
+    df = spark.range(200_000).select(F.when(F.col("id") % 5 == 0, float("nan")).otherwise((F.col("id") * 7919 % 200_003) / 3.0).alias("x"),
+                                     (F.col("id") % 1000 / 8).alias("y")).repartition(3)
+    calls, agg = [], type(df).agg
+    monkeypatch.setattr(type(df), "agg", lambda self, *a: (calls.append(1), agg(self, *a))[1])
+    got = exact_quantiles(df, ["x", "y"], [0.25, 0.5, 0.9], accuracy=4096, max_interior=5000)
+    assert len(calls) == 3  # rows, sketches, counts; then one grouped collection
+    want = df.agg(*[F.percentile(c, [0.25, 0.5, 0.9]).alias(c) for c in ("x", "y")]).first()
+    assert got["y"] == pytest.approx(want["y"]) and got["x"][:2] == pytest.approx(want["x"][:2])
+    assert got["x"][2] != got["x"][2] and want["x"][2] != want["x"][2]
