@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
@@ -211,11 +213,12 @@ def histogram(df: DataFrame, cols, bins: int | None = None, method: str = "bound
 def kde_curve(df: DataFrame, col: str, gridsize: int = 200, cut: float = 3.0) -> DataFrame:
     """Gaussian kernel density on an even grid, Scott bandwidth (sample std * n^-1/5).
 
-    Values are first collapsed to (value, weight); each distinct value then
-    contributes an array over the grid which is exploded and summed with
-    map-side combine, so no pair table is ever materialised.
+    Each task adds its values' kernels up over the whole grid, equal values of
+    a batch at once; one row a task and grid point is shuffled.  Nulls and NaN
+    take no part; without two different values there are no rows.
     """
     x = F.col(f"`{col}`").cast("double")
+    x = F.when(~F.isnan(x), x)
     st = df.agg(F.count(x).alias("n"), F.stddev_samp(x).alias("s"),
                 F.min(x).alias("lo"), F.max(x).alias("hi")).first()
     n, s, lo, hi = st["n"], st["s"], st["lo"], st["hi"]
@@ -224,12 +227,20 @@ def kde_curve(df: DataFrame, col: str, gridsize: int = 200, cut: float = 3.0) ->
     h = float(s) * n ** (-1.0 / 5.0)
     g0, g1 = lo - cut * h, hi + cut * h
     step = (g1 - g0) / (gridsize - 1)
-    pts = df.select(x.alias("x")).filter(F.col("x").isNotNull()).groupBy("x").agg(F.count(F.lit(1)).alias("w"))
     norm = 1.0 / (n * h * math.sqrt(2.0 * math.pi))
-    contrib = F.transform(F.sequence(F.lit(0), F.lit(gridsize - 1)), lambda i: F.col("w") * F.exp(
-        F.lit(-0.5) * F.pow((F.lit(g0) + i * F.lit(step) - F.col("x")) / F.lit(h), 2)))
-    ex = pts.select(F.posexplode(contrib).alias("idx", "v"))
-    return ex.groupBy("idx").agg((F.sum("v") * F.lit(norm)).alias("density")) \
+
+    def partial(batches):
+        """This task's sum of kernels at each grid point, one row a point."""
+        grid, total = g0 + step * np.arange(gridsize), np.zeros(gridsize)
+        for batch in batches:
+            values, weights = np.unique(batch.column(0).to_numpy(zero_copy_only=False), return_counts=True)
+            for i in range(0, len(values), 4096):
+                z = (grid[:, None] - values[None, i:i + 4096]) / h
+                total += np.exp(-0.5 * z * z) @ weights[i:i + 4096]
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(gridsize, dtype=np.int32)), pa.array(total)], ["idx", "v"])
+
+    sums = df.select(x.alias("x")).where("x IS NOT NULL AND NOT isnan(x)").mapInArrow(partial, "idx int, v double")
+    return sums.groupBy("idx").agg((F.sum("v") * F.lit(norm)).alias("density")) \
         .select("idx", (F.lit(g0) + F.col("idx") * F.lit(step)).alias("grid"), "density")
 
 
@@ -348,21 +359,56 @@ def _distributed_codes(d: DataFrame, n_parts: int) -> DataFrame:
 def corr_matrix(df: DataFrame, cols) -> DataFrame:
     """Pairwise-complete Pearson correlation, long form (col_i, col_j, r) for i != j.
 
-    String columns are factorized first.  One aggregate of ``corr`` over all
-    pairs (i < j); the other triangle is the mirror.
+    String columns are factorized first.  Each task gathers the co-moments of
+    all pairs in matrix products: counts, sums, squares and cross products
+    under the pairs' own null masks, around the columns' means.  Spark adds
+    the (i, j) rows up, so work and shuffle follow the pairs, not the plan.
+    A pair with fewer than two complete rows, or of a constant column, has a
+    null r; NaN counts as null.
     """
+    cols = list(cols)
     strs = [c for c in cols if dict(df.dtypes)[c] == "string"]
     if strs:
         df = factorize_columns(df, strs)
-    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
-    agg = df.agg(*[F.corr(F.col(f"`{a}`").cast("double"), F.col(f"`{b}`").cast("double"))
-                   .alias(f"{a}__{b}") for a, b in pairs])
-    structs = []
-    for a, b in pairs:
-        r = F.col(f"`{a}__{b}`")
-        structs.append(F.struct(F.lit(a).alias("col_i"), F.lit(b).alias("col_j"), r.alias("r")))
-        structs.append(F.struct(F.lit(b).alias("col_i"), F.lit(a).alias("col_j"), r.alias("r")))
-    return agg.select(F.inline(F.array(*structs)))
+    x = [F.col(f"`{c}`").cast("double") for c in cols]
+    rows = df.select(*[F.when(~F.isnan(v), v).alias(f"v{i}") for i, v in enumerate(x)])
+    means = np.array([m or 0.0 for m in rows.agg(*[F.avg(c) for c in rows.columns]).first()])
+    names = ["n", "si", "sj", "qi", "qj", "c"]
+    kind = "i int, j int, " + ", ".join(f"{n} double" for n in names)
+
+    def moments(batches):
+        d = len(means)
+        there, sums, squares, cross = (np.zeros((d, d)) for _ in range(4))
+        for batch in batches:
+            table = np.column_stack([c.to_numpy(zero_copy_only=False).astype(np.float64) for c in batch.columns])
+            for at in range(0, len(table), 1 << 14):
+                part = table[at:at + (1 << 14)] - means
+                mask = ~np.isnan(part)
+                part[~mask] = 0.0
+                mask = mask.astype(np.float64)
+                there += mask.T @ mask
+                sums += part.T @ mask
+                squares += (part * part).T @ mask
+                cross += part.T @ part
+        i, j = np.triu_indices(d, 1)
+        parts = [there[i, j], sums[i, j], sums[j, i], squares[i, j], squares[j, i], cross[i, j]]
+        yield pa.RecordBatch.from_arrays([pa.array(i.astype(np.int32)), pa.array(j.astype(np.int32)), *map(pa.array, parts)],
+                                         ["i", "j", *names])
+
+    total = rows.mapInArrow(moments, kind).groupBy("i", "j").agg(*[F.sum(n).alias(n) for n in names])
+    n = F.col("n")
+
+    def spread(s, q):  # what rounding leaves of a constant column is no spread
+        left = F.col(q) - F.col(s) * F.col(s) / n
+        return F.when((n > 1) & (left > 1e-13 * F.col(q)), left)
+
+    r = (F.col("c") - F.col("si") * F.col("sj") / n) / F.sqrt(spread("si", "qi") * spread("sj", "qj"))
+    r = F.when(n > 1, F.greatest(F.lit(-1.0), F.least(F.lit(1.0), r)))
+    r = F.when(spread("si", "qi").isNotNull() & spread("sj", "qj").isNotNull(), r)
+    label = F.array(*map(F.lit, cols))
+    pair = total.select(label[F.col("i")].alias("a"), label[F.col("j")].alias("b"), r.alias("r"))
+    return pair.select(F.inline(F.array(F.struct(F.col("a").alias("col_i"), F.col("b").alias("col_j"), "r"),
+                                        F.struct(F.col("b").alias("col_i"), F.col("a").alias("col_j"), "r"))))
 
 
 def target_corr(df: DataFrame, features, target: str) -> DataFrame:
