@@ -11,6 +11,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from .common import attach, bit_filter, by_bytes, marked, saved
 from .jaccard import mix
@@ -46,8 +47,8 @@ def anchored_runs(pieces: list[bytes], length: int) -> tuple[np.ndarray, np.ndar
     if span > width:
         low = np.minimum(low[:len(low) - (span - width)], low[span - width:])
     open_at = np.zeros(total + 1, np.int32)
-    np.add.at(open_at, ends - np.minimum(sizes, length - 1), 1)
-    np.add.at(open_at, ends, -1)
+    open_at += np.bincount(ends - np.minimum(sizes, length - 1), minlength=total + 1).astype(np.int32)
+    open_at -= np.bincount(ends, minlength=total + 1).astype(np.int32)
     starts = np.flatnonzero(np.cumsum(open_at[:-1]) == 0)
     if not len(starts):
         return (np.empty(0, np.int64),) * 4
@@ -150,9 +151,41 @@ def common_prefixes(text: np.ndarray, order: np.ndarray, sizes: np.ndarray) -> t
     return prefix, before
 
 
+def may_repeat(contexts: list[bytes], length: int) -> np.ndarray:
+    """Whether a context has a window whose fingerprint, a polynomial modulo
+    2^64, occurs again in these contexts; equal windows have equal ones."""
+    sizes = np.array([len(c) for c in contexts], np.int64)
+    text = np.frombuffer(b"".join(contexts), np.uint8)
+    base = 0x9E3779B97F4A7C15
+    steps = np.full((2, len(text) + 1), np.array([[base], [pow(base, -1, 1 << 64)]], np.uint64))
+    steps[:, 0] = 1
+    powers, unpowers = np.cumprod(steps, axis=1, dtype=np.uint64)
+    sums = np.zeros(len(text) + 1, np.uint64)
+    np.cumsum(mix(text.astype(np.uint64) + _A) * powers[:-1], out=sums[1:])
+    per = np.maximum(sizes - length + 1, 0)
+    owner = np.repeat(np.arange(len(sizes)), per)
+    start = np.arange(len(owner)) + (np.cumsum(sizes) - sizes - (np.cumsum(per) - per))[owner]
+    prints = (sums[start + length] - sums[start]) * unpowers[start]
+    ordered = np.sort(prints)
+    twice = np.unique(ordered[1:][ordered[1:] == ordered[:-1]])
+    out = np.zeros(len(sizes), bool)
+    if len(twice):
+        at = np.minimum(np.searchsorted(twice, prints), len(twice) - 1)
+        out[owner[twice[at] == prints]] = True
+    return out
+
+
 def repeated_starts(contexts: list[bytes], length: int) -> list[np.ndarray]:
     """Of each context, the starts whose ``length`` bytes also start elsewhere
-    in these contexts."""
+    in these contexts.  Contexts without a repeated fingerprint stay out of
+    the suffix array."""
+    may = may_repeat(contexts, length)
+    found = iter(array_starts([c for c, m in zip(contexts, may.tolist(), strict=True) if m], length) if may.any() else ())
+    return [next(found) if m else np.empty(0, np.int64) for m in may.tolist()]
+
+
+def array_starts(contexts: list[bytes], length: int) -> list[np.ndarray]:
+    """The same by suffix array and common prefixes of all of them."""
     sizes = np.array([len(c) + 1 for c in contexts], np.int64)
     text = np.frombuffer(b"".join(c + b"\xff" for c in contexts), np.uint8)
     order = suffix_array(text)
@@ -255,7 +288,7 @@ def repeated_spans(docs: DataFrame, length: int = 200, shard_contexts: int = 800
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names)
 
     names = ["doc_id", "row_key", "first", "starts", "key", "ctx", "context"]
-    kinds = [None, pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary()]
+    kinds = [to_arrow_type(docs.schema["doc_id"].dataType), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary()]
     found = saved(base.mapInArrow(runs, f"doc_id {id_type}, row_key long, first long, starts long, key long, ctx binary, "
                                         "context binary"))
     contexts = saved(found.groupBy("ctx").agg(F.min("key").alias("key"), F.count("*").alias("copies"),

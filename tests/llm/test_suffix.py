@@ -82,3 +82,19 @@ def test_query_digest(spark):
     want = {i: (n, gone, runs, hashlib.sha256(kept).hexdigest()) for i, n, gone, runs, kept in brute(rows, 200)}
     got = {str(r.doc_id): tuple(r)[1:] for r in op8_suffix_array_dedup(spark, sf).collect()}
     assert got == want
+
+
+def test_fingerprints_let_all_repeats_through():
+    rng = np.random.default_rng(6)
+    contexts = [bytes(rng.integers(97, 99, int(n), dtype=np.uint8)) for n in rng.integers(0, 60, 400)]
+    contexts += [contexts[7][3:40] + b"zz", b"", b"aaaaaaaaaaaaaaaaaaaaaaaaaaaaaa"]
+    for length in (12, 20):
+        want = S.array_starts(contexts, length)
+        assert [x.tolist() for x in S.repeated_starts(contexts, length)] == [x.tolist() for x in want]
+        assert not (~S.may_repeat(contexts, length) & np.array([len(x) > 0 for x in want])).any()
+
+
+def test_int_ids(spark):
+    text = "some words that are here twice in one text " * 12
+    docs = spark.createDataFrame([(1, text), (2, "x"), (None, None)], "doc_id int, text string")
+    assert sorted((str(r.doc_id), len(r.spans)) for r in S.cut_repeats(docs).collect()) == [("1", 1), ("2", 0), ("None", 0)]
