@@ -58,22 +58,22 @@ def bit_filter(df: DataFrame, *cols: str, bits: int = FILTER_BITS) -> DataFrame:
     """A bitmap of the hashed keys of ``df``: at most ``bits`` / 32 768 rows of
     4 KB, so it may be broadcast.  More keys only make it let more through."""
     h = F.pmod(hashed(*[F.col(c) for c in cols]), F.lit(bits))
-    return (df.select(F.floor(h / _BUCKET).cast("long").alias("_bucket"),
-                      F.pmod(h, F.lit(_BUCKET)).alias("_bit"))
-            .groupBy("_bucket").agg(F.bitmap_construct_agg("_bit").alias("_bits")))
+    return (df.select(F.floor(h / _BUCKET).cast("long").alias("__filter_bucket"),
+                      F.pmod(h, F.lit(_BUCKET)).alias("__filter_bit"))
+            .groupBy("__filter_bucket").agg(F.bitmap_construct_agg("__filter_bit").alias("__filter_bits")))
 
 
 def marked(df: DataFrame, bitmap: DataFrame, *cols: str, name: str = "_maybe",
            bits: int = FILTER_BITS) -> DataFrame:
     """``df`` with a boolean column: False only if the key is surely not in the bitmap."""
     h = F.pmod(hashed(*[F.col(c) for c in cols]), F.lit(bits))
-    out = (df.withColumn("_bucket", F.floor(h / _BUCKET).cast("long"))
-           .withColumn("_bit", F.pmod(h, F.lit(_BUCKET)).cast("int"))
-           .join(F.broadcast(bitmap), "_bucket", "left"))
-    byte = F.conv(F.hex(F.expr("substring(_bits, _bit div 8 + 1, 1)")), 16, 10).cast("int")
-    bit = F.expr("1 << (_bit % 8)").bitwiseAND(byte) != 0
-    return out.withColumn(name, F.coalesce(F.col("_bits").isNotNull() & bit, F.lit(False))).drop(
-        "_bucket", "_bit", "_bits")
+    out = (df.withColumn("__filter_bucket", F.floor(h / _BUCKET).cast("long"))
+           .withColumn("__filter_bit", F.pmod(h, F.lit(_BUCKET)).cast("int"))
+           .join(F.broadcast(bitmap), "__filter_bucket", "left"))
+    byte = F.conv(F.hex(F.expr("substring(__filter_bits, __filter_bit div 8 + 1, 1)")), 16, 10).cast("int")
+    bit = F.expr("1 << (__filter_bit % 8)").bitwiseAND(byte) != 0
+    return out.withColumn(name, F.coalesce(F.col("__filter_bits").isNotNull() & bit, F.lit(False))).drop(
+        "__filter_bucket", "__filter_bit", "__filter_bits")
 
 
 def maybe_in(df: DataFrame, bitmap: DataFrame, *cols: str, bits: int = FILTER_BITS) -> DataFrame:

@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 
 from .common import attach, by_bytes, components, filled, has_bit, key_bits, only_ids, saved
 
-#: Groups of the count vectors in the R-trees, and fine groups of a block.
-GROUPS, FINE = 128, 64
+#: Groups of the count vectors in the R-trees.
+GROUPS = 128
 LEAF = 16
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 
@@ -58,7 +58,9 @@ class Bands:
 
     Sets of x and y shingles with similarity num / den or more differ in at
     most (x + y)(den - num) / (den + num) shingles.  With one block of groups
-    more than that, some block has equal counts in both vectors.
+    more than that, some block has equal counts in both vectors.  With
+    ``spare`` blocks more, some such block is not empty, unless both sets
+    leave more than ``spare`` blocks empty.
     """
 
     def __init__(self, num: int, den: int):
@@ -71,8 +73,15 @@ class Bands:
             self.edges.append(max(e + 1, e * 5 // 4))
         return self.edges[k]
 
+    def most_changes(self, k: int) -> int:
+        return 2 * (self.edge(k + 1) - 1) * (self.den - self.num) // (self.den + self.num)
+
+    def spare(self, k: int) -> int:
+        changes = self.most_changes(k)
+        return 1 + changes // 16 if changes else 0
+
     def blocks(self, k: int) -> int:
-        return 2 * (self.edge(k + 1) - 1) * (self.den - self.num) // (self.den + self.num) + 1
+        return self.most_changes(k) + 1 + self.spare(k)
 
     def of(self, size: int) -> list[int]:
         """A set's own band, and the higher ones where a similar set may be."""
@@ -87,16 +96,20 @@ class Bands:
 
 def tile_keys(hashes: np.ndarray, bands: Bands) -> np.ndarray:
     """One key a block for each band of the set: the counts of the block's
-    groups, hashed.  Equal projections have equal keys."""
-    high, out = hashes >> np.uint64(32), []
+    finest groups, one for each shingle hash.  Equal projections have equal
+    keys.  Empty blocks, which are alike in all sets, get a key only where
+    there are more of them than the band's spare ones."""
+    high, out = hashes >> np.uint64(32), [np.empty(0, np.uint64)]
+    sums = np.zeros(len(hashes) + 1, np.uint64)
+    np.cumsum(mix(hashes * _B + _C), out=sums[1:])
     for k in bands.of(len(hashes)):
         blocks = bands.blocks(k)
-        group = (high * np.uint64(blocks * FINE)) >> np.uint64(32)
-        sums = np.zeros(len(hashes) + 1, np.uint64)
-        np.cumsum(mix(group * _B + _C), out=sums[1:])
-        border = np.searchsorted(group, np.arange(blocks + 1, dtype=np.uint64) * np.uint64(FINE))
+        group = (high * np.uint64(blocks)) >> np.uint64(32)
+        border = np.searchsorted(group, np.arange(blocks + 1, dtype=np.uint64))
         block = np.arange(blocks, dtype=np.uint64)
-        out.append(mix(sums[border[1:]] - sums[border[:-1]] + block * _A + np.uint64((k + 1) * int(_C) % (1 << 64))))
+        keys = mix(sums[border[1:]] - sums[border[:-1]] + block * _A + np.uint64((k + 1) * int(_C) % (1 << 64)))
+        full = border[1:] > border[:-1]
+        out.append(keys[full] if blocks - np.count_nonzero(full) <= bands.spare(k) else keys)
     return np.concatenate(out).view(np.int64)
 
 
