@@ -232,7 +232,7 @@ class WordTable:
 
     SLOTS = 1 << 20
     #: Beyond so many words or letters the table starts anew, which bounds a worker's memory.
-    MOST, MOST_LETTERS = 1_200_000, 1 << 24
+    MOST, MOST_LETTERS = 200_000, 1 << 23
 
     def __init__(self, path: str, keep_special: bool = True):
         self.vocab = Vocabulary.load(path)
@@ -425,7 +425,7 @@ def cut_at_words(text: str, most: int) -> Iterator[str]:
 
 
 def encoded(rows: Iterator[tuple[object, str | None]], path: str, keep_special: bool = True,
-            chunk: int = 2_000_000, most: int = 6_000_000, kept: int = WordTable.MOST) -> Iterator[tuple[object, np.ndarray]]:
+            chunk: int = 1_000_000, most: int = 1_000_000, kept: int = WordTable.MOST) -> Iterator[tuple[object, np.ndarray]]:
     """(key, ids) of every (key, text), in order; a null text is empty.
 
     Texts are looked up in chunks of about ``chunk`` characters, longer texts
@@ -479,6 +479,7 @@ def encoded(rows: Iterator[tuple[object, str | None]], path: str, keep_special:
     if texts:
         gather()
     yield from release()
+    table.clear()  # a worker that waits for its next task holds no words
 
 
 def decode(ids: list[int], token_bytes: list[bytes]) -> str:
