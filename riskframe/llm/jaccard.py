@@ -27,10 +27,12 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 class _Words(dict):
-    """64-bit hashes of words; starts anew beyond a million words."""
+    """64-bit hashes of words; starts anew beyond so many, which bounds a worker's memory."""
+
+    MOST = 250_000
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 1_000_000:
+        if len(self) > self.MOST:
             self.clear()
         out = self[word] = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
         return out
