@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from .common import attach, bit_filter, by_bytes, marked, saved
+from .common import attach, bit_filter, by_bytes, marked, maybe_in, saved
 from .jaccard import mix
 
 #: Bytes of the grams that anchor windows; bytes handled at once in a worker.
@@ -291,11 +291,15 @@ def repeated_spans(docs: DataFrame, length: int = 200, shard_contexts: int = 800
     kinds = [to_arrow_type(docs.schema["doc_id"].dataType), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary()]
     found = saved(base.mapInArrow(runs, f"doc_id {id_type}, row_key long, first long, starts long, key long, ctx binary, "
                                         "context binary"))
-    contexts = saved(found.groupBy("ctx").agg(F.min("key").alias("key"), F.count("*").alias("copies"),
-                                              F.first("context").alias("context")))
-    per_key = contexts.groupBy("key").agg(F.count("*").alias("contexts")).where("contexts > 1")
-    mixed = contexts.join(saved(per_key), "key").select("key", "ctx", "context", "contexts")
-    mixed = saved(mixed)
+    # the contexts' bytes are only moved for one occurrence of each that shares its anchor with others
+    facts = saved(found.groupBy("ctx").agg(F.min("key").alias("key"), F.count("*").alias("copies"),
+                                           F.min(F.struct("row_key", "first")).alias("at")))
+    per_key = saved(facts.groupBy("key").agg(F.count("*").alias("contexts")).where("contexts > 1"))
+    several = saved(facts.join(per_key, "key").select("key", "ctx", "contexts", "at.row_key", "at.first"))
+    at = ["ctx", "row_key", "first"]
+    texts = maybe_in(found.select(*at, "context"), bit_filter(several, *at), *at)
+    texts = texts.groupBy(*at).agg(F.first("context").alias("context"))
+    mixed = saved(texts.join(several, at).select("key", "ctx", "context", "contexts"))
     shards = max(1, math.ceil(mixed.count() / shard_contexts))
     out_schema = "ctx binary, ranges array<struct<first:long,last:long>>"
 
@@ -325,7 +329,7 @@ def repeated_spans(docs: DataFrame, length: int = 200, shard_contexts: int = 800
     repeats = repeats.unionByName(pairs.groupBy("key", "i", "j").applyInPandas(across, out_schema))
     repeats = repeats.groupBy("ctx").agg(F.flatten(F.collect_list("ranges")).alias("ranges"))
 
-    known = saved(contexts.select("ctx", "copies").join(repeats, "ctx", "left").where("copies > 1 OR ranges IS NOT NULL"))
+    known = saved(facts.select("ctx", "copies").join(repeats, "ctx", "left").where("copies > 1 OR ranges IS NOT NULL"))
     hits = attach(found.select("doc_id", "row_key", "first", "starts", "ctx"), known, "ctx", "copies", "row_key",
                   max(1, found.count())).where("copies IS NOT NULL")
     whole = F.array(F.struct(F.lit(0).cast("long").alias("first"), (F.col("starts") - 1).alias("last")))
