@@ -173,6 +173,19 @@ def resample(df: DataFrame, strategy: str, features, label: str, key: str, k: in
     raise ValueError(f"strategy must be one of: {', '.join(STRATEGIES)}")
 
 
+def resample_folds(df: DataFrame, strategy: str, features, label: str, key: str, fold_col: str = "fold",
+                   k: int = 5, seed: int = 42, slab_rows: int = 1024) -> DataFrame:
+    """The train rows of every held-out fold, rebalanced without that fold: one
+    frame with ``held_out``.  Class counts, neighbours and copies come from
+    the other folds' rows alone."""
+    out = None
+    for f in sorted(r[0] for r in df.select(fold_col).distinct().collect()):
+        part = resample(df.filter(F.col(fold_col) != f).drop(fold_col), strategy, features, label, key, k, seed,
+                        slab_rows=slab_rows).withColumn("held_out", F.lit(f))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def split_and_resample(df: DataFrame, strategy: str, features, label: str, key: str,
                        test_size: float = 0.2, seed: int = 42, **kw) -> DataFrame:
     """Exact stratified split, resample the train rows only; one frame with ``split``."""

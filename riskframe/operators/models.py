@@ -11,7 +11,7 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -43,8 +43,9 @@ def class_weights(df: DataFrame, label: str, weights: dict, weight_col: str = WE
 # name -> (estimator builder, weighting); profiles follow the reference defaults
 def _lr(n_weight: float, **kw):
     c = kw.pop("C", 1.0)
-    return LogisticRegression(maxIter=1000, elasticNetParam=0.0, regParam=1.0 / (c * n_weight),
-                              standardization=False, weightCol=WEIGHT_COL, **kw)
+    p = dict(maxIter=1000, elasticNetParam=0.0, regParam=1.0 / (c * n_weight), standardization=False)
+    p.update(kw)
+    return LogisticRegression(weightCol=WEIGHT_COL, **p)
 
 
 def _rf(_, **kw):
@@ -116,6 +117,25 @@ def fit(df: DataFrame, name: str, features, label: str, **params) -> PipelineMod
     return build(name, features, n_w, **params).fit(xy)
 
 
+def fit_categorical(df: DataFrame, name: str, features, categorical, label: str, **params) -> PipelineModel:
+    """A tree profile on numeric ``features`` and ``categorical`` columns, whose
+    values are split as sets, not by an order of codes.
+
+    Values are indexed alphabetically; nulls and values that the fit has not
+    seen share one category of their own.  The bins follow the largest number
+    of categories, so none is merged or dropped (Spark wants more train rows than categories).
+    """
+    if name == "logistic_regression":
+        raise ValueError("categorical columns need a tree profile")
+    categorical = list(categorical)
+    coded = [f"__index_{c}" for c in categorical]
+    index = StringIndexer(inputCols=categorical, outputCols=coded, stringOrderType="alphabetAsc",
+                          handleInvalid="keep").fit(df)
+    most = max((len(values) + 1 for values in index.labelsArray), default=0)
+    pipe = build(name, [*features, *coded], **{"maxBins": max(32, most), **params})
+    return Pipeline(stages=[index, *pipe.getStages()]).fit(prepare_xy(df, features, label, MODELS[name][1]))
+
+
 def predict(model: PipelineModel, df: DataFrame, label: str | None = None, keep=()) -> DataFrame:
     """prediction (0/1, threshold .5) and p1 = P(class 1)."""
     out = model.transform(df)
@@ -142,14 +162,18 @@ def importance_frame(spark, model: PipelineModel, features, top_k: int | None =
 
 
 def cross_validate(df: DataFrame, name: str, features, label: str, fold_col: str = "fold",
-                   parallelism: int = 1, **params) -> DataFrame:
-    """Metrics per fold (fit on the other folds); a failing fold is skipped."""
+                   parallelism: int = 1, rebalance=None, **params) -> DataFrame:
+    """Metrics per fold (fit on the other folds); a failing fold is skipped.
+
+    ``rebalance`` (frame -> frame) is applied to the other folds' rows alone,
+    so that no held-out row has a part in a synthetic one."""
     spark = df.sparkSession
     folds = sorted(r[0] for r in df.select(fold_col).distinct().collect())
 
     def run(f):
         try:
-            m = fit(df.filter(F.col(fold_col) != f), name, features, label, **params)
+            others = df.filter(F.col(fold_col) != f)
+            m = fit(cut_lineage(rebalance(others)) if rebalance else others, name, features, label, **params)
             p = predict(m, df.filter(F.col(fold_col) == f), label)
             b = M.basic_metrics(p).first()
             a = M.roc_auc(p).first()

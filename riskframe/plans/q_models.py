@@ -6,10 +6,15 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from ..functions.exprs import round_all
+from ..operators import balance as B
 from ..operators import models as MD
+from ..operators import training as TR
 from ..operators import tune as T
 from ..operators.profile import factorize_columns
-from ..sources.fixtures import patients
+from ..operators.split import stratified_split
+from ..session import cut_lineage
+from ..sources import snapshots
+from ..sources.fixtures import KEY, patients
 from .catalog import register
 from .train import TARGET, modelling_data
 
@@ -110,3 +115,37 @@ def q_train_many(spark, sf):
     n = n.withColumnsRenamed({"train": "n_train_predictions", "test": "n_test_predictions"})
     out = status.select("model", "status", "error").join(MD.cv_summary(cv, ["model"]), "model", "left")
     return round_all(out.join(n, "model", "left"))
+
+
+@register("train_run")
+def q_train_run(spark, sf):
+    """The logistic model trained as one operation; its record read back:
+    dataset facts, parameters, CV means and deviations, train metrics."""
+    from .q_io import scratch
+    train, _, feats = modelling_data(spark, sf, folds=0)
+    base = scratch(spark, "training")
+    run = TR.train_model(train, "logistic_regression", feats, TARGET, ["rid"], base, C.N_FOLDS, C.SEED, parallelism=5)
+    record = snapshots.read_runs(spark, base).where((F.col("run_id") == run.run_id) & (F.col("key") != "model_path"))
+    return round_all(record.select("kind", "key", "value", "text"))
+
+
+@register("cross_validate_resampled")
+def q_cv_resampled(spark, sf):
+    """Five folds of the logistic model, SMOTE on each fold's train rows alone:
+    metrics per fold on rows that no synthetic row was made from."""
+    train, _, feats = modelling_data(spark, sf, balance=None)
+
+    def smote(df):
+        return B.resample(df.drop("fold"), "smote", feats, TARGET, "rid", C.KNN_K, C.SEED)
+    return round_all(MD.cross_validate(train, "logistic_regression", feats, TARGET, rebalance=smote))
+
+
+@register("gbt_catboost_categorical")
+def q_catboost_categorical(spark, sf):
+    """The catboost profile with gender and smoking history as category sets, fitted on the train rows; test predictions."""
+    p = patients(spark, sf).withColumn("rid", F.md5(F.concat_ws("|", *KEY)))
+    numeric = [c for c in C.EXPECTED_COLUMNS if c not in (TARGET, *C.CATEGORICAL)]
+    p = p.select("rid", *[F.col(c).cast("double").alias(c) for c in numeric], *C.CATEGORICAL, TARGET).na.drop(subset=numeric)
+    rows = cut_lineage(stratified_split(p, TARGET, ["rid"], C.TEST_SIZE, C.SEED))
+    m = MD.fit_categorical(rows.where("split = 'train'"), "catboost", numeric, C.CATEGORICAL, TARGET)
+    return round_all(MD.predict(m, rows.where("split = 'test'"), TARGET, keep=["rid"]))
