@@ -36,13 +36,23 @@ def benchmark(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/benchmark.parquet")
 
 
+#: Spark drops a query's shuffle files when the query ends.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def saved(df: DataFrame) -> DataFrame:
     """Written as Parquet in the session's shared checkpoint folder and read
-    again: cuts the lineage, and survives the loss of any executor."""
+    again: cuts the lineage, and survives the loss of any executor.  The
+    shuffle files of the writing job go when it ends."""
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/table-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    spark.sparkContext._jvm.System.gc()  # lets Spark's cleaner drop the shuffle files that nothing needs any more
+    before = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
+    spark.sparkContext._jvm.System.gc()  # lets Spark's cleaner drop what other actions left
     return spark.read.schema(df.schema).parquet(path)
 
 

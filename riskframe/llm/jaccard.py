@@ -115,6 +115,40 @@ def tile_keys(hashes: np.ndarray, bands: Bands) -> np.ndarray:
     return np.concatenate(out).view(np.int64)
 
 
+#: Bytes of a key that the search for repeated keys moves; with the bucket they
+#: tell keys apart but for chance, and a chance match only keeps a key.
+KEY_BYTES = 5
+#: Text bytes whose keys go to one bucket, and keys that a worker holds at once.
+BUCKET_TEXT = 32 << 20
+KEYS_HELD = 1 << 20
+
+
+def dealt(keys: list[np.ndarray], buckets: int) -> pa.RecordBatch:
+    """One row a bucket: the low bytes of its keys, each at most twice."""
+    every = np.concatenate([np.empty(0, np.int64), *keys]).view(np.uint64)
+    every.sort()
+    third = np.zeros(len(every), bool)
+    third[2:] = every[2:] == every[:-2]
+    every = every[~third]
+    bucket = ((every >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+    first = np.flatnonzero(np.diff(bucket, prepend=-1))
+    ends = (np.append(first, len(every)) * KEY_BYTES).tolist()
+    low = every.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :KEY_BYTES].tobytes()
+    return pa.RecordBatch.from_arrays(
+        [pa.array(bucket[first], pa.int64()),
+         pa.array([low[a:b] for a, b in zip(ends, ends[1:], strict=False)], pa.binary())], ["bucket", "keys"])
+
+
+def repeated(table: pd.DataFrame) -> pd.DataFrame:
+    """The low bytes of a bucket's keys that occur more than once, as numbers."""
+    low = np.frombuffer(b"".join(table["keys"]), np.uint8).reshape(-1, KEY_BYTES)
+    keys = np.zeros((len(low), 8), np.uint8)
+    keys[:, :KEY_BYTES] = low
+    keys = keys.view("<i8").ravel()
+    keys.sort()
+    return pd.DataFrame({"key": np.unique(keys[1:][keys[1:] == keys[:-1]])}, dtype="int64")
+
+
 def set_class(hashes: np.ndarray) -> int:
     """A 64-bit id of the set: equal for equal sets."""
     with np.errstate(over="ignore"):
@@ -297,8 +331,9 @@ def near_duplicates(docs: DataFrame, words: int = 5, num: int = 80, den: int = 1
     row of smallest (doc_id, row_key) of each group and of rows that link with
     nothing.  Wholly repeated rows share their key and their decision.
 
-    Each distinct set emits its tile keys: similar sets share a tile.  In a
-    tile, a count-vector R-tree bounds overlaps by sums of coordinate minima,
+    Each distinct set has tile keys: similar sets share a tile.  A first pass
+    finds the keys that occur more than once from their low bytes, moved in
+    sorted runs; only these stay.  In a tile, a count-vector R-tree bounds overlaps by sums of coordinate minima,
     and the pairs that may do connect the sets to clusters.  In a cluster the
     trees are used again and the surviving pairs verified on whole sets, until
     all that is linked is connected.
@@ -311,22 +346,26 @@ def near_duplicates(docs: DataFrame, words: int = 5, num: int = 80, den: int = 1
     bands = Bands(num, den)
 
     def all_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, count = [], 0
         for batch in by_bytes(batches):
-            keys, classes = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
             for text in batch.column("text").to_pylist():
                 x = shingles(text, words)
                 if len(x):
-                    keys.append(tile_keys(x, bands))
-                    classes.append(np.full(len(keys[-1]), set_class(x)))
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), pa.array(np.concatenate(classes))],
-                                             ["key", "cls"])
+                    held.append(tile_keys(x, bands))
+                    count += len(held[-1])
+                if count > KEYS_HELD:
+                    yield dealt(held, buckets)
+                    held, count = [], 0
+        yield dealt(held, buckets)
 
     base = docs.select("doc_id", "text", *([F.xxhash64("doc_id", filled()).alias("row_key")] if keyed else []))
     row = ["doc_id", "row_key"] if keyed else ["doc_id"]
-    shared = saved(base.where("doc_id IS NOT NULL").mapInArrow(all_keys, "key long, cls long").groupBy("key").agg(
-        F.min("cls").alias("anchor"), F.max("cls").alias("last"), F.count("*").alias("m")).where("anchor <> last")
-        .select(F.col("key").alias("root"), "anchor", "m"))
-    may = docs.sparkSession.sparkContext.broadcast(key_bits(shared.select(F.col("root").alias("key"))))
+    named = base.where("doc_id IS NOT NULL")
+    buckets = max(64, (named.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // BUCKET_TEXT)
+    again = saved(named.mapInArrow(all_keys, "bucket long, keys binary").groupBy("bucket").applyInPandas(
+        repeated, "key long"))
+    context = docs.sparkSession.sparkContext
+    may = context.broadcast(key_bits(again))
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.frombuffer(may.value, np.uint8)
@@ -350,7 +389,23 @@ def near_duplicates(docs: DataFrame, words: int = 5, num: int = 80, den: int = 1
     classes = saved(live.groupBy("cls").agg(F.min(F.struct(*row)).alias("first"), F.count("*").alias("copies"),
                                             F.max("n_shingles").alias("n"), F.max("vec").alias("vec"),
                                             F.max("keys").alias("keys")))
-    members = classes.select(F.explode("keys").alias("root"), "cls", "n", "vec")
+    shared = saved(classes.select(F.explode("keys").alias("root"), "cls").groupBy("root").agg(
+        F.min("cls").alias("anchor"), F.count("*").alias("m")).where("m > 1"))
+    tiles = context.broadcast(key_bits(shared.select(F.col("root").alias("key"))))
+
+    def in_tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The keys of copies of one set alone are no tiles."""
+        bits = np.frombuffer(tiles.value, np.uint8)
+        for batch in batches:
+            keys = [has_bit(bits, np.asarray(k.values, np.int64)) for k in batch.column("keys")]
+            ends = np.cumsum([0, *map(len, keys)]).astype(np.int32)
+            kept = pa.ListArray.from_arrays(ends, pa.array(np.concatenate([np.empty(0, np.int64), *keys])))
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in ("cls", "n", "vec")], kept],
+                                             ["cls", "n", "vec", "keys"])
+
+    members = classes.select("cls", "n", "vec", "keys").mapInArrow(
+        in_tiles, "cls long, n long, vec binary, keys array<long>").select(
+        F.explode("keys").alias("root"), "cls", "n", "vec")
 
     def bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -82,3 +82,23 @@ def test_tree_loses_no_candidate():
         bound = np.minimum(vectors, vectors[i]).sum(axis=1)
         want = np.flatnonzero((bound * 3 >= sizes + sizes[i]) & (sizes * 2 >= sizes[i]) & (sizes[i] * 2 >= sizes))
         assert sorted(tree.candidates(vectors[i], int(sizes[i]), 1, 2).tolist()) == want.tolist()
+
+
+def test_repeated_keys_are_found_over_runs_and_no_other():
+    import pandas as pd
+    rng = np.random.default_rng(3)
+    runs = [rng.integers(-2 ** 63, 2 ** 63, 500) for _ in range(4)]
+    runs[1][:5], runs[3][7], runs[2][:400] = runs[0][:5], runs[1][100], runs[2][0]  # across runs, and a hot key within one
+    table = pd.concat([J.dealt([r[:250], r[250:]], 64).to_pandas() for r in [*runs, np.empty(0, np.int64)]])
+    assert table["keys"].map(len).sum() == J.KEY_BYTES * (4 * 500 - 398)
+    got = pd.concat([J.repeated(part)["key"] for _, part in table.groupby("bucket")])
+    value, times = np.unique(np.concatenate(runs), return_counts=True)
+    mask = (1 << 8 * J.KEY_BYTES) - 1
+    assert sorted(got) == sorted(int(v) & mask for v in value[times > 1])
+
+
+def test_a_written_table_keeps_the_session_setting(spark):
+    from riskframe.llm import common
+    setting = spark.conf.get(common._CLEANUP, "false")
+    assert common.saved(spark.range(5000).groupBy((J.F.col("id") % 700).alias("k")).count()).count() == 700
+    assert spark.conf.get(common._CLEANUP, "false") == setting
