@@ -233,11 +233,11 @@ SELECT {KEYS_SQL}, diabetes, split, COUNT(*) OVER (PARTITION BY split) AS n_side
  FROM patients)""", "patients"))
 def q_recombine(spark, sf):
     """Train and test sides tagged and stacked again (unionByName)."""
-    from pyspark.sql import Window
     p = patients(spark, sf).select(*KEY, "diabetes")
     train, test = split.presplit(split.stratified_split(p, "diabetes", KEY), "diabetes")
     r = split.recombine(train, test)
-    return r.withColumn("n_side", F.count(F.lit(1)).over(Window.partitionBy("split")))
+    sides = r.groupBy("split").agg(F.count(F.lit(1)).alias("n_side"))  # two rows
+    return r.join(F.broadcast(sides), "split").select(*r.columns, "n_side")
 
 
 @register("balanced_weights", with_views("""

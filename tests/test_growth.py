@@ -62,3 +62,10 @@ def test_leaf_search_does_not_compare_every_pair():
         return (time.process_time() - t0) / n
     each(500)
     assert each(32_768) < 4 * each(2048)
+
+
+def test_recombine_counts_sides_without_a_window(spark):
+    out = E.queries()["recombine"](spark, SF_SMALL)
+    assert "Window" not in out._jdf.queryExecution().optimizedPlan().toString()
+    n = {r["split"]: r["count"] for r in out.groupBy("split").count().collect()}
+    assert {(r["split"], r["n_side"]) for r in out.select("split", "n_side").distinct().collect()} == set(n.items())
