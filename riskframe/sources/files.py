@@ -133,11 +133,21 @@ def _zip_partition(folder, columns):
     return fn
 
 
-def write_zip_csv(df: DataFrame, folder: str, partitions: int = 4) -> DataFrame:
+#: Rows a file or archive holds where a writer chooses their number, which then follows the rows.
+FILE_ROWS = 1_000_000
+
+
+def file_count(df: DataFrame, least: int = 4) -> int:
+    """Files that hold about FILE_ROWS rows each, ``least`` at least (one count)."""
+    return max(least, -(-df.count() // FILE_ROWS))
+
+
+def write_zip_csv(df: DataFrame, folder: str, partitions: int | None = None) -> DataFrame:
     """One zip archive (a CSV member) per partition, written by the tasks to the
     shared folder ``folder`` (any URI pyarrow's filesystems resolve); returns
     (archive, rows).  Rows are spread by a hash of all columns, so a retried
-    task sees the same rows."""
+    task sees the same rows.  Without ``partitions`` their number follows the rows."""
+    partitions = partitions or file_count(df)
     fs, base = _filesystem(folder)
     fs.create_dir(base, recursive=True)
     cols = df.columns

@@ -69,3 +69,11 @@ def test_recombine_counts_sides_without_a_window(spark):
     assert "Window" not in out._jdf.queryExecution().optimizedPlan().toString()
     n = {r["split"]: r["count"] for r in out.groupBy("split").count().collect()}
     assert {(r["split"], r["n_side"]) for r in out.select("split", "n_side").distinct().collect()} == set(n.items())
+
+
+def test_archives_follow_the_rows(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(files, "FILE_ROWS", 100)
+    df = spark.range(700).selectExpr("id", "id * 0.5 AS x")
+    folder = str(tmp_path / "zip")
+    assert len(files.write_zip_csv(df, folder).collect()) == 7
+    assert sorted(map(tuple, files.read_zip_csv(spark, folder, df.schema).collect())) == sorted(map(tuple, df.collect()))
