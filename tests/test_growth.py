@@ -77,3 +77,12 @@ def test_archives_follow_the_rows(spark, tmp_path, monkeypatch):
     folder = str(tmp_path / "zip")
     assert len(files.write_zip_csv(df, folder).collect()) == 7
     assert sorted(map(tuple, files.read_zip_csv(spark, folder, df.schema).collect())) == sorted(map(tuple, df.collect()))
+
+
+def test_stream_files_follow_the_rows(spark, monkeypatch):
+    monkeypatch.setattr(files, "FILE_ROWS", 1000)
+    pattern = f"{checkpoint_dir(spark).replace('file:', '')}/riskframe-io/stream-src-*/part-*"
+    before = set(glob.glob(pattern))
+    rows = E.queries()["stream_risk_by_bmi"](spark, SF_SMALL).collect()
+    n = sum(r["n_patients"] for r in rows)
+    assert len(set(glob.glob(pattern)) - before) == -(-n // 1000) > 4
