@@ -5,6 +5,7 @@ import time
 
 import numpy as np
 import pandas as pd
+from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 from riskframe.operators.knn import _block_fn
@@ -86,3 +87,15 @@ def test_stream_files_follow_the_rows(spark, monkeypatch):
     rows = E.queries()["stream_risk_by_bmi"](spark, SF_SMALL).collect()
     n = sum(r["n_patients"] for r in rows)
     assert len(set(glob.glob(pattern)) - before) == -(-n // 1000) > 4
+
+
+def test_distinct_keys_are_spread_by_rows(spark):
+    """A task looks for distinct keys among a bounded number of rows, whatever the split of the file."""
+    from riskframe.sources.fixtures import distinct_keys
+    keys = spark.range(0, 4000, 1, 1).selectExpr("id % 3000 AS k", "cast(id % 3000 % 7 AS int) AS n")
+    spread = distinct_keys(keys, rows_per_task=200)
+    assert spread.count() == 3000 and spread.join(keys, ["k", "n"], "left_anti").count() == 0
+    rows = [r["count"] for r in spread.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(rows) >= 15 and max(rows) <= 400
+    few = distinct_keys(keys, rows_per_task=4000)
+    assert few.count() == 3000
