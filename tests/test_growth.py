@@ -99,3 +99,26 @@ def test_distinct_keys_are_spread_by_rows(spark):
     assert len(rows) >= 15 and max(rows) <= 400
     few = distinct_keys(keys, rows_per_task=4000)
     assert few.count() == 3000
+
+
+def test_preparation_reads_its_rows_once(spark):
+    """Every fit of the preparation starts from written rows, not from the source."""
+    from riskframe.config import PATIENT_ROLES
+    from riskframe.plans.prepare import process_data
+    n, seen = 300, spark.sparkContext.accumulator(0)
+
+    def look(x):
+        seen.add(1)
+        return x
+    rows = spark.range(0, n, 1, 2).select(
+        "id", F.when(F.col("id") % 2 == 0, "Female").otherwise("Male").alias("gender"),
+        F.udf(look, "double")((F.col("id") % 70).cast("double")).alias("age"),
+        (F.col("id") % 3 == 0).cast("int").alias("hypertension"), F.lit(0).alias("heart_disease"),
+        F.when(F.col("id") % 5 > 0, "never").alias("smoking_history"),
+        F.when(F.col("id") % 7 > 0, 20.0 + F.col("id") % 11).alias("bmi"), (4.0 + F.col("id") % 4).alias("HbA1c_level"),
+        (90.0 + F.col("id") % 90).alias("blood_glucose_level"), (F.col("id") % 4 == 0).cast("int").alias("diabetes"))
+    # the UDF's rows count its evaluations, one a projection
+    out = process_data(rows, PATIENT_ROLES, ["id"]).data
+    assert out.count() == n and out.filter("split = 'test'").count() == 60
+    assert out.where("bmi is null or smoking_history is null").count() == 0
+    assert seen.value <= 2 * n  # nan_to_null may read a value twice
