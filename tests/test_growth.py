@@ -122,3 +122,13 @@ def test_preparation_reads_its_rows_once(spark):
     assert out.count() == n and out.filter("split = 'test'").count() == 60
     assert out.where("bmi is null or smoking_history is null").count() == 0
     assert seen.value <= 2 * n  # nan_to_null may read a value twice
+
+
+def test_train_rows_are_dealt_evenly(spark):
+    """A fit works on all cores, whatever the partitions its rows came in."""
+    from riskframe.plans.train import FEWEST_ROWS, spread
+    n = 4 * FEWEST_ROWS
+    rows = spark.range(0, n, 1, 1).selectExpr("md5(cast(id AS string)) AS rid")
+    sizes = [r["count"] for r in spread(rows, "rid", n).groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) == 4 and sum(sizes) == n and max(sizes) < 1.1 * FEWEST_ROWS
+    assert spread(rows, "rid", FEWEST_ROWS).rdd.getNumPartitions() == 1
