@@ -16,6 +16,9 @@ from .common import attach, by_bytes, components, filled, has_bit, key_bits, onl
 
 #: Groups of the count vectors in the R-trees.
 GROUPS = 128
+#: Groups of the finer vectors that are compared before whole sets move: the
+#: few groups tell sets of thousands of shingles apart only poorly.
+FINE_GROUPS = 2048
 LEAF = 16
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 
@@ -156,20 +159,21 @@ def set_class(hashes: np.ndarray) -> int:
     return int(mix(np.array([total]))[0].view(np.int64))
 
 
-def count_vector(hashes: np.ndarray) -> np.ndarray:
-    """Shingles of the set in each of GROUPS groups (by their hash)."""
-    return np.bincount((hashes >> np.uint64(64 - GROUPS.bit_length() + 1)).astype(np.int64), minlength=GROUPS)
+def count_vector(hashes: np.ndarray, groups: int = GROUPS) -> np.ndarray:
+    """Shingles of the set in each of so many groups (by their hash; a power of two)."""
+    return np.bincount((hashes >> np.uint64(64 - groups.bit_length() + 1)).astype(np.int64), minlength=groups)
 
 
-def packed_vector(hashes: np.ndarray) -> bytes:
+def packed_vector(hashes: np.ndarray, groups: int = GROUPS) -> bytes:
     """The count vector in a byte a group; 255 stands for that many or more."""
-    return np.minimum(count_vector(hashes), 255).astype(np.uint8).tobytes()
+    return np.minimum(count_vector(hashes, groups), 255).astype(np.uint8).tobytes()
 
 
 def unpacked_vectors(packed: list[bytes]) -> np.ndarray:
-    """Upper bounds of the counts: a full byte bounds nothing."""
-    out = np.frombuffer(b"".join(packed), np.uint8).reshape(-1, GROUPS).astype(np.int64)
-    out[out == 255] = 1 << 40
+    """Upper bounds of the counts: a full byte bounds nothing (no text has 2^30 words)."""
+    groups = len(packed[0]) if packed else GROUPS
+    out = np.frombuffer(b"".join(packed), np.uint8).reshape(-1, groups).astype(np.int32)
+    out[out == 255] = 1 << 30
     return out
 
 
@@ -334,9 +338,10 @@ def near_duplicates(docs: DataFrame, words: int = 5, num: int = 80, den: int = 1
     Each distinct set has tile keys: similar sets share a tile.  A first pass
     finds the keys that occur more than once from their low bytes, moved in
     sorted runs; only these stay.  In a tile, a count-vector R-tree bounds overlaps by sums of coordinate minima,
-    and the pairs that may do connect the sets to clusters.  In a cluster the
-    trees are used again and the surviving pairs verified on whole sets, until
-    all that is linked is connected.
+    and the pairs that may do connect the sets to clusters.  The clusters are
+    parted once more by the same bound on finer vectors; only in what is left
+    of them do whole sets move: the trees are used again and the surviving pairs
+    verified on the sets, until all that is linked is connected.
 
     Null and empty texts have no shingles and link with nothing; a row without
     doc_id has component_id null.  Rows repeated under one doc_id are
@@ -423,6 +428,26 @@ def near_duplicates(docs: DataFrame, words: int = 5, num: int = 80, den: int = 1
     clusters = components(links_within(members, "vec", near_anchor, num, den, 2 * chunk_sets, 1 << 60,
                                        shared.withColumn("mass", F.col("m"))))
 
+    def fine_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in by_bytes(batches):
+            found = [x for x in (shingles(t, words) for t in batch.column("text").to_pylist()) if len(x)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([set_class(x) for x in found], pa.int64()), pa.array([len(x) for x in found], pa.int64()),
+                 pa.array([packed_vector(x, FINE_GROUPS) for x in found], pa.binary())], ["cls", "n", "vec"])
+
+    def clustered(groups: DataFrame, sets: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
+                  payload: str) -> DataFrame:
+        """root, cls, n and payload of each set of the ``groups`` (v, root), from its texts."""
+        holders = classes.join(groups, classes["cls"] == groups["v"]).select(F.col("first.doc_id").alias("doc_id"))
+        texts = only_ids(docs.select("doc_id", "text"), saved(holders.distinct()))
+        found = texts.mapInArrow(sets, f"cls long, n long, {payload}").join(groups, F.col("cls") == F.col("v"))
+        return saved(found.select("root", "cls", "n", payload.split()[0]).dropDuplicates(["cls"]))
+
+    fine = clustered(clusters, fine_of, "vec binary")
+    of_root = saved(fine.groupBy("root").agg(F.min("cls").alias("anchor"), F.count("*").alias("m"))
+                    .withColumn("mass", F.col("m")))
+    clusters = components(links_within(fine, "vec", near_anchor, num, den, chunk_sets, 1 << 60, of_root))
+
     def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in by_bytes(batches):
             found = [shingles(t, words) for t in batch.column("text").to_pylist()]
@@ -431,11 +456,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, num: int = 80, den: int = 1
                  pa.array([len(x) for x in found], pa.int64()),
                  pa.array([x.view(np.int64) for x in found], pa.list_(pa.int64()))], ["cls", "n", "hashes"])
 
-    holders = classes.join(clusters, classes["cls"] == clusters["v"]).select(F.col("first.doc_id").alias("doc_id"))
-    texts = only_ids(docs.select("doc_id", "text"), saved(holders.distinct()))
-    sets = texts.mapInArrow(sets_of, "cls long, n long, hashes array<long>").join(
-        clusters, F.col("cls") == F.col("v")).select("root", "cls", "n", "hashes")
-    sets = saved(sets.dropDuplicates(["cls"]))
+    sets = clustered(clusters, sets_of, "hashes array<long>")
 
     def near_root(own: DataFrame) -> DataFrame:
         roots = own.where("cls = root").select("root", F.col("n").alias("root_n"), F.col("hashes").alias("root_hashes"))

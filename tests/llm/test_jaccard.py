@@ -102,3 +102,36 @@ def test_a_written_table_keeps_the_session_setting(spark):
     setting = spark.conf.get(common._CLEANUP, "false")
     assert common.saved(spark.range(5000).groupBy((J.F.col("id") % 700).alias("k")).count()).count() == 700
     assert spark.conf.get(common._CLEANUP, "false") == setting
+
+
+def test_whole_sets_of_long_unlike_texts_do_not_move(spark, monkeypatch):
+    """Texts of thousands of words pass the bound on 128 groups although they
+    share only some passages; finer vectors part them before their sets move."""
+    moved, saved = [], J.saved
+
+    def spy(df):
+        out = saved(df)
+        if "hashes" in out.columns:
+            moved.append(out.count())
+        return out
+    monkeypatch.setattr(J, "saved", spy)
+    rng = np.random.default_rng(7)
+    passage = [f"c{x}" for x in rng.integers(0, 10**6, 3500)]
+    rows = [(k, " ".join(passage + [f"u{x}" for x in rng.integers(0, 10**9, 4000)])) for k in range(12)]
+    rows.append((50, rows[3][1] + " and more"))
+    docs = spark.createDataFrame([(i, t, None, None, None) for i, t in rows], SCHEMA)
+    got = J.near_duplicates(docs, 5, 80, 100).collect()
+    assert {r.doc_id: r.component_id for r in got} == {**{k: k for k in range(12)}, 50: 3}
+    assert moved[0] == 2
+
+
+def test_fine_vectors_bound_the_overlap():
+    rng = np.random.default_rng(3)
+    for n in (1, 40, 9000):
+        one = np.unique(rng.integers(0, 1 << 63, n).astype(np.uint64) * np.uint64(2))
+        two = np.unique(np.concatenate([one[: n // 2], rng.integers(0, 1 << 63, n).astype(np.uint64)]))
+        a, b = J.unpacked_vectors([J.packed_vector(x, J.FINE_GROUPS) for x in (one, two)])
+        assert np.minimum(a, b).sum() >= len(np.intersect1d(one, two))
+    crowd = np.arange(300, dtype=np.uint64)  # all in one group, beyond a byte
+    (v,) = J.unpacked_vectors([J.packed_vector(crowd, J.FINE_GROUPS)])
+    assert v[0] >= 300
