@@ -1,4 +1,6 @@
 """Training as one operation, folds rebalanced on their own, categorical trees."""
+import threading
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -80,6 +82,35 @@ def test_cross_validate_rebalances_only_the_other_folds(spark, rows):
     assert seen == [{1, 2}, {0, 2}, {0, 1}]
 
 
+def test_folds_side_by_side_give_the_same_rows_and_stop_where_rows_are_many(spark, rows, monkeypatch):
+    folded = stratified_folds(rows, "diabetes", ["rid"], 3).localCheckpoint()
+    fit, now, most, lock = MD.fit, [0], [0], threading.Lock()
+
+    def slow(*a, **kw):
+        with lock:
+            now[0] += 1
+            most[0] = max(most[0], now[0])
+        time.sleep(2)
+        try:
+            return fit(*a, **kw)
+        finally:
+            with lock:
+                now[0] -= 1
+    monkeypatch.setattr(MD, "fit", slow)
+
+    def run(parallelism):
+        most[0] = 0
+        _, cv, status, _ = MD.train_many(folded, folded, ["logistic_regression"], ["x", "y"], "diabetes",
+                                         parallelism=parallelism)
+        assert status.first()["status"] == "ok"
+        return [tuple(r) for r in cv.orderBy("fold").collect()], most[0]
+    alone, n = run(1)
+    assert n == 1
+    assert run(3) == (alone, 3)
+    monkeypatch.setattr(MD, "ROWS_AT_ONCE", folded.count())
+    assert run(3) == (alone, 1)
+
+
 def test_categories_are_sets(spark):
     names = [chr(97 + i % 26) + str(i % 8) for i in range(400)]
     data = [(n, float(i % 5), int(n[0] in "aeiou")) for i, n in enumerate(names)]
