@@ -425,7 +425,7 @@ def cut_at_words(text: str, most: int) -> Iterator[str]:
 
 
 def encoded(rows: Iterator[tuple[object, str | None]], path: str, keep_special: bool = True,
-            chunk: int = 1_000_000, most: int = 1_000_000, kept: int = WordTable.MOST) -> Iterator[tuple[object, np.ndarray]]:
+            chunk: int = 125_000, most: int = 250_000, kept: int = WordTable.MOST) -> Iterator[tuple[object, np.ndarray]]:
     """(key, ids) of every (key, text), in order; a null text is empty.
 
     Texts are looked up in chunks of about ``chunk`` characters, longer texts

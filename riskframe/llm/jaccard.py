@@ -123,7 +123,7 @@ def tile_keys(hashes: np.ndarray, bands: Bands) -> np.ndarray:
 KEY_BYTES = 5
 #: Text bytes whose keys go to one bucket, and keys that a worker holds at once.
 BUCKET_TEXT = 32 << 20
-KEYS_HELD = 1 << 20
+KEYS_HELD = 1 << 18
 
 
 def dealt(keys: list[np.ndarray], buckets: int) -> pa.RecordBatch:

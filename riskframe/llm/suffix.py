@@ -16,8 +16,8 @@ from pyspark.sql.pandas.types import to_arrow_type
 from .common import attach, bit_filter, by_bytes, marked, maybe_in, saved
 from .jaccard import mix
 
-#: Bytes of the grams that anchor windows; bytes handled at once in a worker.
-GRAM, SLICE = 16, 1 << 20
+#: Bytes of the grams that anchor windows; bytes handled at once in a worker, few enough for a core's cache.
+GRAM, SLICE = 16, 1 << 16
 #: A byte that no UTF-8 text has; it ends each context of a shard.
 BREAK = 0xFF
 FILTER_BITS = 1 << 26

@@ -1,5 +1,6 @@
 import hashlib
 import random
+import tracemalloc
 import zlib
 from collections import defaultdict
 
@@ -116,3 +117,17 @@ def test_packing(edge, empty, reference):
                       cuts(len(ids), 1024))
         assert sorted(pieces[key]) == want
     assert pack_documents(empty, vocabulary()).count() == 0
+
+
+def test_texts_are_encoded_in_little_memory():
+    rng = random.Random(12)
+    words = ["".join(rng.choices("etaoinshrdlu", k=rng.randint(2, 9))) for _ in range(3000)]
+    texts = [" ".join(rng.choices(words, k=600)) for _ in range(700)]
+    path = vocabulary()
+    bpe.word_table(path).clear()
+    tracemalloc.start()
+    total = sum(len(ids) for _, ids in bpe.encoded(enumerate(texts), path))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    whole = sum(len(ids) for _, ids in bpe.encoded(enumerate(texts), path, chunk=1_000_000, most=1_000_000))
+    assert total == whole and peak < 32 << 20

@@ -78,3 +78,18 @@ def test_stages_equal_brute_force(spark):
         docs = corpus_pipeline.saved(stage(spark, docs, sf))
         rows = whole(rows)
         assert sorted((r.doc_id, r.text) for r in docs.collect()) == sorted(rows), name
+
+
+def test_workers_get_small_batches_and_free_memory(spark):
+    """A worker waits for the next stage with what the last one left in it."""
+    def seen(batches):
+        import os
+
+        import pyarrow as pa
+        for b in batches:
+            yield pa.RecordBatch.from_pydict({"rows": [b.num_rows], "trim": [os.environ.get("MALLOC_TRIM_THRESHOLD_")],
+                                              "pool": [pa.default_memory_pool().backend_name]})
+
+    got = spark.range(0, 2500, 1, 1).mapInArrow(seen, "rows long, trim string, pool string").collect()
+    assert sorted(r.rows for r in got) == [500, 1000, 1000]
+    assert all(r.trim and r.pool == "system" for r in got)

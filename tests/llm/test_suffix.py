@@ -1,5 +1,6 @@
 import hashlib
 import random
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -98,3 +99,12 @@ def test_int_ids(spark):
     text = "some words that are here twice in one text " * 12
     docs = spark.createDataFrame([(1, text), (2, "x"), (None, None)], "doc_id int, text string")
     assert sorted((str(r.doc_id), len(r.spans)) for r in S.cut_repeats(docs).collect()) == [("1", 1), ("2", 0), ("None", 0)]
+
+
+def test_anchors_are_found_in_little_memory():
+    raws = [bytes(np.random.default_rng(i).integers(97, 123, 4000, dtype=np.uint8)) for i in range(600)]
+    tracemalloc.start()
+    found = sum(len(S.anchored_runs(pieces, 200)[0]) for _, pieces in S.text_slices(((0, r) for r in raws), 200))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found == sum(len(S.anchored_runs([r], 200)[0]) for r in raws) and peak < 16 << 20
