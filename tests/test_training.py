@@ -142,3 +142,51 @@ def test_categories_are_sets(spark):
     assert len({r.p1 for r in MD.predict(m, odd).collect()}) == 1
     with pytest.raises(ValueError):
         MD.fit_categorical(df, "logistic_regression", ["x"], ["c"], "diabetes")
+
+
+def test_logistic_fit_reaches_the_optimum(spark):
+    """Newton steps end where Spark's solver goes with a tight tolerance; its default stops short of it on such columns."""
+    data = [(str(i), float(i % 97), float(i % 97) * (i % 13), float(i * 31 % 89) / 1000, 5.0, i % 4, int(i % 97 + i * 31 % 89 + i % 37 > 110))
+            for i in range(3000)]
+    df = spark.createDataFrame(data, "rid string, a double, b double, c double, d double, fold int, diabetes int").repartition(3).cache()
+    feats = ["a", "b", "c", "d"]
+    got = MD.fit(df, "logistic_regression", feats, "diabetes").stages[-1]
+    want = MD.fit(df, "logistic_regression", feats, "diabetes", maxIter=5000, tol=1e-14).stages[-1]
+    assert list(got.coefficients) == pytest.approx(list(want.coefficients), rel=1e-4, abs=1e-6) and got.coefficients[3] == 0
+    assert got.intercept == pytest.approx(want.intercept, rel=1e-4)
+    fewer = MD.fit(df, "logistic_regression", feats, "diabetes", C=1e-4).stages[-1]
+    tight = MD.fit(df, "logistic_regression", feats, "diabetes", C=1e-4, maxIter=5000, tol=1e-14).stages[-1]
+    assert list(fewer.coefficients) == pytest.approx(list(tight.coefficients), rel=1e-4, abs=1e-6)
+    with pytest.raises(Exception, match="null"):
+        MD.fit(df.withColumn("a", F.when(F.col("a") > 3, F.col("a"))), "logistic_regression", feats, "diabetes")
+
+
+def test_logistic_folds_share_their_blocks(spark, rows, monkeypatch):
+    folded = stratified_folds(rows, "diabetes", ["rid"], 3).localCheckpoint()
+    alone = {f: MD.fit(folded.where(F.col("fold") != f), "logistic_regression", ["x", "y"], "diabetes").stages[-1] for f in range(3)}
+    written, fits, blocks, fit = [], {}, MD.LG.blocks, MD.fit
+    monkeypatch.setattr(MD.LG, "blocks", lambda *a: written.append(a) or blocks(*a))
+
+    def seen(df, *a, **kw):
+        m = fit(df, *a, **kw)
+        fits[kw["shared"][1]] = m.stages[-1]
+        return m
+    monkeypatch.setattr(MD, "fit", seen)
+    cv = MD.cross_validate(folded, "logistic_regression", ["x", "y"], "diabetes", parallelism=3)
+    assert cv.where("status = 'ok'").count() == 3 and len(written) == 1
+    for f, m in alone.items():
+        assert [*fits[f].coefficients, fits[f].intercept] == pytest.approx([*m.coefficients, m.intercept], rel=1e-6)
+
+
+def test_scratch_tables_are_dropped(spark, tmp_path):
+    import os
+    from riskframe.session import saved, scratch_tables
+    at = lambda df: df._saved_path.removeprefix("file:")
+    before = saved(spark.range(3))
+    with scratch_tables() as keep:
+        with scratch_tables() as keep_inner:
+            a, b = saved(spark.range(4)), keep_inner(saved(spark.range(5)))
+        c = saved(b.union(b))
+        assert not os.path.exists(at(a)) and b.count() == 5
+        keep(c)
+    assert not os.path.exists(at(b)) and (before.count(), c.count()) == (3, 10)
