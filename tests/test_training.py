@@ -90,6 +90,27 @@ def test_folds_are_rebalanced_without_the_held_out_one(spark, rows):
         assert sorted((r.rid, r.x, r.y) for r in part) == sorted((r.rid, r.x, r.y) for r in alone)
 
 
+def test_fold_by_fold_sums_equal_the_whole_and_leave_no_tables(spark, rows):
+    """Each fold is summed on its own; its tables are gone before the next fold's are written."""
+    import os
+    from riskframe import session
+    folded = stratified_folds(rows, "diabetes", ["rid"], 3).localCheckpoint()
+    left = []
+
+    def summary(made):
+        left.append(dict(session._open.paths))
+        return made.groupBy("held_out", "diabetes", "synthetic").agg(
+            F.count("*").alias("n"), F.count_if(F.col("fold") == F.col("held_out")).alias("own"), F.round(F.sum("x"), 6).alias("x"))
+    got = B.resample_folds(folded, "smote", ["x", "y"], "diabetes", "rid", passthrough=("fold",), each=summary)
+    made = B.resample_folds(folded, "smote", ["x", "y"], "diabetes", "rid", passthrough=("fold",))
+    base = made.withColumn("base", F.substring_index("rid", "#", 1)).drop("fold").join(
+        folded.select(F.col("rid").alias("base"), "fold"), "base")
+    want = base.groupBy("held_out", "diabetes", "synthetic").agg(
+        F.count("*").alias("n"), F.count_if(F.col("fold") == F.col("held_out")).alias("own"), F.round(F.sum("x"), 6).alias("x"))
+    assert sorted(got.collect()) == sorted(want.collect()) and got.where("own > 0").count() == 0
+    assert len(left) == 3 and all(left) and not any(os.path.exists(p.removeprefix("file:")) for t in left for p in t)
+
+
 def test_cross_validate_rebalances_only_the_other_folds(spark, rows):
     folded = stratified_folds(rows, "diabetes", ["rid"], 3)
     seen = []
